@@ -76,3 +76,26 @@ def band(value: Column, steps: list[tuple[float, str]], below: str) -> Column:
     for bound, label in steps:
         out = F.when(value >= F.lit(float(bound)), F.lit(label)).otherwise(out)
     return F.when(value.isNotNull(), out)
+
+
+def fixed_point(value: Column, digits: int) -> Column:
+    """Decimal text of a double with ``digits`` places, rounded from its exact binary value.
+
+    ``format_string`` rounds the shortest decimal form of a double instead, which differs on values
+    such as 2.735.  The fraction is taken as an integer number of 2^-60 steps, exactly.
+    """
+    size = F.abs(value)
+    whole = F.floor(size)
+    steps = F.floor((size - whole) * F.lit(float(2 ** 60))).cast("decimal(20,0)")
+    scaled = steps * F.lit(10 ** digits).cast("decimal(10,0)")
+    unit = F.lit(2 ** 60).cast("decimal(20,0)")
+    quotient = F.call_function("div", scaled, unit)
+    rest = scaled - quotient.cast("decimal(20,0)") * unit
+    half = F.lit(2 ** 59).cast("decimal(20,0)")
+    up = (rest > half) | ((rest == half) & (quotient % 2 == 1))
+    number = quotient + up.cast("long")
+    carry = number == 10 ** digits
+    text = F.concat(
+        (whole + carry.cast("long")).cast("string"), F.lit("."),
+        F.lpad(F.when(carry, 0).otherwise(number).cast("string"), digits, "0"))
+    return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)

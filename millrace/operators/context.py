@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import fixed_point
+
 # Instruction texts of the two templates.
 QA_RULES = (
     "You are an IoT operations assistant helping troubleshoot industrial equipment.\n"
@@ -44,7 +46,7 @@ def format_results(results: DataFrame, rank: str = "rank", preview: int = 200) -
     """One text block per result: rank, score to four decimals, citation, first characters."""
     block = F.concat(
         F.lit("Result "), F.col(rank).cast("string"), F.lit(" (score: "),
-        F.format_string("%.4f", "score"), F.lit(")\n"), F.col("citation"), F.lit("\nContent: "),
+        fixed_point(F.col("score"), 4), F.lit(")\n"), F.col("citation"), F.lit("\nContent: "),
         F.substring("content", 1, preview), F.lit("..."))
     return with_citations(results, rank).withColumn("formatted", block)
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import fixed_point
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -178,7 +180,7 @@ def device_insights(silver: DataFrame, asof: str, hours: int = 24, tie: str | No
 
 def recommendations(insights: DataFrame) -> DataFrame:
     """One advice per abnormal metric, or a single all-normal row per device."""
-    current = F.format_string("%.2f", "current_value")
+    current = fixed_point(F.col("current_value"), 2)
     limit = F.col("threshold").cast("string")
     text = (F.when(F.col("status") == "critical", F.concat(
                 F.lit("⚠️  CRITICAL: "), "metric", F.lit(" at "), current, F.lit(" exceeds threshold "), limit,

@@ -30,15 +30,17 @@ def runtime_periods(silver: DataFrame, run_gap_s: int = RUN_GAP_S, off_gap_s: in
 
 
 def runtime_summary(periods: DataFrame, by=("device_id", "customer_id")) -> DataFrame:
+    """Totals per group; durations add up as whole microseconds, so no order of summation shows."""
     running = F.col("period_type") == "running"
-    hours = F.col("duration_hours")
-    run = F.sum(F.when(running, hours).otherwise(0.0))
+    micros = F.unix_micros("period_end") - F.unix_micros("period_start")
+    run = F.sum(F.when(running, micros).otherwise(0))
+    off = F.sum(F.when(~running, micros).otherwise(0))
     return periods.groupBy(*by).agg(
-        run.alias("runtime_hours"),
-        F.sum(F.when(~running, hours).otherwise(0.0)).alias("offline_hours"),
+        (run / F.lit(3.6e9)).alias("runtime_hours"),
+        (off / F.lit(3.6e9)).alias("offline_hours"),
         F.count_if(~running).alias("offline_events"),
-        F.max(F.when(~running, hours * 60.0)).alias("longest_offline_minutes"),
-        (ratio(run, F.sum(hours)) * 100.0).alias("uptime_pct"))
+        (F.max(F.when(~running, micros)) / F.lit(6e7)).alias("longest_offline_minutes"),
+        (ratio(run, run + off) * 100.0).alias("uptime_pct"))
 
 
 def split_by_day(periods: DataFrame) -> DataFrame:

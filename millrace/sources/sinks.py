@@ -20,13 +20,17 @@ def with_event_partitions(messages: DataFrame) -> DataFrame:
     return partition_columns(stamped, "_ts").drop("_ts")
 
 
-def write_bronze(messages: DataFrame, path: str) -> None:
+def write_bronze(messages: DataFrame, path: str, tasks: int | None = None) -> None:
     """Appends raw messages as compressed JSON under customer, date and hour.
 
     The rebalance hint gives each partition few files and splits a hot customer over several tasks.
+    A small batch has more folders than megabytes; ``tasks`` then spreads the creation of files.
     """
-    (with_event_partitions(messages).hint("rebalance", *[F.col(c) for c in BRONZE_PARTITIONS])
-     .write.mode("append").partitionBy(*BRONZE_PARTITIONS).option("compression", "gzip").json(path))
+    rows = with_event_partitions(messages)
+    by = [F.col(c) for c in BRONZE_PARTITIONS]
+    rows = rows.repartition(tasks, *by) if tasks else rows.hint("rebalance", *by)
+    (rows.write.mode("append").partitionBy(*BRONZE_PARTITIONS)
+     .option("compression", "gzip").json(path))
 
 
 def write_silver(silver: DataFrame, path: str) -> None:
