@@ -77,7 +77,7 @@ def main() -> int:
         try:
             ok, note = compare(spark, con, q, root)
         except Exception as e:  # report and go on with the next query
-            ok, note = False, f"{type(e).__name__}: {str(e)[:1500]}"
+            ok, note = False, f"{type(e).__name__}: {str(e)[:400]}"
         print(f"{'ok  ' if ok else 'FAIL'} {name:34s} {note}", flush=True)
         if not ok:
             bad.append(name)

@@ -19,11 +19,12 @@ def time_bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(seconds * MICROS))
 
 
-def overlap_seconds(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:
-    """Length of the intersection of two intervals, zero when disjoint; null if a bound is null."""
+def overlap_micros(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:
+    """Length of the intersection of two intervals in whole microseconds, zero when disjoint or unknown."""
+    start = F.unix_micros(F.greatest(start_a, start_b))
+    end = F.unix_micros(F.least(end_a, end_b))
     known = start_a.isNotNull() & end_a.isNotNull() & start_b.isNotNull() & end_b.isNotNull()
-    span = seconds_between(F.greatest(start_a, start_b), F.least(end_a, end_b))
-    return F.when(known, F.greatest(F.lit(0.0), span))
+    return F.when(known, F.greatest(F.lit(0).cast("long"), end - start)).otherwise(F.lit(0).cast("long"))
 
 
 def ratio(num: Column, den: Column) -> Column:

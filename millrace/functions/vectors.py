@@ -18,12 +18,6 @@ def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
-def unit(v: Column) -> Column:
-    """Vector scaled to length one; a zero vector stays zero."""
-    length = norm(v)
-    return F.when(length > 0, F.transform(v, lambda x: x / length)).otherwise(v)
-
-
 def cosine_similarity(a: Column, b: Column) -> Column:
     """Cosine of two vectors of equal dimension; null for a zero vector or unequal dimensions."""
     x, y = doubles(a), doubles(b)

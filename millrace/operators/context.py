@@ -77,7 +77,7 @@ def assemble_context(results: DataFrame, template: str = "qa", rank: str = "rank
 
 def extract_steps(texts: DataFrame, key: str, text: str = "text", fallback: bool = True) -> DataFrame:
     """Numbered or dashed lines as steps, renumbered; a text without any gets the fallback step."""
-    line = F.trim(F.col("line"))
+    line = F.regexp_replace("line", r"(?U)^\s+|\s+$", "")
     action = F.regexp_replace(line, r"^[0-9.\-) ]+", "")
     lines = (texts.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line"))
              .where(line.rlike("^[0-9-]"))

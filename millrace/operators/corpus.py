@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import content_hash, document_key
 from millrace.functions.text import tokens
-from millrace.functions.vectors import unit
 
 CHUNK_SIZE = 512
 CHUNK_OVERLAP = 50
@@ -124,13 +123,13 @@ def chunk(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 
 def embed_hashed(df: DataFrame, text_col: str = "content", dim: int = 64, out: str = "embedding") -> DataFrame:
     """Default embedding: token counts hashed to ``dim`` cells, scaled to length one."""
-    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.feature import HashingTF, Normalizer
     from pyspark.ml.functions import vector_to_array
 
     tokenised = df.withColumn("_tokens", tokens(F.coalesce(F.col(text_col), F.lit(""))))
     hashed = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim).transform(tokenised)
-    vector = unit(vector_to_array("_tf")).cast("array<float>")
-    return hashed.withColumn(out, vector).drop("_tokens", "_tf")
+    scaled = Normalizer(inputCol="_tf", outputCol="_unit").transform(hashed)
+    return scaled.withColumn(out, vector_to_array("_unit", "float32")).drop("_tokens", "_tf", "_unit")
 
 
 Embedder = Callable[[list[str]], list[list[float]]]

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import overlap_seconds, ratio, seconds_between
+from millrace.functions.columns import overlap_micros, ratio, seconds_between
 from millrace.functions.timewise import next_in_time
-from millrace.operators.schedule import maintenance_seconds
+from millrace.operators.schedule import maintenance_micros
 
 RUN_GAP_S = 300
 OFF_GAP_S = 7200
@@ -104,29 +104,29 @@ def sla_uptime(periods: DataFrame, operating: DataFrame) -> DataFrame:
     both = pieces.join(spread, ["device_id", "utc_date"])
     start = F.greatest("period_start", "op_start")
     end = F.least("period_end", "op_end")
-    inside = overlap_seconds(F.col("period_start"), F.col("period_end"), F.col("op_start"), F.col("op_end"))
-    planned = F.when(start < end, maintenance_seconds(start, end)).otherwise(0.0)
+    inside = overlap_micros(F.col("period_start"), F.col("period_end"), F.col("op_start"), F.col("op_end"))
+    planned = F.when(start < end, maintenance_micros(start, end)).otherwise(F.lit(0).cast("long"))
     both = both.withColumns({"_inside": inside, "_planned": planned}).where("_inside > 0")
     running = F.col("period_type") == "running"
     used = both.groupBy("device_id", "date").agg(
-        F.sum(F.when(running, F.col("_inside")).otherwise(0.0)).alias("_run"),
-        F.sum(F.when(~running, F.col("_inside") - F.col("_planned")).otherwise(0.0)).alias("_unplanned"),
-        F.sum(F.when(~running, F.col("_planned")).otherwise(0.0)).alias("_planned"),
+        F.sum(F.when(running, F.col("_inside")).otherwise(0)).alias("_run"),
+        F.sum(F.when(~running, F.col("_inside") - F.col("_planned")).otherwise(0)).alias("_unplanned"),
+        F.sum(F.when(~running, F.col("_planned")).otherwise(0)).alias("_planned"),
         F.max(F.when(~running, F.col("_inside") - F.col("_planned"))).alias("_longest"))
-    zero = F.lit(0.0)
-    run = F.coalesce("_run", zero)
-    unplanned = F.coalesce("_unplanned", zero)
-    expected = F.col("expected_seconds")
+    zero = F.lit(0).cast("long")
+    run, unplanned = F.coalesce("_run", zero), F.coalesce("_unplanned", zero)
+    expected = F.col("expected_micros")
+    hour, minute = F.lit(3.6e9), F.lit(6e7)
     return (operating.join(used, ["device_id", "date"], "left").select(
         "device_id", "customer_id", "date",
-        (expected / 3600.0).alias("expected_operating_hours"),
-        (run / 3600.0).alias("runtime_hours"),
-        (unplanned / 3600.0).alias("offline_unplanned_hours"),
-        (F.coalesce("_planned", zero) / 3600.0).alias("offline_planned_hours"),
-        (F.greatest(zero, expected - run - unplanned) / 3600.0).alias("idle_hours"),
+        (expected / hour).alias("expected_operating_hours"),
+        (run / hour).alias("runtime_hours"),
+        (unplanned / hour).alias("offline_unplanned_hours"),
+        (F.coalesce("_planned", zero) / hour).alias("offline_planned_hours"),
+        (F.greatest(zero, expected - run - unplanned) / hour).alias("idle_hours"),
         (ratio(run, expected) * 100.0).alias("uptime_pct"),
-        (ratio(run, expected - F.col("maintenance_seconds")) * 100.0).alias("sla_uptime_pct"),
-        (F.coalesce("_longest", zero) / 60.0).alias("longest_offline_minutes")))
+        (ratio(run, expected - F.col("maintenance_micros")) * 100.0).alias("sla_uptime_pct"),
+        (F.coalesce("_longest", zero) / minute).alias("longest_offline_minutes")))
 
 
 def running_sessions(silver: DataFrame, gap: str = "5 minutes") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import MICROS, overlap_seconds
+from millrace.functions.columns import MICROS, overlap_micros
 
 ALWAYS = "24x7"
 _FIELDS = ["timezone", "schedule_type", "weekly_schedule", "holidays", "maintenance_windows"]
@@ -116,19 +116,17 @@ def operating_periods(devices: DataFrame, schedules: DataFrame, first_day: str,
     rows = rows.withColumns({"op_start": instant(start_min), "op_end": instant(end_min)})
     rows = rows.withColumn("maintenance_windows", F.when(
         ~always, F.col("maintenance_windows")))
+    start, end = F.col("op_start"), F.col("op_end")
     return rows.select(
         "device_id", "customer_id", "date", "op_start", "op_end", "maintenance_windows",
-        F.coalesce(overlap_seconds(F.col("op_start"), F.col("op_end"), F.col("op_start"), F.col("op_end")),
-                   F.lit(0.0)).alias("expected_seconds"),
-        maintenance_seconds(F.col("op_start"), F.col("op_end")).alias("maintenance_seconds"))
+        overlap_micros(start, end, start, end).alias("expected_micros"),
+        maintenance_micros(start, end).alias("maintenance_micros"))
 
 
-def maintenance_seconds(start: Column, end: Column) -> Column:
-    """Seconds of an interval that fall into the row's maintenance windows (windows are disjoint)."""
-    return F.coalesce(F.aggregate(
-        F.coalesce("maintenance_windows", F.array()), F.lit(0.0),
-        lambda acc, w: acc + F.coalesce(overlap_seconds(start, end, w["start"], w["end"]), F.lit(0.0))),
-        F.lit(0.0))
+def maintenance_micros(start: Column, end: Column) -> Column:
+    """Microseconds of an interval inside the row's maintenance windows (windows are disjoint)."""
+    return F.aggregate(F.coalesce("maintenance_windows", F.array()), F.lit(0).cast("long"),
+                       lambda acc, w: acc + overlap_micros(start, end, w["start"], w["end"]))
 
 
 def windows_to_buckets(windows: DataFrame, start: str, end: str, bucket_s: int = 3600) -> DataFrame:

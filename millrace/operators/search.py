@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import jaccard, terms, tokens
-from millrace.functions.vectors import doubles, norm, unit
+from millrace.functions.vectors import doubles, norm
 
 KEY = ["document_id", "chunk_index"]
 BM25_K1 = 1.2
@@ -44,16 +44,24 @@ def top_k(scored: DataFrame, k: int, score: str = "score", by: str = "query_id",
 
 
 def build_postings(chunks: DataFrame, text: str = "content") -> DataFrame:
-    """Rows ``(document_id, chunk_index, term, tf, length)``, made inside each row without a shuffle.
+    """Rows ``(document_id, chunk_index, term, tf, length, leads)``, made inside each row without a shuffle.
 
-    A chunk is short, so counting a term by scanning its tokens is cheap.
+    In the sorted tokens of a chunk a term fills the places from its first one to the next term's first
+    one, which gives its count.  ``leads`` marks one row per chunk, so that chunks and tokens can be
+    counted without grouping.  Store the result to search it more than once.
     """
-    found = tokens(F.col(text))
-    counted = F.transform(F.array_distinct(found), lambda t: F.struct(
-        t.alias("term"), F.size(F.filter(F.col("_tokens"), lambda x: x == t)).alias("tf")))
-    return (chunks.select(*KEY, found.alias("_tokens"))
-            .select(*KEY, F.size("_tokens").alias("length"), F.explode(counted).alias("p"))
-            .select(*KEY, "p.term", "p.tf", "length"))
+    starts = F.transform("_terms", lambda t: F.array_position("_tokens", t))
+
+    def entry(term: Column, at: Column) -> Column:
+        following = F.coalesce(F.get("_starts", at + 1), F.size("_tokens") + 1)
+        tf = (following - F.get("_starts", at)).cast("int")
+        return F.struct(term.alias("term"), tf.alias("tf"), (at == 0).alias("leads"))
+
+    return (chunks.select(*KEY, F.sort_array(tokens(F.col(text))).alias("_tokens"))
+            .select("*", F.array_distinct("_tokens").alias("_terms"))
+            .select("*", starts.alias("_starts"))
+            .select(*KEY, F.size("_tokens").alias("length"), F.explode(F.transform("_terms", entry)).alias("p"))
+            .select(*KEY, "p.term", "p.tf", "length", "p.leads"))
 
 
 def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
@@ -71,10 +79,10 @@ def keyword_search(queries: DataFrame, postings: DataFrame, k: int = 20, match:
     """
     wanted = query_terms(queries)
     vocabulary = wanted.select("term").distinct()
-    lengths = postings.groupBy(*KEY).agg(F.first("length").alias("length"))
-    # Corpus size and mean length enter as scalar subqueries, one value each.
-    n = lengths.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    mean = lengths.agg(F.avg("length").alias("m")).scalar()
+    # Corpus size and mean length enter as a scalar subquery.
+    size = F.count_if("leads").cast("double")
+    corpus = postings.agg(F.struct(size.alias("n"), (F.sum("tf") / size).alias("mean")).alias("c")).scalar()
+    n, mean = corpus["n"], corpus["mean"]
     relevant = postings.join(vocabulary, "term", "left_semi")
     df = relevant.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
     weighted = wanted.join(df, "term").withColumn(
@@ -184,10 +192,10 @@ def _grid(asked: DataFrame, pool: DataFrame, k: int, schema: str, n_queries: int
     """Query blocks times vector blocks; every cell holds a bounded number of both."""
     q_blocks = -(-n_queries // GRID_QUERIES)
     v_blocks = max(1, -(-pool.count() // GRID_VECTORS))
-    q = (asked.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
+    q = (asked.withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int"))
          .withColumn("_vb", F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1)))))
     v = (pool.withColumn("_vb", F.pmod(F.xxhash64(*KEY), F.lit(v_blocks)).cast("int"))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).cast("long")))
+         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["query_id", "document_id", "chunk_index", "score"]
@@ -210,12 +218,13 @@ def approximate_search(queries: DataFrame, chunks: DataFrame, k: int = 20, bucke
     On length-one vectors Euclidean order equals cosine order.  ``radius`` bounds the distance of
     candidates; recall is a matter of ``bucket`` and ``tables`` and is checked against exact search.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
     from pyspark.ml.functions import array_to_vector
 
     def as_vectors(df: DataFrame, cols: list[str]) -> DataFrame:
         known = df.where("embedding IS NOT NULL").select(*cols, doubles(F.col("embedding")).alias("_e"))
-        return known.where(norm(F.col("_e")) > 0).select(*cols, array_to_vector(unit(F.col("_e"))).alias("v"))
+        raw = known.where(norm(F.col("_e")) > 0).select(*cols, array_to_vector("_e").alias("_v"))
+        return Normalizer(inputCol="_v", outputCol="v").transform(raw).drop("_v")
 
     pool, asked = as_vectors(chunks, KEY), as_vectors(queries, ["query_id"])
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket,
@@ -347,8 +356,9 @@ def freshness_boost(results: DataFrame, asof: str, days: int = 7, factor: float
     return results.withColumn("boosted_score", F.col("score") * F.when(age <= days, factor).otherwise(1.0))
 
 
-def latest_versions(docs: DataFrame, key: str = "source_path") -> DataFrame:
+def latest_versions(docs: DataFrame, key: str = "source_path", tie: list[str] = ()) -> DataFrame:
     """Newest version per source; versions compare part by part as numbers."""
     order = F.transform(F.split("version", r"\."), lambda p: p.try_cast("int"))
-    w = W.partitionBy(key).orderBy(F.desc(order), F.desc("last_updated"))
-    return docs.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    w = W.partitionBy(key).orderBy(F.desc("_order"), F.desc("last_updated"), *tie)
+    return (docs.withColumn("_order", order).withColumn("_r", F.row_number().over(w))
+            .where("_r = 1").drop("_r", "_order"))

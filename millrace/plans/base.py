@@ -108,7 +108,8 @@ REQUESTS = r"""requests AS (
          value / 64.0 AS duration_s,
          (CASE event_type WHEN 'click' THEN 'insights' WHEN 'purchase' THEN 'troubleshoot'
               WHEN 'signup' THEN 'health' ELSE 'ask' END) || ':' || user_id AS cache_key,
-         k % 6 AS citations, CAST(k AS DOUBLE) / 128.0 AS "precision", CAST(k AS DOUBLE) AS gpu_pct
+         k % 6 AS citations, CAST(k AS DOUBLE) / 128.0 AS "precision", CAST(k AS DOUBLE) AS gpu_pct,
+         k < 12 AS rejected, k >= 50 AS cache_hit
   FROM (SELECT *, CAST(regexp_extract(props, '(\d+)', 1) AS INT) AS k FROM events) e)"""
 
 CORPUS = """corpus AS (

@@ -41,16 +41,16 @@ def _(spark, root):
 
 
 SUMMARY = """
-       round(sum(CASE WHEN period_type = 'running' THEN us ELSE 0 END) / 3.6e9, 8) AS runtime_hours,
-       round(sum(CASE WHEN period_type <> 'running' THEN us ELSE 0 END) / 3.6e9, 8) AS offline_hours,
+       round(sum(CASE WHEN period_type = 'running' THEN us ELSE 0 END) / 3.6e9, 10) AS runtime_hours,
+       round(sum(CASE WHEN period_type <> 'running' THEN us ELSE 0 END) / 3.6e9, 10) AS offline_hours,
        count(*) FILTER (period_type <> 'running') AS offline_events,
-       round(max(CASE WHEN period_type <> 'running' THEN us END) / 6e7, 8) AS longest_offline_minutes,
-       round(sum(CASE WHEN period_type = 'running' THEN us ELSE 0 END) / nullif(CAST(sum(us) AS DOUBLE), 0) * 100, 8) AS uptime_pct"""
+       round(max(CASE WHEN period_type <> 'running' THEN us END) / 6e7, 10) AS longest_offline_minutes,
+       round(sum(CASE WHEN period_type = 'running' THEN us ELSE 0 END) / nullif(CAST(sum(us) AS DOUBLE), 0) * 100, 11) AS uptime_pct"""
 
 
 @query("runtime_summary", "W3", P_ + f"SELECT device_id, customer_id, {SUMMARY} FROM periods GROUP BY 1, 2")
 def _(spark, root):
-    return rounded(runtime.runtime_summary(periods(spark, root)), 8)
+    return rounded(runtime.runtime_summary(periods(spark, root)), uptime_pct=11)
 
 
 DAYS_SQL = """day_periods AS (
@@ -65,7 +65,7 @@ daily_periods AS (SELECT *, epoch_us(e) - epoch_us(s) AS us FROM day_periods WHE
 SELECT device_id, {day('date')} AS date, {SUMMARY} FROM daily_periods GROUP BY 1, 2""")
 def _(spark, root):
     cut = runtime.split_by_day(periods(spark, root))
-    return rounded(runtime.runtime_summary(cut, ["device_id", "date"]), 8)
+    return rounded(runtime.runtime_summary(cut, ["device_id", "date"]), uptime_pct=11)
 
 
 @query("fleet_uptime", "A31", with_(TELEMETRY, PERIODS) + """
@@ -205,10 +205,10 @@ operating AS (
                unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS date
         FROM devices) x),
 operating_m AS (
-  SELECT *, coalesce(epoch_us(op_end) - epoch_us(op_start), 0) / 1000000.0 AS expected_seconds,
+  SELECT *, coalesce(epoch_us(op_end) - epoch_us(op_start), 0) AS expected_micros,
     CASE WHEN plan = 'full' AND op_start IS NOT NULL THEN
       greatest(0, epoch_us(least(op_end, TIMESTAMP '2024-01-10 16:00:00'))
-                  - epoch_us(greatest(op_start, TIMESTAMP '2024-01-10 14:00:00'))) / 1000000.0 ELSE 0.0 END AS maintenance_seconds
+                  - epoch_us(greatest(op_start, TIMESTAMP '2024-01-10 14:00:00'))) ELSE 0 END AS maintenance_micros
   FROM operating)"""
 
 
@@ -219,10 +219,10 @@ def operating(spark, root):
 
 @query("operating_periods", "K3", with_(TELEMETRY, DEVICES) + f"""
 SELECT device_id, {day('date')} AS date, {ts('op_start')} AS op_start, {ts('op_end')} AS op_end,
-       round(expected_seconds, 6) AS expected_seconds, round(maintenance_seconds, 6) AS maintenance_seconds FROM operating_m""")
+       expected_micros, maintenance_micros FROM operating_m""")
 def _(spark, root):
     return rounded(operating(spark, root).select(
-        "device_id", "date", "op_start", "op_end", "expected_seconds", "maintenance_seconds"), 6)
+        "device_id", "date", "op_start", "op_end", "expected_micros", "maintenance_micros"), 6)
 
 
 @query("sla_uptime", "W11", with_(TELEMETRY, PERIODS, DEVICES) + f"""
@@ -230,24 +230,25 @@ def _(spark, root):
   SELECT o.device_id, o.date, p.period_type, greatest(period_start, op_start) AS s, least(period_end, op_end) AS e, o.plan
   FROM operating_m o JOIN periods p ON p.device_id = o.device_id AND p.period_start < o.op_end AND p.period_end > o.op_start),
 lengths AS (
-  SELECT *, (epoch_us(e) - epoch_us(s)) / 1000000.0 AS len,
+  SELECT *, epoch_us(e) - epoch_us(s) AS len,
     CASE WHEN plan = 'full' THEN greatest(0, epoch_us(least(e, TIMESTAMP '2024-01-10 16:00:00'))
-         - epoch_us(greatest(s, TIMESTAMP '2024-01-10 14:00:00'))) / 1000000.0 ELSE 0.0 END AS planned FROM shared),
+         - epoch_us(greatest(s, TIMESTAMP '2024-01-10 14:00:00'))) ELSE 0 END AS planned FROM shared),
 used AS (
   SELECT device_id, date, sum(CASE WHEN period_type = 'running' THEN len ELSE 0 END) AS run,
          sum(CASE WHEN period_type <> 'running' THEN len - planned ELSE 0 END) AS unplanned,
          sum(CASE WHEN period_type <> 'running' THEN planned ELSE 0 END) AS planned FROM lengths GROUP BY 1, 2)
-SELECT o.device_id, o.customer_id, {day('o.date')} AS date, round(expected_seconds / 3600.0, 8) AS expected_operating_hours,
-       round(coalesce(run, 0) / 3600.0, 8) AS runtime_hours,
-       round(coalesce(unplanned, 0) / 3600.0, 8) AS offline_unplanned_hours,
-       round(coalesce(planned, 0) / 3600.0, 8) AS offline_planned_hours,
-       round(greatest(0, expected_seconds - coalesce(run, 0) - coalesce(unplanned, 0)) / 3600.0, 8) AS idle_hours,
-       round(coalesce(run, 0) / nullif(expected_seconds, 0) * 100, 8) AS uptime_pct,
-       round(coalesce(run, 0) / nullif(expected_seconds - maintenance_seconds, 0) * 100, 8) AS sla_uptime_pct
+SELECT o.device_id, o.customer_id, {day('o.date')} AS date, round(expected_micros / 3.6e9, 10) AS expected_operating_hours,
+       round(coalesce(run, 0) / 3.6e9, 10) AS runtime_hours,
+       round(coalesce(unplanned, 0) / 3.6e9, 10) AS offline_unplanned_hours,
+       round(coalesce(planned, 0) / 3.6e9, 10) AS offline_planned_hours,
+       round(greatest(0, expected_micros - coalesce(run, 0) - coalesce(unplanned, 0)) / 3.6e9, 10) AS idle_hours,
+       round(coalesce(run, 0) / nullif(CAST(expected_micros AS DOUBLE), 0) * 100, 11) AS uptime_pct,
+       round(coalesce(run, 0) / nullif(CAST(expected_micros - maintenance_micros AS DOUBLE), 0) * 100, 11) AS sla_uptime_pct
 FROM operating_m o LEFT JOIN used u ON u.device_id = o.device_id AND u.date = o.date""")
 def _(spark, root):
     # The longest period is cut at UTC midnights and left out of the comparison.
-    return rounded(runtime.sla_uptime(periods(spark, root), operating(spark, root)).drop("longest_offline_minutes"), 8)
+    return rounded(runtime.sla_uptime(periods(spark, root), operating(spark, root)).drop("longest_offline_minutes"),
+                   uptime_pct=11, sla_uptime_pct=11)
 
 
 def beats(spark, root):

@@ -12,6 +12,16 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{root}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table with far fewer splits than cores, spread over the cores.
+
+    A small table is one file and one task; costly text work on it would leave the other cores idle.
+    A large table has enough splits and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+
+
 def as_telemetry(events: DataFrame) -> DataFrame:
     """Event rows seen as Silver telemetry of a fleet of three device types.
 
@@ -101,6 +111,8 @@ def as_requests(events: DataFrame) -> DataFrame:
         (k % 6).alias("citations"),
         (k.cast("double") / 128.0).alias("precision"),
         k.cast("double").alias("gpu_pct"),
+        (k < 12).alias("rejected"),
+        (k >= 50).alias("cache_hit"),
     )
 
 
@@ -127,4 +139,4 @@ def as_corpus(documents: DataFrame) -> DataFrame:
 
 
 def corpus(spark: SparkSession, root: str) -> DataFrame:
-    return as_corpus(table(spark, root, "documents"))
+    return as_corpus(spread(table(spark, root, "documents")))
