@@ -1 +1,189 @@
-"""Registered queries."""
+"""Streaming queries: each runs a stream over the whole stored table to its end and returns its output.
+
+Windows that are still open when the input ends are not emitted; the SQL leaves them out by the same
+watermark rule.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+
+from millrace.operators.silver import with_reject_reason
+from millrace.plans.base import REQUESTS, TELEMETRY, day, query, rounded, ts, with_
+from millrace.plans.telemetry import EVENTS, HOURLY, with_temperature
+from millrace.session import scratch_dir
+from millrace.sources import sinks, tables
+from millrace.sources.messages import read_bronze, table_stream
+from millrace.streaming import heartbeat, jobs, progress
+
+T_ = with_(TELEMETRY)
+WATERMARK = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
+
+
+def telemetry_stream(spark, root):
+    return tables.as_telemetry(table_stream(spark, root, "events"))
+
+
+def message_stream(spark, root):
+    """The table's rows as keyed JSON messages in a folder, read as a stream."""
+    folder = scratch_dir(spark, "topic")
+    tables.as_messages(tables.spread(tables.telemetry(spark, root))).write.parquet(folder)
+    return spark.readStream.schema("key string, value string").parquet(folder)
+
+
+@query("stream_deduplicated", "ST3 S1", T_ + f"""
+SELECT DISTINCT device_id, {ts('"timestamp"')} AS "timestamp", message_id FROM telemetry""")
+def _(spark, root):
+    # Every message arrives twice.
+    twice = telemetry_stream(spark, root).unionByName(telemetry_stream(spark, root))
+    out = jobs.run_to_files(jobs.deduplicated(twice), "dedup")
+    return out.select("device_id", "timestamp", "message_id")
+
+
+@query("stream_hourly_health", "ST4", with_(HOURLY) + f"""
+SELECT device_id, customer_id, device_type, {ts('hour_start')} AS hour_start, round(avg_spindle_rpm, 8) AS avg_spindle_rpm,
+       round(avg_temperature, 10) AS avg_temperature, max_vibration, round(avg_power_kw, 10) AS avg_power_kw,
+       cycle_count_delta, uptime_minutes, status
+FROM hourly WHERE hour_start + INTERVAL 1 HOUR <= {WATERMARK}""")
+def _(spark, root):
+    parts = jobs.run_to_files(jobs.hourly_health(telemetry_stream(spark, root)), "hourly")
+    return rounded(jobs.fold_hourly_health(parts), avg_spindle_rpm=8)
+
+
+@query("stream_sliding_requests", "ST5", with_(REQUESTS) + f"""
+SELECT {ts('w')} AS window_start, endpoint, count(*) AS requests, count(*) FILTER (status_code LIKE '5%') AS failed
+FROM (SELECT *, unnest(generate_series(date_trunc('minute', ts) - INTERVAL 4 MINUTE, date_trunc('minute', ts), INTERVAL 1 MINUTE)) AS w
+      FROM requests) x WHERE w + INTERVAL 5 MINUTE <= {WATERMARK} GROUP BY w, endpoint""")
+def _(spark, root):
+    log = tables.as_requests(table_stream(spark, root, "events"))
+    out = jobs.run_to_files(jobs.sliding_requests(log), "rates")
+    return out.select("window_start", "endpoint", "requests", "failed")
+
+
+@query("stream_sessions", "ST6", T_ + f"""
+, marked AS (SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER w <= INTERVAL 5 MINUTE THEN 0 ELSE 1 END AS new
+             FROM telemetry WINDOW w AS (PARTITION BY device_id ORDER BY "timestamp", message_id)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY device_id ORDER BY "timestamp", message_id) AS s FROM marked)
+SELECT device_id, {ts('min("timestamp")')} AS session_start, {ts('max("timestamp")')} AS last_message, count(*) AS messages
+FROM numbered GROUP BY device_id, s HAVING max("timestamp") + INTERVAL 5 MINUTE <= {WATERMARK}""")
+def _(spark, root):
+    return jobs.run_to_files(jobs.sessions(telemetry_stream(spark, root)), "sessions")
+
+
+@query("stream_threshold_events", "ST9", with_(TELEMETRY, EVENTS) + f"""
+SELECT event_id, device_id, {ts('"timestamp"')} AS "timestamp", error_code, severity, message, value FROM threshold_events""")
+def _(spark, root):
+    out = jobs.run_to_files(jobs.events(telemetry_stream(spark, root)), "events")
+    return out.select("event_id", "device_id", "timestamp", "error_code", "severity", "message", "value")
+
+
+@query("stream_event_topic", "S2 ST9", with_(TELEMETRY, EVENTS) + """
+SELECT customer_id AS key, error_code, count(*) AS messages FROM threshold_events GROUP BY 1, 2""")
+def _(spark, root):
+    # The keyed messages a topic would receive, read back from files.
+    out = jobs.run_to_files(sinks.keyed_messages(jobs.events(telemetry_stream(spark, root))), "topic")
+    code = F.get_json_object("value", "$.error_code")
+    return out.groupBy("key", code.alias("error_code")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query("stream_enriched", "J11", T_ + """
+SELECT t.message_id, c.c_mktsegment AS segment FROM telemetry t LEFT JOIN customer c ON c.c_custkey = t.user_id""")
+def _(spark, root):
+    registry = tables.table(spark, root, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
+    joined = jobs.enriched(telemetry_stream(spark, root), registry, "user_id").select("message_id", "segment")
+    return jobs.run_to_files(joined, "enriched")
+
+
+@query("stream_bronze", "ST1 S1 S3", T_ + f"""
+SELECT customer_id, {day('"timestamp"')} AS date, count(*) AS messages,
+       count(*) FILTER (device_type = 'hvac') AS hvac_messages FROM telemetry GROUP BY 1, 2""")
+def _(spark, root):
+    raw = message_stream(spark, root)
+    by = ["customer_id", "date"]
+    path, _ = jobs.run_writer(
+        lambda out, state: jobs.to_bronze(raw, out, state, {"availableNow": True}, by), "bronze", spark)
+    stored = read_bronze(spark, path)
+    return stored.groupBy("customer_id", "date").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if(F.col("device_type") == "hvac").alias("hvac_messages"))
+
+
+@query("stream_silver", "ST2 S6", T_ + f"""
+SELECT device_id, {day('"timestamp"')} AS date, count(DISTINCT "timestamp") AS rows_held FROM telemetry
+WHERE (vibration_mm_s IS NULL OR vibration_mm_s <= 50) GROUP BY 1, 2""")
+def _(spark, root):
+    raw = message_stream(spark, root)
+    path, _ = jobs.run_writer(
+        lambda out, state: jobs.to_silver(raw, out, state, {"availableNow": True}, ["cycle_count"]), "silver", spark)
+    return spark.read.parquet(path).groupBy("device_id", "date").agg(F.count(F.lit(1)).alias("rows_held"))
+
+
+@query("stream_device_status", "ST8 UD4", T_ + f"""
+, beats AS (SELECT DISTINCT device_id, "timestamp" AS t FROM telemetry WHERE status = 'view'),
+gaps AS (SELECT device_id, t, lead(t) OVER (PARTITION BY device_id ORDER BY t) AS n FROM beats),
+mark AS (SELECT max(t) - INTERVAL 1 MINUTE AS w FROM beats)
+SELECT device_id, 'online' AS status, {ts('min(t)')} AS changed_at FROM beats GROUP BY 1
+UNION ALL SELECT device_id, 'offline', {ts('t + INTERVAL 5 MINUTE')} FROM gaps, mark
+  WHERE (n IS NOT NULL AND n > t + INTERVAL 5 MINUTE) OR (n IS NULL AND w > t + INTERVAL 5 MINUTE)
+UNION ALL SELECT device_id, 'online', {ts('n')} FROM gaps WHERE n > t + INTERVAL 5 MINUTE""")
+def _(spark, root):
+    beats = telemetry_stream(spark, root).where("status = 'view'")
+    out = jobs.run_to_files(heartbeat.track(beats), "status")
+    return out.select("device_id", "status", "changed_at")
+
+
+@query("device_status_batch", "ST8", T_ + f"""
+, beats AS (SELECT DISTINCT device_id, "timestamp" AS t FROM telemetry WHERE status = 'view'),
+gaps AS (SELECT device_id, t, lead(t) OVER (PARTITION BY device_id ORDER BY t) AS n FROM beats)
+SELECT device_id, 'online' AS status, {ts('min(t)')} AS changed_at FROM beats GROUP BY 1
+UNION ALL SELECT device_id, 'offline', {ts('t + INTERVAL 5 MINUTE')} FROM gaps
+  WHERE coalesce(n, TIMESTAMP '2024-01-31') > t + INTERVAL 5 MINUTE
+UNION ALL SELECT device_id, 'online', {ts('n')} FROM gaps WHERE n > t + INTERVAL 5 MINUTE""")
+def _(spark, root):
+    beats = tables.telemetry(spark, root).where("status = 'view'")
+    return heartbeat.changes_batch(beats, "2024-01-31 00:00:00").select("device_id", "status", "changed_at")
+
+
+@query("stream_progress", "S10 ST10", "SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS timed FROM events")
+def _(spark, root):
+    raw = message_stream(spark, root)
+    seen = {}
+
+    def start(out, state):
+        seen["query"] = jobs.to_silver(raw, out, state, {"availableNow": True}, ["cycle_count"])
+        return seen["query"]
+
+    jobs.run_writer(start, "progress", spark)
+    rows = progress.progress_rows(spark, seen["query"])
+    return rows.agg(F.sum("input_rows").alias("input_rows"), (F.sum("duration_ms") > 0).alias("timed"))
+
+
+@query("job_counters", "S10", T_ + """
+SELECT count(*) AS consumed, count(*) FILTER (vibration_mm_s > 50) AS rejected,
+       count(*) FILTER (vibration_mm_s IS NULL OR vibration_mm_s <= 50) AS inserted FROM telemetry""")
+def _(spark, root):
+    # The counters are filled by the write itself.
+    marked = with_reject_reason(with_temperature(tables.telemetry(spark, root)))
+    counted, seen = progress.counted(marked, F.col("reject_reason").isNotNull())
+    counted.select("message_id", "reject_reason").write.parquet(scratch_dir(spark, "counted"))
+    got = seen.get
+    return spark.createDataFrame([(got["consumed"], got["rejected"], got["inserted"])],
+                                 "consumed long, rejected long, inserted long")
+
+
+@query("partition_lag", "ST10", """
+SELECT 'telemetry-' || (user_id % 8) AS partition, count(*) - count(*) FILTER (ts < TIMESTAMP '2024-01-25') AS lag,
+       CASE WHEN count(*) FILTER (ts >= TIMESTAMP '2024-01-25') > 10000 THEN 'critical'
+            WHEN count(*) FILTER (ts >= TIMESTAMP '2024-01-25') > 1000 THEN 'warning' ELSE 'ok' END AS level
+FROM events GROUP BY user_id % 8""")
+def _(spark, root):
+    # Offsets of a topic of eight partitions whose consumer has read up to one instant.
+    e = tables.table(spark, root, "events").select(
+        (F.col("user_id") % 8).cast("string").alias("p"), (F.col("ts").cast("timestamp") < "2024-01-25").alias("read"))
+    per = e.groupBy("p").agg(F.count(F.lit(1)).alias("latest"), F.count_if("read").alias("done"))
+    offsets = per.agg(*[F.to_json(F.map_from_arrays(F.array(F.lit("telemetry")), F.array(F.map_from_entries(
+        F.collect_list(F.struct("p", c)))))).alias(n) for c, n in (("done", "end_offset"), ("latest", "latest_offset"))])
+    last = offsets.select(F.lit(0).cast("long").alias("batch_id"), F.lit("telemetry").alias("source"),
+                          "end_offset", "latest_offset")
+    return progress.lag_alerts(progress.lag_per_partition(last))

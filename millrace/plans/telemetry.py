@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import gold, rules, silver, upsert
 from millrace.plans.base import TELEMETRY, day, query, rounded, ts, with_
 from millrace.schemas import METRICS
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, staged
 from millrace.sources import sinks, tables
 from millrace.sources.messages import read_bronze, run_summary
 
@@ -157,8 +157,8 @@ def _(spark, root):
 
 
 def bronze_messages(spark, root):
-    """Telemetry as parsed JSON messages, as they would come from a topic."""
-    return silver.parse_messages(tables.as_messages(tables.telemetry(spark, root)))
+    """Telemetry as parsed JSON messages, as they would come from a stored topic."""
+    return silver.parse_messages(staged(tables.as_messages(tables.telemetry(spark, root)), "messages"))
 
 
 @query("telemetry_flatten", "P1 X10 S1 X2", T_ + f"""
@@ -210,7 +210,7 @@ FROM telemetry WHERE "timestamp" >= TIMESTAMP '2024-01-14 13:00:00' AND "timesta
 def _(spark, root):
     # Written whole under its event-time folders, then one hour is read by folder pruning.
     path = scratch_dir(spark, "bronze")
-    sinks.write_bronze(bronze_messages(spark, root), path, tasks=8)
+    sinks.write_bronze(bronze_messages(spark, root), path, ["date", "hour"], tasks=8)
     s = run_summary(read_bronze(spark, path, "2024-01-14", "13"), "2024-01-14 13:00")
     return s.select((F.col("files_processed") > 0).alias("has_files"), "records_inserted", "execution_hour")
 

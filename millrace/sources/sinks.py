@@ -20,16 +20,17 @@ def with_event_partitions(messages: DataFrame) -> DataFrame:
     return partition_columns(stamped, "_ts").drop("_ts")
 
 
-def write_bronze(messages: DataFrame, path: str, tasks: int | None = None) -> None:
-    """Appends raw messages as compressed JSON under customer, date and hour.
+def write_bronze(messages: DataFrame, path: str, by: list[str] = BRONZE_PARTITIONS,
+                 tasks: int | None = None) -> None:
+    """Appends raw messages as compressed JSON under customer, date and hour, or coarser folders.
 
     The rebalance hint gives each partition few files and splits a hot customer over several tasks.
     A small batch has more folders than megabytes; ``tasks`` then spreads the creation of files.
     """
     rows = with_event_partitions(messages)
-    by = [F.col(c) for c in BRONZE_PARTITIONS]
-    rows = rows.repartition(tasks, *by) if tasks else rows.hint("rebalance", *by)
-    (rows.write.mode("append").partitionBy(*BRONZE_PARTITIONS)
+    cols = [F.col(c) for c in by]
+    rows = rows.repartition(tasks, *cols) if tasks else rows.hint("rebalance", *cols)
+    (rows.write.mode("append").partitionBy(*by)
      .option("compression", "gzip").json(path))
 
 

@@ -15,11 +15,16 @@ from millrace.sources.sinks import BRONZE_PARTITIONS, silver_batch_writer, with_
 LATE = "10 minutes"
 
 
-def to_bronze(raw: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Appends parsed messages as JSON; file commits and offsets share one checkpoint."""
-    messages = with_event_partitions(parse_messages(raw.select("value")))
+def to_bronze(raw: DataFrame, path: str, checkpoint: str, trigger: dict,
+              by: list[str] = BRONZE_PARTITIONS) -> StreamingQuery:
+    """Appends parsed messages as JSON; file commits and offsets share one checkpoint.
+
+    Each batch is grouped by folder first, so that a batch adds one file per folder and not one per
+    task and folder.
+    """
+    messages = with_event_partitions(parse_messages(raw.select("value"))).repartition(*by)
     return (messages.writeStream.format("json").option("compression", "gzip")
-            .partitionBy(*BRONZE_PARTITIONS).option("path", path).option("checkpointLocation", checkpoint)
+            .partitionBy(*by).option("path", path).option("checkpointLocation", checkpoint)
             .trigger(**trigger).start())
 
 
