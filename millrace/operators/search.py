@@ -43,25 +43,25 @@ def top_k(scored: DataFrame, k: int, score: str = "score", by: str = "query_id",
     return scored.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
+# A run of one token in a sorted, space-terminated token text.
+_RUN = r"(\S+ )\1*"
+
+
 def build_postings(chunks: DataFrame, text: str = "content") -> DataFrame:
     """Rows ``(document_id, chunk_index, term, tf, length, leads)``, made inside each row without a shuffle.
 
-    In the sorted tokens of a chunk a term fills the places from its first one to the next term's first
-    one, which gives its count.  ``leads`` marks one row per chunk, so that chunks and tokens can be
-    counted without grouping.  Store the result to search it more than once.
+    In the sorted tokens of a chunk equal ones are neighbours, so each run is one posting and its
+    size gives the count.  ``leads`` marks one row per chunk, so that chunks and tokens can be counted
+    without grouping.  Store the result to search it more than once.
     """
-    starts = F.transform("_terms", lambda t: F.array_position("_tokens", t))
-
-    def entry(term: Column, at: Column) -> Column:
-        following = F.coalesce(F.get("_starts", at + 1), F.size("_tokens") + 1)
-        tf = (following - F.get("_starts", at)).cast("int")
-        return F.struct(term.alias("term"), tf.alias("tf"), (at == 0).alias("leads"))
-
-    return (chunks.select(*KEY, F.sort_array(tokens(F.col(text))).alias("_tokens"))
-            .select("*", F.array_distinct("_tokens").alias("_terms"))
-            .select("*", starts.alias("_starts"))
-            .select(*KEY, F.size("_tokens").alias("length"), F.explode(F.transform("_terms", entry)).alias("p"))
-            .select(*KEY, "p.term", "p.tf", "length", "p.leads"))
+    ordered = F.sort_array(tokens(F.col(text)))
+    runs = F.regexp_extract_all(F.concat(F.array_join("_tokens", " "), F.lit(" ")), F.lit(_RUN), F.lit(0))
+    term = F.substring_index("_run", " ", 1)
+    tf = (F.octet_length("_run") / (F.octet_length("term") + 1)).cast("int")
+    return (chunks.select(*KEY, ordered.alias("_tokens"))
+            .select(*KEY, F.size("_tokens").alias("length"), F.posexplode(runs).alias("_at", "_run"))
+            .select(*KEY, term.alias("term"), "_run", "length", (F.col("_at") == 0).alias("leads"))
+            .select(*KEY, "term", tf.alias("tf"), "length", "leads"))
 
 
 def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:

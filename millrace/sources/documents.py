@@ -10,7 +10,7 @@ from millrace.sources.tables import DOC_TYPES
 
 def read_documents(spark: SparkSession, path: str, metadata: DataFrame | None = None) -> DataFrame:
     """One row per UTF-8 file with its path; ``metadata`` adds title, type, tenant and version by path."""
-    files = spark.read.option("wholetext", True).text(path).select(
+    files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("content"),
         F.to_date("_metadata.file_modification_time").alias("last_updated"))
     if metadata is None:

@@ -63,14 +63,17 @@ def silver_batch_writer(path: str, keys: list[str], order: list[str]) -> Callabl
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = first_per_key(batch.withColumn("date", F.to_date("timestamp")), keys, order)
+        # The batch is used for its days and for its rows; without the cache its source is read twice.
+        rows = first_per_key(batch.withColumn("date", F.to_date("timestamp")), keys, order).persist()
+        fresh = rows
         if _exists(spark, path):
             stored = spark.read.parquet(path).where(F.col("batch") < batch_id)
             days = rows.select("date").distinct()
             seen = stored.join(days, "date", "left_semi").select(*keys)
-            rows = rows.join(seen, keys, "left_anti")
-        (rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+            fresh = rows.join(seen, keys, "left_anti")
+        (fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "date").parquet(path))
+        rows.unpersist()
 
     return write
 
