@@ -352,7 +352,7 @@ def _(spark, root):
 
 
 CODES = f"""codes AS (
-  SELECT DISTINCT upper(code) AS error_code FROM (
+  SELECT DISTINCT code AS error_code FROM (
     SELECT arg_max(t, (length(t), t)) AS code FROM (
       SELECT item_id, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS t FROM benchmark) x GROUP BY item_id) y)"""
 
@@ -361,7 +361,7 @@ def codes(spark, root):
     """The longest word of every benchmark text stands for an error code."""
     sized = F.transform(tokens(F.col("text")), lambda t: F.struct(F.length(t).alias("n"), t.alias("t")))
     return tables.table(spark, root, "benchmark").select(
-        F.upper(F.array_max(sized)["t"]).alias("error_code")).distinct()
+        F.array_max(sized)["t"].alias("error_code")).distinct()
 
 
 @query("troubleshoot_search", "R11 F6", with_(CORPUS, CHUNKS.replace("chunks AS", "all_chunks AS"), """
