@@ -47,13 +47,24 @@ def unseen(docs: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def chunk_windows(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                  text: str = "content") -> DataFrame:
-    """Fixed windows of ``size`` characters, each sharing ``overlap`` with the one before."""
+                  text: str = "content", block: int = 100) -> DataFrame:
+    """Fixed windows of ``size`` characters, each sharing ``overlap`` with the one before.
+
+    Finding a character position means reading the text up to it, so windows are cut from blocks of
+    ``block`` windows; a very long text is not read from its start for each window.
+    """
     step = size - overlap
     n = F.greatest(F.lit(1), F.ceil((F.length(text) - F.lit(overlap)) / F.lit(float(step)))).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), n - 1),
-                         lambda i: F.substring(F.col(text), i * step + 1, F.lit(size)))
-    return _numbered(docs, pieces, text)
+    last_block = F.floor((n - 1) / F.lit(float(block))).cast("int")
+
+    def windows(b: Column) -> Column:
+        part = F.substring(F.col(text), b * (block * step) + 1, F.lit(block * step + overlap + size))
+        count = F.least(F.lit(block), n - b * block)
+        # The one-element array binds the block's text, so that it is cut out once.
+        return F.get(F.transform(F.array(part), lambda p: F.transform(
+            F.sequence(F.lit(0), count - 1), lambda i: F.substring(p, i * step + 1, F.lit(size)))), F.lit(0))
+
+    return _numbered(docs, F.flatten(F.transform(F.sequence(F.lit(0), last_block), windows)), text)
 
 
 def _numbered(docs: DataFrame, pieces: Column, text: str) -> DataFrame:

@@ -36,14 +36,14 @@ def replay_cache(log: DataFrame, ttl_s: int = 3600, key: str = "cache_key", ts:
     steps = (steps.where("_next IS NOT NULL")
              .join(heads.select(key, F.col(ts).alias("_next")), [key, "_next"], "left_anti")
              .select(key, ts, "_next"))
-    jump, reached = staged(steps, "replay-steps"), staged(heads, "replay-heads")
+    # A stretch has one head and one chain, so every round reaches stores not reached before.
+    jump, parts = staged(steps, "replay-steps"), [staged(heads, "replay-heads")]
     while True:
-        new = (reached.join(jump, [key, ts]).select(key, F.col("_next").alias(ts))
-               .join(reached, [key, ts], "left_anti").distinct())
-        new = staged(new, "replay-new")
+        reached = _together(parts)
+        new = staged(reached.join(jump, [key, ts]).select(key, F.col("_next").alias(ts)), "replay-new")
         if new.isEmpty():
             break
-        reached = staged(reached.unionByName(new), "replay-reached")
+        parts.append(new)
         onward = jump.select(key, F.col(ts).alias("_next"), F.col("_next").alias("_far"))
         jump = staged(jump.join(onward, [key, "_next"]).select(key, ts, F.col("_far").alias("_next")),
                       "replay-steps")
@@ -55,6 +55,13 @@ def replay_cache(log: DataFrame, ttl_s: int = 3600, key: str = "cache_key", ts:
             .drop("_store", "_first"))
 
 
+def _together(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def hit_ratio(replayed: DataFrame, by: list[str] = ()) -> DataFrame:
     return replayed.groupBy(*by).agg(
         F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses"),

@@ -43,6 +43,14 @@ def test_window_chunks_cover_the_whole_text(spark):
     assert [r.content for r in rows if r.doc_id == 2] == ["short"]
 
 
+def test_window_blocks_do_not_show(spark):
+    text = "".join(chr(97 + (i * i) % 26) for i in range(5000)) + "é" * 300
+    df = spark.createDataFrame([doc(1, text)], DOC)
+    cut = lambda block: [r.content for r in corpus.chunk_windows(df, block=block).orderBy("chunk_index").collect()]
+    want = [text[i:i + 512] for i in range(0, len(text) - 50, 462)]
+    assert cut(1) == cut(3) == cut(100) == want
+
+
 def test_ingest_twice_adds_nothing_and_replaces_old_chunks(spark):
     docs = spark.createDataFrame([doc(1, "alpha beta. " * 100), doc(2, "alpha beta. " * 100, "copy"), doc(3, "gamma")], DOC)
     documents, chunks = corpus.ingest(docs, None, "doc_id")
