@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import content_hash, document_key
 from millrace.functions.text import tokens
+from millrace.operators.silver import first_per_key
+from millrace.session import staged
 
 CHUNK_SIZE = 512
 CHUNK_OVERLAP = 50
@@ -176,17 +178,16 @@ def ingest(docs: DataFrame, existing: DataFrame | None, order: str, method: str
            load: Callable[[], Embedder] | None = None) -> tuple[DataFrame, DataFrame]:
     """New documents and their embedded chunks; contents already stored are skipped.
 
-    Write the chunks first and the document rows last, so that a stored document always has its
-    chunks.  If two new contents share path and version, the lowest in ``order`` is taken.
+    New documents and chunks are each written to scratch once, so that texts are hashed, split and
+    embedded a single time.  Store the chunks first and the document rows last, so that a stored
+    document always has its chunks.  If two new contents share path and version, the lowest in
+    ``order`` is taken.
     """
     fresh = unique_documents(with_identity(docs), order)
     if existing is not None:
         fresh = unseen(fresh, existing)
-    from millrace.operators.silver import first_per_key
-
-    winners = first_per_key(fresh.select("document_id", order), ["document_id"], [order])
-    fresh = fresh.join(winners, ["document_id", order], "left_semi")
-    chunks = embed(chunk(fresh, method=method), load=load).select(*CHUNK_COLUMNS)
+    fresh = staged(first_per_key(fresh, ["document_id"], [order]), "ingest-documents")
+    chunks = staged(embed(chunk(fresh, method=method), load=load).select(*CHUNK_COLUMNS), "ingest-chunks")
     counts = chunks.groupBy("document_id").agg(F.count(F.lit(1)).alias("chunk_count"))
     documents = (fresh.join(counts, "document_id", "left")
                  .withColumn("chunk_count", F.coalesce("chunk_count", F.lit(0).cast("long")))

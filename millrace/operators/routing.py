@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ratio
@@ -28,12 +27,16 @@ def with_partition(df: DataFrame, partitions: int = 100, limit: int = LARGE_CUST
 
 
 def hot_keys(df: DataFrame, key: str, times: float = 10.0, share_limit: float = 0.2) -> DataFrame:
-    """Rows per key, share of all rows, and flags for hot keys. Counts combine before the shuffle."""
-    every = W.partitionBy(F.lit(1))
+    """Rows per key, share of all rows, and flags for hot keys.
+
+    Counts combine before the shuffle; total and mean are scalar subqueries over the counts.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("messages"))
+    total = counts.agg(F.sum("messages").alias("t")).scalar()
+    mean = counts.agg(F.avg("messages").alias("m")).scalar()
     return counts.select(
-        key, "messages", ratio(F.col("messages"), F.sum("messages").over(every)).alias("traffic_share"),
-        (F.col("messages") > F.lit(times) * F.avg("messages").over(every)).alias("hot"),
+        key, "messages", ratio(F.col("messages"), total).alias("traffic_share"),
+        (F.col("messages") > F.lit(times) * mean).alias("hot"),
     ).withColumn("over_share", F.col("traffic_share") > share_limit)
 
 

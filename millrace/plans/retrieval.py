@@ -93,6 +93,17 @@ def _(spark, root):
     return documents
 
 
+@query("ingested_documents_windowed", "R13 U9 J4", C_ + """
+SELECT substring(sha256(source_path || ':' || version), 1, 16) AS document_id, sha256(content) AS file_hash, doc_type,
+       greatest(1, CAST(ceil((length(content) - 50) / 462.0) AS BIGINT)) AS chunk_count, length(content) AS total_chars
+FROM corpus WHERE doc_id IN (SELECT min(doc_id) FROM corpus GROUP BY sha256(content))
+  AND sha256(content) NOT IN (SELECT sha256(content) FROM corpus WHERE doc_type = 'ADR')""")
+def _(spark, root):
+    d = docs(spark, root)
+    documents, _ = corpus.ingest(d, corpus.with_identity(d.where("doc_type = 'ADR'")), "doc_id", method="window")
+    return documents.select("document_id", "file_hash", "doc_type", "chunk_count", "total_chars")
+
+
 # Search inputs -----------------------------------------------------------------------------------
 
 def vectors(spark, root):
