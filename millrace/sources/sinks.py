@@ -53,11 +53,13 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
             .option("kafka.acks", "all").option("topic", topic).option("checkpointLocation", checkpoint))
 
 
-def silver_batch_writer(path: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
+def silver_batch_writer(path: str, keys: list[str], order: list[str],
+                        files_per_day: int = 8) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that inserts rows whose key is not stored yet.
 
     Each batch owns the folder ``batch=<id>`` and overwrites it, so a batch replayed after a failure
-    neither loses nor repeats rows.  Stored rows are looked up only on the days of the batch.
+    neither loses nor repeats rows.  Stored rows are looked up only on the days of the batch.  A day of a
+    batch is spread over ``files_per_day`` tasks by key, since adaptive rebalancing is off in streams.
     """
     from millrace.operators.silver import first_per_key
 
@@ -71,7 +73,8 @@ def silver_batch_writer(path: str, keys: list[str], order: list[str]) -> Callabl
             days = rows.select("date").distinct()
             seen = stored.join(days, "date", "left_semi").select(*keys)
             fresh = rows.join(seen, keys, "left_anti")
-        (fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+        share = F.pmod(F.xxhash64(*keys), F.lit(files_per_day))
+        (fresh.repartition("date", share).withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "date").parquet(path))
         rows.unpersist()
 
