@@ -40,8 +40,7 @@ def table_stream(spark: SparkSession, root: str, name: str, files_per_trigger: i
 
 def folder_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """Line-delimited JSON messages arriving in a folder."""
-    return (pin_utc(spark).readStream.option("maxFilesPerTrigger", str(files_per_trigger))
-            .text(path).withColumnRenamed("value", "value"))
+    return pin_utc(spark).readStream.option("maxFilesPerTrigger", str(files_per_trigger)).text(path)
 
 
 def read_bronze(spark: SparkSession, path: str, date: str | None = None, hour: str | None = None) -> DataFrame:
