@@ -9,8 +9,12 @@ from millrace.session import pin_utc
 
 MODULES = {
     "op1_warc": "warc",
+    "op2_quality": "quality",
+    "op4_packing": "packing",
+    "op5_outliers": "outliers",
     "op6_urls": "urls",
     "op7_simhash": "simhash",
+    "op8_bpe": "bpe",
 }
 
 
