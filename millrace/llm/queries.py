@@ -15,6 +15,7 @@ MODULES = {
     "op6_urls": "urls",
     "op7_simhash": "simhash",
     "op8_bpe": "bpe",
+    "op9_pii": "pii",
 }
 
 
