@@ -151,7 +151,7 @@ class _Archive:
 
     def records(self):
         """Yields (headers, block) with block a function; it must be called, if at all, before the next record."""
-        while self._fill(1):
+        while self._fill(2) or self.buffer:
             if self.buffer[:1] in b"\r\n":  # what separates plain records
                 self._skip(1)
                 continue
