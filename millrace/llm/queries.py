@@ -10,6 +10,7 @@ from millrace.session import pin_utc
 MODULES = {
     "op1_warc": "warc",
     "op2_quality": "quality",
+    "op3_substring": "substrings",
     "op4_packing": "packing",
     "op5_outliers": "outliers",
     "op6_urls": "urls",
