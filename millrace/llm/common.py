@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -65,3 +66,27 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 64) -> D
         raise RuntimeError("components did not settle")
     tops = stars.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(tops)
+
+
+class Labels:
+    """Connected components inside one task: pairs are folded in block by block and never kept."""
+
+    def __init__(self, nodes: np.ndarray):
+        self.nodes = np.unique(nodes)
+        self.label = np.arange(len(self.nodes))
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Joins the nodes a[i] and b[i]."""
+        i, j = np.searchsorted(self.nodes, a), np.searchsorted(self.nodes, b)
+        while True:
+            x, y = self.label[i], self.label[j]
+            if (x == y).all():
+                return
+            np.minimum.at(self.label, np.maximum(x, y), np.minimum(x, y))
+            while (self.label != self.label[self.label]).any():
+                self.label = self.label[self.label]
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """One edge per node that is not the first of its component, to the first."""
+        moved = self.label != np.arange(len(self.nodes))
+        return self.nodes[moved], self.nodes[self.label[moved]]

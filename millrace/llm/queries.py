@@ -17,6 +17,7 @@ MODULES = {
     "op7_simhash": "simhash",
     "op8_bpe": "bpe",
     "op9_pii": "pii",
+    "op10_embeddings": "embeddings",
 }
 
 
