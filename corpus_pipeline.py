@@ -5,24 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash
+from millrace.llm import outliers, packing, pii, simhash, substrings
 from millrace.session import pin_utc, staged
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """n_chars of texts that a stage may have changed."""
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or lie far outside their language and source go."""
+    return outliers.keep(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the least id."""
     return simhash.representatives(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more stay in the document with the least id alone."""
+    return _counted(substrings.without_repeats(docs))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    return _counted(pii.masked(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the tokenized documents with their places in training sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("personal_data", personal_data),
+    ("packed", packed),
 ]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # robust estimates, bit-wise links and tokenizers are beyond SQL; tests hold the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to the documents table; each stage's rows are written and read again."""
     docs = pin_utc(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

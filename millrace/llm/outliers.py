@@ -209,10 +209,10 @@ def judged(docs: DataFrame, min_rows: int = 100, tail: float = 1e-9) -> DataFram
 def keep(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps."""
     good = staged(judged(docs, **options).where("kept").select(
-        *[F.col(c).alias(f"k_{c}") for c in ("doc_id", "text_hash", "lang", "source")]).distinct(), "rules-kept")
-    same = F.xxhash64("text") == F.col("k_text_hash")
+        *[F.col(c).alias(f"__{c}") for c in ("doc_id", "text_hash", "lang", "source")]).distinct(), "rules-kept")
+    same = F.xxhash64("text") == F.col("__text_hash")
     for c in ("doc_id", "lang", "source"):
-        same = same & F.col(c).eqNullSafe(F.col(f"k_{c}"))
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
     return docs.join(good, same, "left_semi")
 
 

@@ -171,7 +171,7 @@ def masked(docs: DataFrame, **options) -> DataFrame:
     """
     rows, spans = spans_of(docs, **options)
     of = rows.join(_per_row(spans), "row").select(
-        F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), F.col("spans").alias("m_spans")).dropDuplicates(["m_id", "m_hash"])
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")).dropDuplicates(["__id", "__hash"])
     of = staged(of, "pii-masks")
     text = F.col("text")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
@@ -182,10 +182,10 @@ def masked(docs: DataFrame, **options) -> DataFrame:
             s.end.alias("at"), F.concat(acc.out, before, F.lit("["), F.upper(s.kind), F.lit("]")).alias("out"))
         ).otherwise(F.struct(F.greatest(acc.at, s.end).alias("at"), acc.out.alias("out")))
 
-    clean = F.aggregate("m_spans", start, add, lambda acc: F.concat(
+    clean = F.aggregate("__spans", start, add, lambda acc: F.concat(
         acc.out, text.substr((acc.at + 1).cast("int"), F.length(text))))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_hash"))
-    return docs.join(of, same, "left").withColumn("text", F.coalesce(clean, text)).drop("m_id", "m_hash", "m_spans")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(of, same, "left").withColumn("text", F.coalesce(clean, text)).drop("__id", "__hash", "__spans")
 
 
 def query(spark: SparkSession, root: str) -> DataFrame:

@@ -219,10 +219,10 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     rows, of_fp = classes(docs, shingle, radius)
     per_fp = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
     kept = per_fp.join(of_fp, "fp").groupBy("component").agg(F.min("best").alias("best"))
-    kept = staged(kept.select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_hash").alias("kept_hash")), "simhash-kept")
-    hashed = docs.withColumn("kept_hash", F.xxhash64("text"))
-    same = hashed.doc_id.eqNullSafe(kept.kept_id) & (hashed.kept_hash == kept.kept_hash)
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "kept_hash"]).drop("kept_hash")
+    kept = staged(kept.select(F.col("best.doc_id").alias("__id"), F.col("best.text_hash").alias("__kept")), "simhash-kept")
+    hashed = docs.withColumn("__hash", F.xxhash64("text"))
+    same = hashed.doc_id.eqNullSafe(kept["__id"]) & (hashed["__hash"] == kept["__kept"])
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__hash"]).drop("__hash")
 
 
 def query(spark: SparkSession, root: str) -> DataFrame:

@@ -251,9 +251,9 @@ def _kept(n: int, parts: list | None) -> np.ndarray:
 
 def _with_parts(docs: DataFrame, window: int) -> DataFrame:
     found = staged(repeats(docs, window), "repeat-parts").select(
-        F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"), "parts")
-    same = (F.col("doc_id").cast("long") == F.col("r_id")) & (F.xxhash64("text") == F.col("r_hash"))
-    return docs.join(found, same, "left").drop("r_id", "r_hash")
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("parts").alias("__parts"))
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(found, same, "left").drop("__id", "__hash")
 
 
 def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -268,7 +268,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             for rows in slices(batch, "text"):
                 out = []
-                for text, parts in zip(raw(rows.column("text")), rows.column("parts").to_pylist()):
+                for text, parts in zip(raw(rows.column("text")), rows.column("__parts").to_pylist()):
                     words = words_of(text)
                     kept = _kept(len(words), parts)
                     left = words if not parts else [w for w, k in zip(words, kept) if k]
@@ -292,7 +292,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return texts.combine(parts, lambda t, p: _cut(t, p) if t is not None and p is not None else t)
 
     return _with_parts(docs, window).withColumn(
-        "text", F.when(F.col("parts").isNull(), F.col("text")).otherwise(cut("text", "parts"))).drop("parts")
+        "text", F.when(F.col("__parts").isNull(), F.col("text")).otherwise(cut("text", "__parts"))).drop("__parts")
 
 
 def _cut(text: str, parts) -> str:
