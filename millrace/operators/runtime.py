@@ -90,43 +90,60 @@ def missed_heartbeats(state: DataFrame, asof: str, every_s: int = 60) -> DataFra
 
 
 def sla_uptime(periods: DataFrame, operating: DataFrame) -> DataFrame:
-    """Per device and local day: runtime and downtime inside and outside expected hours.
+    """Per device and local day: runtime and downtime, unplanned in expected hours and planned otherwise.
+
+    Planned downtime is downtime of the local day outside the expected hours, or in a maintenance window inside
+    them.  Events count the unplanned downtimes and the maintenance windows of the expected hours; the longest
+    downtime is that of a whole period, however often midnight cuts it.
 
     Both sides are cut at UTC midnights and joined on (device, UTC day), which keeps the join an
     equi-join and spreads a busy device over its days.
     """
-    pieces = split_by_day(periods).select(
-        "device_id", F.col("date").alias("utc_date"), "period_start", "period_end", "period_type")
-    open_days = operating.where("op_start IS NOT NULL")
-    spread = (open_days
-              .withColumn("utc_date", F.explode(F.sequence(F.to_date("op_start"), F.to_date("op_end"))))
-              .select("device_id", "utc_date", "date", "op_start", "op_end", "maintenance_windows"))
+    pieces = split_by_day(periods.withColumn("_of", F.col("period_start"))).select(
+        "device_id", "_of", F.col("date").alias("utc_date"), "period_start", "period_end", "period_type")
+    first = F.to_date(F.least("day_start", "op_start"))
+    last = F.to_date(F.greatest("day_end", "op_end"))
+    spread = (operating.withColumn("utc_date", F.explode(F.sequence(first, last)))
+              .select("device_id", "utc_date", "date", "day_start", "day_end", "op_start", "op_end",
+                      "maintenance_windows"))
     both = pieces.join(spread, ["device_id", "utc_date"])
-    start = F.greatest("period_start", "op_start")
-    end = F.least("period_end", "op_end")
-    inside = overlap_micros(F.col("period_start"), F.col("period_end"), F.col("op_start"), F.col("op_end"))
-    planned = F.when(start < end, maintenance_micros(start, end)).otherwise(F.lit(0).cast("long"))
-    both = both.withColumns({"_inside": inside, "_planned": planned}).where("_inside > 0")
+    start, end = F.greatest("period_start", "op_start"), F.least("period_end", "op_end")
+    piece = F.col("period_start"), F.col("period_end")
+    shared = F.greatest("day_start", "op_start"), F.least("day_end", "op_end")
+    zero = F.lit(0).cast("long")
+    known = F.col("op_start").isNotNull()
+    both = both.withColumns({
+        "_inside": overlap_micros(*piece, F.col("op_start"), F.col("op_end")),
+        "_outside": overlap_micros(*piece, F.col("day_start"), F.col("day_end"))
+        - F.when(known, overlap_micros(*piece, *shared)).otherwise(zero),
+        "_served": F.when(known & (start < end), maintenance_micros(start, end)).otherwise(zero),
+    }).where("_inside > 0 OR _outside > 0")
     running = F.col("period_type") == "running"
-    used = both.groupBy("device_id", "date").agg(
+    whole = both.groupBy("device_id", "date", "_of").agg(
         F.sum(F.when(running, F.col("_inside")).otherwise(0)).alias("_run"),
-        F.sum(F.when(~running, F.col("_inside") - F.col("_planned")).otherwise(0)).alias("_unplanned"),
-        F.sum(F.when(~running, F.col("_planned")).otherwise(0)).alias("_planned"),
-        F.max(F.when(~running, F.col("_inside") - F.col("_planned"))).alias("_longest"))
-    zero = F.lit(0).cast("long")
-    run, unplanned = F.coalesce("_run", zero), F.coalesce("_unplanned", zero)
+        F.sum(F.when(~running, F.col("_inside") - F.col("_served")).otherwise(0)).alias("_unplanned"),
+        F.sum(F.when(~running, F.col("_outside") + F.col("_served")).otherwise(0)).alias("_planned"))
+    used = whole.groupBy("device_id", "date").agg(
+        F.sum("_run").alias("_run"), F.sum("_unplanned").alias("_unplanned"), F.sum("_planned").alias("_planned"),
+        F.max("_unplanned").alias("_longest"), F.count_if(F.col("_unplanned") > 0).alias("_events"))
+    run, unplanned, planned = (F.coalesce(c, zero) for c in ("_run", "_unplanned", "_planned"))
     expected = F.col("expected_micros")
+    served = F.filter(F.coalesce("maintenance_windows", F.array()), lambda w: overlap_micros(
+        w["start"], w["end"], F.col("op_start"), F.col("op_end")) > 0)
     hour, minute = F.lit(3.6e9), F.lit(6e7)
     return (operating.join(used, ["device_id", "date"], "left").select(
         "device_id", "customer_id", "date",
         (expected / hour).alias("expected_operating_hours"),
         (run / hour).alias("runtime_hours"),
         (unplanned / hour).alias("offline_unplanned_hours"),
-        (F.coalesce("_planned", zero) / hour).alias("offline_planned_hours"),
+        (planned / hour).alias("offline_planned_hours"),
         (F.greatest(zero, expected - run - unplanned) / hour).alias("idle_hours"),
         (ratio(run, expected) * 100.0).alias("uptime_pct"),
         (ratio(run, expected - F.col("maintenance_micros")) * 100.0).alias("sla_uptime_pct"),
-        (F.coalesce("_longest", zero) / minute).alias("longest_offline_minutes")))
+        F.coalesce("_events", zero).alias("offline_events_unplanned"),
+        F.size(served).cast("long").alias("offline_events_planned"),
+        (F.coalesce("_longest", zero) / minute).alias("longest_offline_minutes"),
+        ((unplanned + planned) / minute).alias("total_offline_duration_minutes")))
 
 
 def running_sessions(silver: DataFrame, gap: str = "5 minutes") -> DataFrame:

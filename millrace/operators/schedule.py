@@ -94,10 +94,12 @@ def expected_to_run(df: DataFrame, schedules: DataFrame, ts_col: str = "timestam
     return out.withColumn("expected", F.col("reason").isin("24x7_operation", "in_operating_hours"))
 
 
-def operating_periods(devices: DataFrame, schedules: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """One row per device and local day: the expected interval in UTC and its maintenance share.
+def operating_periods(devices: DataFrame, schedules: DataFrame, first_day: str, last_day: str,
+                      strict: bool = True) -> DataFrame:
+    """One row per device and local day: the day and its expected interval in UTC, and its maintenance share.
 
-    ``devices`` has one row per device.  Holidays and unscheduled days have zero expected seconds.
+    ``devices`` has one row per device.  Holidays and unscheduled days have zero expected seconds.  With
+    ``strict=False`` a shift that ends before it starts ends on the next day; otherwise it has none.
     """
     days = F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
     rows = (resolve_schedules(devices.select("device_id", "customer_id", "facility"), schedules)
@@ -107,18 +109,21 @@ def operating_periods(devices: DataFrame, schedules: DataFrame, first_day: str,
     always = F.col("schedule_type") == ALWAYS
     start_min = F.when(always, 0).otherwise(_minutes(hours["start"]))
     end_min = F.when(always, 1440).otherwise(_minutes(hours["end"]))
+    if not strict:
+        end_min = F.when(end_min < start_min, end_min + 1440).otherwise(end_min)
     off = ~always & (hours.isNull() | F.coalesce(F.array_contains("holidays", F.col("date")), F.lit(False)))
 
     def instant(minute: Column) -> Column:
-        local = midnight + F.make_dt_interval(mins=minute)
-        return F.when(~off, F.to_utc_timestamp(local, F.col("timezone")))
+        return F.to_utc_timestamp(midnight + F.make_dt_interval(mins=minute), F.col("timezone"))
 
-    rows = rows.withColumns({"op_start": instant(start_min), "op_end": instant(end_min)})
+    rows = rows.withColumns({
+        "day_start": instant(F.lit(0)), "day_end": instant(F.lit(1440)),
+        "op_start": F.when(~off, instant(start_min)), "op_end": F.when(~off, instant(end_min))})
     rows = rows.withColumn("maintenance_windows", F.when(
         ~always, F.col("maintenance_windows")))
     start, end = F.col("op_start"), F.col("op_end")
     return rows.select(
-        "device_id", "customer_id", "date", "op_start", "op_end", "maintenance_windows",
+        "device_id", "customer_id", "date", "day_start", "day_end", "op_start", "op_end", "maintenance_windows",
         overlap_micros(start, end, start, end).alias("expected_micros"),
         maintenance_micros(start, end).alias("maintenance_micros"))
 

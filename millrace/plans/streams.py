@@ -145,18 +145,45 @@ def _(spark, root):
     return heartbeat.changes_batch(beats, "2024-01-31 00:00:00").select("device_id", "status", "changed_at")
 
 
-@query("stream_progress", "S10 ST10", "SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS timed FROM events")
+@query("stream_dead_letters", "F3 ST2", T_ + """
+SELECT 'rejected' AS part, reject_reason, count(*) AS messages FROM (
+  SELECT CASE WHEN vibration_mm_s > 50 THEN 'out_of_range_vibration_mm_s' END AS reject_reason FROM telemetry) x
+WHERE reject_reason IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'stored', NULL, count(*) FROM telemetry WHERE vibration_mm_s IS NULL OR vibration_mm_s <= 50""")
 def _(spark, root):
+    # No message is lost: every row is stored or rejected with a reason.
     raw = message_stream(spark, root)
-    seen = {}
+    path, _ = jobs.run_writer(
+        lambda out, state: jobs.to_silver(raw, out, state, {"availableNow": True}, ["cycle_count"]), "letters", spark)
+    rejected = spark.read.parquet(jobs.rejected_path(path)).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("messages"))
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("messages"))
+    return rejected.select(F.lit("rejected").alias("part"), "reject_reason", "messages").unionByName(
+        stored.select(F.lit("stored").alias("part"), F.lit(None).cast("string").alias("reject_reason"), "messages"))
+
+
+@query("stream_late_rows", "ST7 ST11", T_ + f"""
+SELECT CASE WHEN epoch(sent_at - "timestamp") > 600 THEN 'late' ELSE 'in time' END AS part, customer_id,
+       {ts('date_trunc(\'hour\', "timestamp")')} AS hour, count(*) AS messages FROM telemetry GROUP BY 1, 2, 3""")
+def _(spark, root):
+    # The two branches of one stream: what the stateful steps get, and the hours to reprocess.
+    in_time, late = jobs.split_late(telemetry_stream(spark, root))
+    out = None
+    for part, stream in (("in time", in_time), ("late", late)):
+        stored = jobs.run_to_files(stream.select("customer_id", "timestamp"), "branch")
+        counted = stored.groupBy("customer_id", F.date_trunc("hour", "timestamp").alias("hour")).agg(
+            F.count(F.lit(1)).alias("messages")).withColumn("part", F.lit(part))
+        out = counted if out is None else out.unionByName(counted)
+    return out
 
-    def start(out, state):
-        seen["query"] = jobs.to_silver(raw, out, state, {"availableNow": True}, ["cycle_count"])
-        return seen["query"]
 
-    jobs.run_writer(start, "progress", spark)
-    rows = progress.progress_rows(spark, seen["query"])
-    return rows.agg(F.sum("input_rows").alias("input_rows"), (F.sum("duration_ms") > 0).alias("timed"))
+@query("stream_progress", "S10 ST10", "SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS timed FROM events")
+def _(spark, root):
+    raw = message_stream(spark, root)
+    with progress.ProgressLog(spark, scratch_dir(spark, "progress-log")) as log:
+        _, run = jobs.run_writer(
+            lambda out, state: jobs.to_silver(raw, out, state, {"availableNow": True}, ["cycle_count"]), "progress", spark)
+        log.wait(run)
+    return log.rows().agg(F.sum("input_rows").alias("input_rows"), (F.sum("duration_ms") > 0).alias("timed"))
 
 
 @query("job_counters", "S10", T_ + """

@@ -210,7 +210,7 @@ FROM telemetry WHERE "timestamp" >= TIMESTAMP '2024-01-14 13:00:00' AND "timesta
 def _(spark, root):
     # Written whole under its event-time folders, then one hour is read by folder pruning.
     path = scratch_dir(spark, "bronze")
-    sinks.write_bronze(bronze_messages(spark, root), path, ["date", "hour"], tasks=8)
+    sinks.write_bronze(bronze_messages(spark, root), path, ["date", "hour"])
     s = run_summary(read_bronze(spark, path, "2024-01-14", "13"), "2024-01-14 13:00")
     return s.select((F.col("files_processed") > 0).alias("has_files"), "records_inserted", "execution_hour")
 

@@ -43,7 +43,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_ROOT:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from millrace.operators.silver import parse_messages
 from millrace.schemas import BRONZE, CORRUPT
@@ -38,17 +39,12 @@ def table_stream(spark: SparkSession, root: str, name: str, files_per_trigger: i
     return reader.parquet(path)
 
 
-def folder_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Line-delimited JSON messages arriving in a folder."""
-    return pin_utc(spark).readStream.option("maxFilesPerTrigger", str(files_per_trigger)).text(path)
-
-
 def read_bronze(spark: SparkSession, path: str, date: str | None = None, hour: str | None = None) -> DataFrame:
     """Bronze messages of a slice; ``date`` and ``hour`` prune folders before any file is read.
 
     Malformed objects come back with the raw text in the corrupt-record column.
     """
-    schema = BRONZE.add("date", "date").add("hour", "string") if "date" not in BRONZE.names else BRONZE
+    schema = StructType([*BRONZE.fields, StructField("date", DateType()), StructField("hour", StringType())])
     out = (pin_utc(spark).read.schema(schema).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
     if date is not None:

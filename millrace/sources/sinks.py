@@ -20,16 +20,12 @@ def with_event_partitions(messages: DataFrame) -> DataFrame:
     return partition_columns(stamped, "_ts").drop("_ts")
 
 
-def write_bronze(messages: DataFrame, path: str, by: list[str] = BRONZE_PARTITIONS,
-                 tasks: int | None = None) -> None:
+def write_bronze(messages: DataFrame, path: str, by: list[str] = BRONZE_PARTITIONS) -> None:
     """Appends raw messages as compressed JSON under customer, date and hour, or coarser folders.
 
     The rebalance hint gives each partition few files and splits a hot customer over several tasks.
-    A small batch has more folders than megabytes; ``tasks`` then spreads the creation of files.
     """
-    rows = with_event_partitions(messages)
-    cols = [F.col(c) for c in by]
-    rows = rows.repartition(tasks, *cols) if tasks else rows.hint("rebalance", *cols)
+    rows = with_event_partitions(messages).hint("rebalance", *[F.col(c) for c in by])
     (rows.write.mode("append").partitionBy(*by)
      .option("compression", "gzip").json(path))
 
@@ -54,12 +50,12 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
 
 
 def silver_batch_writer(path: str, keys: list[str], order: list[str],
-                        files_per_day: int = 8) -> Callable[[DataFrame, int], None]:
+                        rows_per_file: int = 1_000_000) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that inserts rows whose key is not stored yet.
 
     Each batch owns the folder ``batch=<id>`` and overwrites it, so a batch replayed after a failure
     neither loses nor repeats rows.  Stored rows are looked up only on the days of the batch.  A day of a
-    batch is spread over ``files_per_day`` tasks by key, since adaptive rebalancing is off in streams.
+    batch is spread by key over as many tasks as its rows need, since adaptive rebalancing is off in streams.
     """
     from millrace.operators.silver import first_per_key
 
@@ -73,14 +69,31 @@ def silver_batch_writer(path: str, keys: list[str], order: list[str],
             days = rows.select("date").distinct()
             seen = stored.join(days, "date", "left_semi").select(*keys)
             fresh = rows.join(seen, keys, "left_anti")
-        share = F.pmod(F.xxhash64(*keys), F.lit(files_per_day))
-        (fresh.repartition("date", share).withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+        sizes = rows.groupBy("date").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_shares"))
+        share = F.pmod(F.xxhash64(*keys), F.col("_shares"))
+        (fresh.join(sizes, "date").repartition("date", share).drop("_shares")
+         .withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "date").parquet(path))
         rows.unpersist()
 
     return write
 
 
+def rejecting_batch_writer(write: Callable[[DataFrame, int], None], rejected_path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that passes valid rows to ``write`` and keeps the others, with their reason.
+
+    Rows carry ``reject_reason``.  The rejected rows of a batch own a folder, like its valid ones.
+    """
+    def both(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        write(batch.where("reject_reason IS NULL").drop("reject_reason"), batch_id)
+        (batch.where("reject_reason IS NOT NULL").withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(rejected_path))
+        batch.unpersist()
+
+    return both
+
+
 def _exists(spark, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

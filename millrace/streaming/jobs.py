@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.columns import device_temperature, is_server_error
 from millrace.operators.rules import threshold_events
-from millrace.operators.silver import flatten_telemetry, parse_messages, validate, with_quality_score
+from millrace.operators.silver import (LATE_SECONDS, flatten_telemetry, parse_messages, with_lateness, with_quality_score,
+                                       with_reject_reason)
 from millrace.session import scratch_dir
-from millrace.sources.sinks import BRONZE_PARTITIONS, silver_batch_writer, with_event_partitions
+from millrace.sources.sinks import BRONZE_PARTITIONS, rejecting_batch_writer, silver_batch_writer, with_event_partitions
 
 LATE = "10 minutes"
 
@@ -28,15 +29,30 @@ def to_bronze(raw: DataFrame, path: str, checkpoint: str, trigger: dict,
             .trigger(**trigger).start())
 
 
+def rejected_path(path: str) -> str:
+    """Where ``to_silver`` keeps the rejected messages of the table at ``path``."""
+    return f"{path.rstrip('/')}_rejected"
+
+
 def to_silver(raw: DataFrame, path: str, checkpoint: str, trigger: dict, order: list[str]) -> StreamingQuery:
-    """Flattens, validates and inserts new keys batch by batch."""
+    """Flattens, validates and inserts new keys batch by batch; rejected rows go to the dead-letter table beside."""
     flat = flatten_telemetry(parse_messages(raw.select("value"))).withColumn("temperature_c", device_temperature())
-    good, _ = validate(flat)
-    writer = silver_batch_writer(path, ["device_id", "timestamp"], order)
-    return (with_quality_score(good).writeStream.foreachBatch(writer)
+    marked = with_reject_reason(with_quality_score(flat))
+    writer = rejecting_batch_writer(silver_batch_writer(path, ["device_id", "timestamp"], order), rejected_path(path))
+    return (marked.writeStream.foreachBatch(writer)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+def split_late(silver: DataFrame, late_s: int = LATE_SECONDS) -> tuple[DataFrame, DataFrame]:
+    """Rows sent in time, and late ones tagged with their latency.
+
+    Stateful steps drop what arrives behind their watermark.  Fed with the first part they lose nothing that was
+    sent in order; the second part goes to a table, whose hours ``late_hours`` picks for reprocessing.
+    """
+    tagged = with_lateness(silver, late_s=late_s)
+    return tagged.where(~F.col("is_late_data")).drop("latency_seconds", "is_late_data"), tagged.where("is_late_data")
+
+
 def deduplicated(silver: DataFrame, keys=("device_id", "timestamp"), late: str = LATE) -> DataFrame:
     """First arrival per key; state is dropped once the watermark has passed."""
     return silver.withWatermark("timestamp", late).dropDuplicatesWithinWatermark(list(keys))

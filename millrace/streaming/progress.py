@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import threading
+from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-PROGRESS = ("batch_id long, input_rows long, rows_per_s double, duration_ms long, "
+PROGRESS = ("run_id string, batch_id long, input_rows long, rows_per_s double, duration_ms long, "
             "source string, end_offset string, latest_offset string")
 LAG = "partition string, lag long"
 
@@ -20,16 +22,60 @@ def counted(df: DataFrame, rejected: Column) -> tuple[DataFrame, Observation]:
                       F.count_if(~rejected).alias("inserted")), seen
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per finished micro-batch and source."""
-    rows = []
-    for p in query.recentProgress:
-        p = p if isinstance(p, dict) else json.loads(p.json)
-        for s in p["sources"]:
-            rows.append((p["batchId"], s["numInputRows"], float(s.get("processedRowsPerSecond") or 0.0),
-                         p["durationMs"].get("triggerExecution", 0), s["description"],
-                         _text(s.get("endOffset")), _text(s.get("latestOffset"))))
-    return spark.createDataFrame(rows, PROGRESS)
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress event of all queries of the session to a table, batch after batch.
+
+    A query itself remembers only its newest events; the table has them all.  Events are written when ``every`` of
+    them are held and when a query ends.  Use ``with ProgressLog(spark, path) as log`` and read ``log.rows()``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        self.spark, self.path, self.every = spark, path, every
+        self.held: list[tuple] = []
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+        self.flush()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.held += rows_of(json.loads(event.progress.json))
+        if len(self.held) >= self.every:
+            self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+        self.ended[str(event.runId)].set()
+
+    def flush(self) -> None:
+        rows, self.held = self.held, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def wait(self, query: StreamingQuery, seconds: float = 120.0) -> None:
+        """Events arrive a little after a query's end."""
+        if not self.ended[str(query.runId)].wait(seconds):
+            raise TimeoutError("the end of the query was not reported")
+
+    def rows(self) -> DataFrame:
+        """One row per finished micro-batch and source."""
+        return self.spark.read.schema(PROGRESS).parquet(self.path)
+
+
+def rows_of(event: dict) -> list[tuple]:
+    return [(event["runId"], event["batchId"], s["numInputRows"], float(s.get("processedRowsPerSecond") or 0.0),
+             event["durationMs"].get("triggerExecution", 0), s["description"], _text(s.get("endOffset")),
+             _text(s.get("latestOffset"))) for s in event["sources"]]
 
 
 def _text(offset) -> str | None:

@@ -67,13 +67,36 @@ def test_late_silver_batches_and_progress(spark, root):
     for _ in range(2):  # the same messages twice, in two files
         tables.as_messages(t.orderBy("message_id")).coalesce(1).write.mode("append").parquet(path)
     raw = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 1).parquet(path)
-    out, query = jobs.run_writer(
-        lambda o, s: jobs.to_silver(raw, o, s, {"availableNow": True}, ["cycle_count"]), "silver", spark)
+    with progress.ProgressLog(spark, scratch_dir(spark, "log")) as log:
+        out, query = jobs.run_writer(
+            lambda o, s: jobs.to_silver(raw, o, s, {"availableNow": True}, ["cycle_count"]), "silver", spark)
+        log.wait(query)
     kept = spark.read.parquet(out)
+    rejected = spark.read.parquet(jobs.rejected_path(out))
+    assert rejected.count() == 2 * t.where("vibration_mm_s > 50").count()
     assert kept.count() == t.where("vibration_mm_s IS NULL OR vibration_mm_s <= 50").count()
     assert kept.select("batch").distinct().count() == 1
-    rows = progress.progress_rows(spark, query)
-    assert rows.agg(F.sum("input_rows")).first()[0] == 600
+    assert log.rows().agg(F.sum("input_rows")).first()[0] == 600
+
+
+def test_progress_of_more_batches_than_a_query_remembers(spark):
+    path = scratch_dir(spark, "many")
+    spark.range(105).select(F.col("id").cast("string").alias("value"), "id").repartitionByRange(105, "id").write.partitionBy("id").text(path)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
+    with progress.ProgressLog(spark, scratch_dir(spark, "log")) as log:
+        query = (stream.writeStream.format("noop").option("checkpointLocation", scratch_dir(spark, "state"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        log.wait(query)
+    rows = log.rows().where(F.col("run_id") == str(query.runId))
+    assert rows.agg(F.sum("input_rows"), F.count_distinct("batch_id")).first()[:2] == (105, 105)
+
+
+def test_late_branch_and_the_rest_make_the_whole(spark, root):
+    t = tables.telemetry(spark, root)
+    in_time, late = jobs.split_late(t)
+    assert in_time.columns == t.columns and in_time.count() + late.count() == t.count()
+    assert late.agg(F.min("latency_seconds")).first()[0] > 600
 
 
 def test_lag_counts_from_next_offsets(spark):

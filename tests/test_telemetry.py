@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import gold, rules, runtime, schedule, silver, state, upsert
-from millrace.schemas import DEVICE_STATE, SCHEDULE
+from millrace.operators.runtime import sla_uptime
+from millrace.operators.schedule import operating_periods
+from millrace.schemas import BRONZE, DEVICE_STATE, SCHEDULE
 from millrace.session import scratch_dir
 from millrace.sources import sinks
 from millrace.sources.messages import read_bronze, run_summary
@@ -182,3 +184,37 @@ def test_reset_aware_counter(spark):
     rows = [("d", dt.datetime(2024, 1, 1, 0, i), c) for i, c in enumerate([990, 995, 3, 10])]
     r = gold.counter_increase(spark.createDataFrame(rows, "device_id string, timestamp timestamp, cycle_count int")).first()
     assert (r.max_min_delta, r.reset_aware_delta) == (992, 12)
+
+
+def _uptime(spark, zone, hours, gaps, strict=True):
+    """SLA rows of a device with one weekly shift, from (start, end, type) periods in UTC."""
+    week = {d: hours for d in "monday tuesday wednesday thursday friday saturday sunday".split()}
+    plan = spark.createDataFrame([("device", "d", zone, "weekly", week, None, None, dt.datetime(2023, 1, 1), None)], SCHEDULE)
+    devices = spark.createDataFrame([("d", "c", "f")], "device_id string, customer_id string, facility string")
+    days = operating_periods(devices, plan, "2024-01-08", "2024-01-10", strict)
+    rows = [("d", dt.datetime.fromisoformat(a), dt.datetime.fromisoformat(b), kind) for a, b, kind in gaps]
+    periods = spark.createDataFrame(rows, "device_id string, period_start timestamp, period_end timestamp, period_type string")
+    return {str(r.date): r for r in sla_uptime(periods, days).collect()}
+
+
+def test_longest_downtime_is_not_cut_at_utc_midnight(spark):
+    # Shift 08-20 in Los Angeles is 16-04 UTC; silent from 20 to 06 UTC, so 8 hours of it in one go.
+    r = _uptime(spark, "America/Los_Angeles", ("08:00", "20:00"), [
+        ("2024-01-08T16:00", "2024-01-08T20:00", "running"), ("2024-01-08T20:00", "2024-01-09T06:00", "extended_offline")])["2024-01-08"]
+    assert (r.runtime_hours, r.offline_unplanned_hours, r.offline_planned_hours) == (4.0, 8.0, 2.0)
+    assert (r.longest_offline_minutes, r.offline_events_unplanned, r.offline_events_planned) == (480.0, 1, 0)
+    assert r.total_offline_duration_minutes == 600.0
+
+
+def test_night_shifts_end_on_the_next_day(spark):
+    gaps = [("2024-01-08T22:00", "2024-01-09T02:00", "running"), ("2024-01-09T02:00", "2024-01-09T05:00", "offline"),
+            ("2024-01-09T05:00", "2024-01-09T06:00", "running")]
+    r = _uptime(spark, "UTC", ("22:00", "06:00"), gaps, strict=False)["2024-01-08"]
+    assert (r.expected_operating_hours, r.runtime_hours, r.offline_unplanned_hours) == (8.0, 5.0, 3.0)
+    assert _uptime(spark, "UTC", ("22:00", "06:00"), gaps)["2024-01-08"].expected_operating_hours == 0.0
+
+
+def test_reading_bronze_leaves_the_schema_alone(spark, tmp_path):
+    before = BRONZE.names.copy()
+    read_bronze(spark, "file://" + str(tmp_path))
+    assert BRONZE.names == before
