@@ -23,7 +23,3 @@ def cosine_similarity(a: Column, b: Column) -> Column:
     x, y = doubles(a), doubles(b)
     scale = F.nullif(norm(x) * norm(y), F.lit(0.0))
     return F.when(F.size(x) == F.size(y), dot(x, y) / scale)
-
-
-def cosine_distance(a: Column, b: Column) -> Column:
-    return F.lit(1.0) - cosine_similarity(a, b)

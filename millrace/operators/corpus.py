@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,14 +136,23 @@ def chunk(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 
 
 def embed_hashed(df: DataFrame, text_col: str = "content", dim: int = 64, out: str = "embedding") -> DataFrame:
-    """Default embedding: token counts hashed to ``dim`` cells, scaled to length one."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
+    """Default embedding: token counts in ``dim`` cells, scaled to length one.
 
-    tokenised = df.withColumn("_tokens", tokens(F.coalesce(F.col(text_col), F.lit(""))))
-    hashed = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim).transform(tokenised)
-    scaled = Normalizer(inputCol="_tf", outputCol="_unit").transform(hashed)
-    return scaled.withColumn(out, vector_to_array("_unit", "float32")).drop("_tokens", "_tf", "_unit")
+    A token's cell is the number of its first eight SHA-256 digits modulo ``dim``, the same in every engine.
+    """
+    def cell(token: Column) -> Column:
+        return F.pmod(F.conv(F.substring(F.sha2(token, 256), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def unit(cells: pd.Series) -> pd.Series:
+        def one(own) -> np.ndarray:
+            counts = np.bincount(own, minlength=dim).astype(np.float64)
+            return (counts / (np.sqrt((counts * counts).sum()) or 1.0)).astype(np.float32)
+
+        return cells.map(one)
+
+    cells = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))), cell)
+    return df.withColumn(out, unit(cells))
 
 
 Embedder = Callable[[list[str]], list[list[float]]]
@@ -174,19 +184,31 @@ CHUNK_COLUMNS = ["document_id", "tenant_id", "chunk_index", "doc_type", "title",
                  "last_updated", "content", "chunk_size", "embedding"]
 
 
+def newest(docs: DataFrame, order: str) -> DataFrame:
+    """Of documents with one id the highest in ``order``, which is unique."""
+    keep = docs.groupBy("document_id").agg(F.max(order).alias(order)).select(order)
+    return docs.join(keep, order, "left_semi")
+
+
+def superseded(docs: DataFrame, order: str) -> DataFrame:
+    """The documents that ``newest`` leaves out, to be reported as rejects."""
+    keep = docs.groupBy("document_id").agg(F.max(order).alias(order)).select(order)
+    return docs.join(keep, order, "left_anti")
+
+
 def ingest(docs: DataFrame, existing: DataFrame | None, order: str, method: str = "recursive",
            load: Callable[[], Embedder] | None = None) -> tuple[DataFrame, DataFrame]:
     """New documents and their embedded chunks; contents already stored are skipped.
 
     New documents and chunks are each written to scratch once, so that texts are hashed, split and
     embedded a single time.  Store the chunks first and the document rows last, so that a stored
-    document always has its chunks.  If two new contents share path and version, the lowest in
-    ``order`` is taken.
+    document always has its chunks.  If several new contents share path and version, the highest in
+    ``order``, which is the newest, is taken; ``superseded`` has the others.  Ids decide, texts don't travel.
     """
     fresh = unique_documents(with_identity(docs), order)
     if existing is not None:
         fresh = unseen(fresh, existing)
-    fresh = staged(first_per_key(fresh, ["document_id"], [order]), "ingest-documents")
+    fresh = staged(newest(fresh, order), "ingest-documents")
     chunks = staged(embed(chunk(fresh, method=method), load=load).select(*CHUNK_COLUMNS), "ingest-chunks")
     counts = chunks.groupBy("document_id").agg(F.count(F.lit(1)).alias("chunk_count"))
     documents = (fresh.join(counts, "document_id", "left")

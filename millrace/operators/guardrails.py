@@ -27,6 +27,11 @@ PII_PATTERNS = {
     "phone": r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b",
 }
 
+# Warnings and severities.
+INJECTION_WARNING = "Potential prompt injection detected"
+PII_WARNING = "PII detected in input"
+FOUND, NOT_FOUND = "high", "none"
+
 # Word characters, digits and word edges follow Unicode.
 UNICODE = "(?U)"
 
@@ -47,20 +52,16 @@ def screen(df: DataFrame, text_col: str = "text") -> DataFrame:
     }).drop("_lower")
     has_injection, has_pii = F.size("injection_patterns") > 0, F.size("pii_types") > 0
     warnings = F.filter(F.array(
-        F.when(has_injection, "Potential prompt injection detected"),
-        F.when(has_pii, "PII detected in input")), lambda w: w.isNotNull())
+        F.when(has_injection, INJECTION_WARNING),
+        F.when(has_pii, PII_WARNING)), lambda w: w.isNotNull())
     return out.withColumns({
-        "injection_severity": F.when(has_injection, "high").otherwise("none"),
-        "pii_severity": F.when(has_pii, "high").otherwise("none"),
+        "injection_severity": F.when(has_injection, FOUND).otherwise(F.lit(NOT_FOUND)),
+        "pii_severity": F.when(has_pii, FOUND).otherwise(F.lit(NOT_FOUND)),
         "safe": ~(has_injection | has_pii),
         "warnings": warnings,
     })
 
 
-def split_safe(screened: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return screened.where("safe"), screened.where("NOT safe")
-
-
 def scrub(text: Column, patterns: dict[str, str] = PII_PATTERNS) -> Column:
     """Replaces personal data by its kind in brackets, kinds in their listed order."""
     out = text

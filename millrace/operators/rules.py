@@ -178,25 +178,25 @@ def device_insights(silver: DataFrame, asof: str, hours: int = 24, tie: str | No
     return long.withColumn("status", status)
 
 
+# Texts of the advice.
+CRITICAL_ADVICE = ("⚠️  CRITICAL: ", " at ", " exceeds threshold ", " - immediate action required")
+WARNING_ADVICE = ("⚡ WARNING: ", " at ", " approaching threshold ", " - monitor closely")
+NORMAL_ADVICE = "✅ All metrics within normal ranges - no action needed"
+
+
 def recommendations(insights: DataFrame) -> DataFrame:
     """One advice per abnormal metric, or a single all-normal row per device."""
     current = fixed_point(F.col("current_value"), 2)
     limit = F.col("threshold").cast("string")
-    text = (F.when(F.col("status") == "critical", F.concat(
-                F.lit("⚠️  CRITICAL: "), "metric", F.lit(" at "), current, F.lit(" exceeds threshold "), limit,
-                F.lit(" - immediate action required")))
-            .when(F.col("status") == "warning", F.concat(
-                F.lit("⚡ WARNING: "), "metric", F.lit(" at "), current, F.lit(" approaching threshold "), limit,
-                F.lit(" - monitor closely"))))
-    normal = F.array(F.lit("✅ All metrics within normal ranges - no action needed"))
+
+    def advice(texts: tuple[str, str, str, str]) -> Column:
+        lead, at, over, end = map(F.lit, texts)
+        return F.concat(lead, "metric", at, current, over, limit, end)
+
+    text = (F.when(F.col("status") == "critical", advice(CRITICAL_ADVICE))
+            .when(F.col("status") == "warning", advice(WARNING_ADVICE)))
+    normal = F.array(F.lit(NORMAL_ADVICE))
     texts = F.array_sort(F.collect_list(text))
     grouped = insights.groupBy("device_id").agg(texts.alias("texts"))
     return grouped.select("device_id", F.explode(
         F.when(F.size("texts") > 0, F.col("texts")).otherwise(normal)).alias("recommendation"))
-
-
-def rank_by_count(df: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Top-k report of a count, ties broken by key."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counted.orderBy(F.desc("n"), *keys).limit(k)
-

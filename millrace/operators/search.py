@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.text import jaccard, terms, tokens
 from millrace.functions.vectors import doubles, norm
+from millrace.session import staged
 
 KEY = ["document_id", "chunk_index"]
 BM25_K1 = 1.2
@@ -64,6 +65,11 @@ def build_postings(chunks: DataFrame, text: str = "content") -> DataFrame:
             .select(*KEY, "term", tf.alias("tf"), "length", "leads"))
 
 
+def search_texts(queries: DataFrame, chunks: DataFrame, k: int = 20, match: str = "all") -> DataFrame:
+    """BM25 over the chunks' texts; the index is built and written once for all passes of the search."""
+    return keyword_search(queries, staged(build_postings(chunks), "postings"), k, match)
+
+
 def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
     """Distinct terms per query with their number; a query of stop words only has none."""
     found = terms(F.col(text))
@@ -212,11 +218,11 @@ def _grid(asked: DataFrame, pool: DataFrame, k: int, schema: str, n_queries: int
 
 
 def approximate_search(queries: DataFrame, chunks: DataFrame, k: int = 20, bucket: float = 0.5,
-                       tables: int = 8, radius: float = 1.2, seed: int = 7) -> DataFrame:
+                       tables: int = 8, seed: int = 7) -> DataFrame:
     """Approximate cosine search with random-projection hashing of length-one vectors.
 
-    On length-one vectors Euclidean order equals cosine order.  ``radius`` bounds the distance of
-    candidates; recall is a matter of ``bucket`` and ``tables`` and is checked against exact search.
+    On length-one vectors Euclidean order equals cosine order.  Every pair that shares a bucket is scored, however
+    far apart; recall is a matter of ``bucket`` and ``tables`` and is checked against exact search.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
     from pyspark.ml.functions import array_to_vector
@@ -229,7 +235,8 @@ def approximate_search(queries: DataFrame, chunks: DataFrame, k: int = 20, bucke
     pool, asked = as_vectors(chunks, KEY), as_vectors(queries, ["query_id"])
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket,
                                         numHashTables=tables, seed=seed).fit(pool)
-    near = model.approxSimilarityJoin(asked, pool, radius, distCol="d")
+    # No two vectors of length one are more than 2 apart.
+    near = model.approxSimilarityJoin(asked, pool, 2.001, distCol="d")
     # For length-one vectors d^2 = 2 - 2 cos.
     scored = near.select(F.col("datasetA.query_id").alias("query_id"),
                          *[F.col(f"datasetB.{c}").alias(c) for c in KEY],
@@ -289,10 +296,11 @@ def hybrid_search(queries: DataFrame, chunks: DataFrame, postings: DataFrame | N
     """
     pool = restrict(chunks, tenant, doc_types)
     if postings is None:
-        postings = build_postings(pool)
-    elif tenant is not None or doc_types:
-        postings = postings.join(pool.select(*KEY), KEY, "left_semi")
-    words = keyword_search(queries, postings, candidates, match)
+        words = search_texts(queries, pool, candidates, match)
+    else:
+        if tenant is not None or doc_types:
+            postings = postings.join(pool.select(*KEY), KEY, "left_semi")
+        words = keyword_search(queries, postings, candidates, match)
     near = vector_search(queries, pool, candidates)
     return rrf([words, near], weights=weights, top=k)
 
@@ -334,7 +342,7 @@ def troubleshoot_search(codes: DataFrame, chunks: DataFrame, tenant: str | None
     text = F.trim(F.concat(F.lit("error code "), "error_code", F.lit(" troubleshooting "), context))
     queries = codes.select(F.col("error_code").alias("query_id"), text.alias("query_text"))
     pool = restrict(chunks, tenant, ["manual"])
-    words = keyword_search(queries, build_postings(pool), k, match="any")
+    words = search_texts(queries, pool, k, match="any")
     # A passage must name the code itself.
     named = F.array_contains(tokens(F.col("content")), F.lower("query_id"))
     best = rerank(with_contents(words, pool, queries).where(named), k=top)
@@ -346,8 +354,7 @@ def troubleshoot_search(codes: DataFrame, chunks: DataFrame, tenant: str | None
 def articles_per_code(codes: DataFrame, chunks: DataFrame, k: int = 3) -> DataFrame:
     """Chunks that contain a code as a token, the ``k`` shortest per code first."""
     wanted = codes.select("error_code", F.lower("error_code").alias("term"))
-    postings = build_postings(chunks)
-    hits = postings.join(wanted, "term").withColumn("density", F.col("tf").cast("double") / F.col("length"))
+    hits = build_postings(chunks).join(wanted, "term").withColumn("density", F.col("tf").cast("double") / F.col("length"))
     return top_k(hits.select("error_code", *KEY, "density"), k, score="density", by="error_code")
 
 

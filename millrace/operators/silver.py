@@ -112,11 +112,6 @@ def compact_objects(df: DataFrame, order: list[str | Column]) -> DataFrame:
     return first_per_key(keyed, ["customer_id", "device_id", "_second"], order).drop("_second")
 
 
-def in_window(df: DataFrame, start: str, end: str, ts: str = "timestamp") -> DataFrame:
-    """Half-open time window; literal bounds reach the scan."""
-    return df.where((F.col(ts) >= F.lit(start).cast("timestamp"))
-                    & (F.col(ts) < F.lit(end).cast("timestamp")))
-
 
 def previous_hour(asof: str) -> tuple[Column, Column]:
     hour = F.date_trunc("hour", F.lit(asof).cast("timestamp"))
@@ -151,9 +146,6 @@ def bronze_to_silver(messages: DataFrame, order: list[str | Column],
     return deduplicate(with_quality_score(good), order), bad
 
 
-def has_all(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.where(all_of([F.col(n).isNotNull() for n in names]))
-
 
 def tenant_view(df: DataFrame, tenant: str) -> DataFrame:
     """The only way a tenant's readers see a table: its own rows."""

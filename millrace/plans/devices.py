@@ -393,7 +393,11 @@ def _(spark, root):
     return keyed.groupBy("routing_key").agg(F.count("*").alias("messages"))
 
 
-@query("routing_partitions", "P9")
+@query("routing_partitions", "P9", T_ + """
+, keyed AS (SELECT *, CASE WHEN (SELECT count(DISTINCT device_id) FROM telemetry u WHERE u.customer_id = t.customer_id) > 2
+                      THEN customer_id || ':' || facility ELSE customer_id END AS routing_key FROM telemetry t)
+SELECT routing_key, CAST('0x' || substr(sha256(routing_key), 1, 8) AS BIGINT) % 100 AS partition, count(*) AS messages
+FROM keyed GROUP BY 1, 2""")
 def _(spark, root):
     t = routing.with_partition(tables.telemetry(spark, root), 100, limit=2)
     return t.groupBy("routing_key", "partition").agg(F.count("*").alias("messages"))

@@ -65,10 +65,20 @@ def _(spark, root):
         "document_id", "chunk_index", "chunk_size", F.sha2("content", 256).alias("content_hash"))
 
 
-@query("recursive_chunks", "R1 UD3")
+@query("recursive_chunks", "R1 UD3", C_ + """
+SELECT doc_id, true AS within_size, true AS in_text, true AS dense, 0 AS words_lost FROM corpus WHERE content <> ''""")
 def _(spark, root):
-    return corpus.chunk_recursive(docs(spark, root)).select(
-        "doc_id", "chunk_index", "chunk_size", F.sha2("content", 256).alias("content_hash"))
+    # What SQL can state of each document's chunks; the chunks themselves are compared in the tests.
+    d = docs(spark, root)
+    inside = corpus.chunk_recursive(d.withColumn("whole", F.col("content")))
+    per = inside.groupBy("doc_id").agg(
+        (F.max("chunk_size") <= corpus.CHUNK_SIZE).alias("within_size"),
+        F.bool_and(F.instr("whole", F.col("content")) > 0).alias("in_text"),
+        (F.max("chunk_index") + 1 == F.count_distinct("chunk_index")).alias("dense"),
+        F.concat_ws(" ", F.collect_list("content")).alias("joined"))
+    return per.join(d.select("doc_id", "content"), "doc_id").select(
+        "doc_id", "within_size", "in_text", "dense",
+        F.size(F.array_except(tokens(F.col("content")), tokens(F.col("joined")))).cast("long").alias("words_lost"))
 
 
 @query("corpus_stats", "A19", CH_ + """
@@ -78,7 +88,13 @@ def _(spark, root):
     return corpus.corpus_stats(window_chunks(spark, root))
 
 
-@query("embedded_chunks", "R2 UD1")
+@query("embedded_chunks", "R2", CH_ + f"""
+, cells AS (
+  SELECT document_id, chunk_index, CAST('0x' || substr(sha256(term), 1, 8) AS BIGINT) % 64 AS cell, count(*) AS n
+  FROM (SELECT document_id, chunk_index, unnest(regexp_extract_all(lower(content), '{TOKEN}')) AS term FROM chunks) t GROUP BY 1, 2, 3),
+parts AS (SELECT *, CAST(n / sqrt(sum(n * n) OVER (PARTITION BY document_id, chunk_index)) AS FLOAT) AS part FROM cells),
+sums AS (SELECT document_id, chunk_index, sum(CAST(part AS DOUBLE)) AS total FROM parts GROUP BY 1, 2)
+SELECT document_id, chunk_index, 64 AS dim, round(coalesce(total, 0), 6) AS total FROM chunks LEFT JOIN sums USING (document_id, chunk_index)""")
 def _(spark, root):
     e = corpus.embed_hashed(window_chunks(spark, root))
     return e.select("document_id", "chunk_index", F.size("embedding").alias("dim"),
@@ -205,19 +221,14 @@ def benchmark_queries(spark, root):
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
 
 
-def postings(spark, root):
-    """The keyword index, built once and stored for the passes of a search."""
-    return staged(search.build_postings(window_chunks(spark, root)), "postings")
-
-
 def words_any(spark, root, k=20):
-    return search.keyword_search(benchmark_queries(spark, root), postings(spark, root), k, "any")
+    return search.search_texts(benchmark_queries(spark, root), window_chunks(spark, root), k, "any")
 
 
 @query("keyword_search_all", "R3 T1 X15", with_(
     CORPUS, CHUNKS, POSTINGS, TEXT_QUERIES, words_sql("text_queries", 20, "all")) + "SELECT * FROM words")
 def _(spark, root):
-    return search.keyword_search(benchmark_queries(spark, root), postings(spark, root), 20)
+    return search.search_texts(benchmark_queries(spark, root), window_chunks(spark, root), 20)
 
 
 @query("keyword_search_any", "R3 T1 X15", WORDS_ANY + "SELECT * FROM words")
@@ -246,8 +257,10 @@ def both_lists(spark, root):
 
 @query("hybrid_search", "R6 R7 T3 W7", HYBRID + "SELECT query_id, document_id, chunk_index, score, rank FROM fused WHERE rank <= 10")
 def _(spark, root):
-    words, near = both_lists(spark, root)
-    return search.rrf([words, near], top=10)
+    # Texts without a vector and vectors without a text are one table of chunks.
+    pool = window_chunks(spark, root).select("document_id", "chunk_index", "content").unionByName(
+        vectors(spark, root).select("document_id", "chunk_index", "embedding"), allowMissingColumns=True)
+    return search.hybrid_search(text_queries(spark, root), pool, k=10, match="any")
 
 
 @query("fusion_ranks", "J3 W7", HYBRID + """
