@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ratio
+from millrace.functions.timewise import next_in_time
 from millrace.operators.slo import (
     AVAILABILITY_TARGET_PCT, LATENCY_BOUNDS, LATENCY_LIMIT_S, LATENCY_TARGET_PCT,
     dense_minutes, histogram_quantile, minute_series, rule_consumed, with_trailing)
@@ -109,9 +110,17 @@ def evaluate_alerts(metrics: DataFrame, rules=DEFAULT_ALERTS) -> DataFrame:
             .select("alert", "severity", "started_at", "fired_at", "last_true_at"))
 
 
-def silent_minutes(df: DataFrame, key: str, ts: str = "timestamp") -> DataFrame:
-    """Minutes between a key's first and last message on which it sent nothing."""
-    seen = df.select(key, F.date_trunc("minute", ts).alias("minute")).distinct()
-    spine = (seen.groupBy(key).agg(F.min("minute").alias("a"), F.max("minute").alias("b"))
-             .select(key, F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MINUTE"))).alias("minute")))
-    return spine.join(seen, [key, "minute"], "left_anti")
+def silent_minutes_per_day(df: DataFrame, key: str, ts: str = "timestamp") -> DataFrame:
+    """Minutes per key and day, between the key's first and last message, on which it sent nothing.
+
+    Minutes are counted from the gaps between neighbouring minutes with messages; a gap makes a row per day it
+    touches, not one per minute.
+    """
+    seen = df.select(key, F.date_trunc("minute", ts).alias("timestamp")).distinct()
+    gaps = next_in_time(seen, [key]).where("next_timestamp IS NOT NULL").select(
+        key, (F.unix_seconds("timestamp") + 60).alias("_a"), F.unix_seconds("next_timestamp").alias("_b")).where("_a < _b")
+    days = F.sequence(F.to_date(F.timestamp_seconds("_a")), F.to_date(F.timestamp_seconds(F.col("_b") - 60)))
+    cut = gaps.withColumn("date", F.explode(days))
+    midnight = F.unix_seconds(F.col("date").cast("timestamp"))
+    silent = F.least("_b", midnight + 86400) - F.greatest("_a", midnight)
+    return cut.groupBy(key, "date").agg((F.sum(silent) / 60).cast("long").alias("silent"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import is_server_error, ratio
+from millrace.functions.columns import band, is_server_error, ratio
 
 # Histogram bounds of the service metrics (the open last bucket is implied).
 LATENCY_BOUNDS = [.01, .025, .05, .075, .1, .25, .5, .75, 1.0, 2.5, 5.0, 7.5, 10.0]
@@ -218,6 +218,22 @@ def gauge_average(log: DataFrame, gauge: str, days: int) -> DataFrame:
     return daily.select("date", ratio(F.sum("s").over(w), F.sum("n").over(w)).alias("gauge_avg"))
 
 
+def precision_budget(log: DataFrame, days: int = 30) -> DataFrame:
+    """Per day: trailing precision, the share of its error budget used and left, and the colour of what is left."""
+    average = F.col("gauge_avg")
+    used = rule_consumed(F.lit(100.0) * average, 100.0 * PRECISION_TARGET)
+    return gauge_average(log, "precision", days).select(
+        "date", average.alias("precision_avg"), used.alias("budget_used"), (F.lit(100.0) - used).alias("budget_left"),
+        band(F.lit(100.0) - used, BUDGET_STEPS, "red").alias("status"))
+
+
+def cache_average(log: DataFrame, days: int = 7) -> DataFrame:
+    """Per day: the trailing share of requests answered from the cache, and whether it reaches its target."""
+    hits = log.withColumn("_hit", F.col("cache_hit").cast("int").cast("double"))
+    return gauge_average(hits, "_hit", days).select(
+        "date", F.col("gauge_avg").alias("hit_ratio"), (F.col("gauge_avg") >= CACHE_TARGET).alias("meets_target"))
+
+
 def average_citations(log: DataFrame, minutes: int = 5) -> DataFrame:
     out = with_trailing(dense_minutes(minute_series(log)),
                         {"_s": ("citations_sum", minutes), "_n": ("citations_n", minutes)})

@@ -380,8 +380,7 @@ spine AS (SELECT device_id, unnest(generate_series(min(m), max(m), INTERVAL 1 MI
 SELECT device_id, {day('m')} AS date, count(*) AS silent FROM spine
 WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.device_id = spine.device_id AND s.m = spine.m) GROUP BY 1, 2""")
 def _(spark, root):
-    s = alerts.silent_minutes(tables.telemetry(spark, root), "device_id")
-    return s.groupBy("device_id", F.to_date("minute").alias("date")).agg(F.count("*").alias("silent"))
+    return alerts.silent_minutes_per_day(tables.telemetry(spark, root), "device_id")
 
 
 @query("routing_keys", "P9", T_ + """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import band, is_server_error
+from millrace.functions.columns import band, cache_key, is_server_error
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.text import tokens
 from millrace.operators import alerts, guardrails, replay, slo
@@ -179,6 +179,26 @@ def _(spark, root):
     return rounded(slo.gauge_average(log(spark, root), "precision", 30))
 
 
+@query("precision_budget", "A13 A16 K5", R_ + f"""
+, daily AS (SELECT CAST(ts AS DATE) AS date, sum("precision") AS s, count("precision") AS n FROM requests GROUP BY 1),
+trail AS (SELECT date, sum(s) OVER w / sum(n) OVER w AS p FROM daily
+             WINDOW w AS (ORDER BY date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)),
+used AS (SELECT date, p, 100 * (1 - 100 * p / 90.0::DOUBLE) AS u FROM trail)
+SELECT {day('date')} AS date, round(p, 10) AS precision_avg, round(u, 8) AS budget_used, round(100 - u, 8) AS budget_left,
+       CASE WHEN 100 - u >= 50 THEN 'green' WHEN 100 - u >= 20 THEN 'yellow' ELSE 'red' END AS status FROM used""")
+def _(spark, root):
+    return rounded(slo.precision_budget(log(spark, root)), budget_used=8, budget_left=8)
+
+
+@query("cache_average_7d", "A16", R_ + f"""
+, daily AS (SELECT CAST(ts AS DATE) AS date, count(*) FILTER (cache_hit) AS s, count(*) AS n FROM requests GROUP BY 1)
+SELECT {day('date')} AS date, round(sum(s) OVER w / CAST(sum(n) OVER w AS DOUBLE), 10) AS hit_ratio,
+       sum(s) OVER w / CAST(sum(n) OVER w AS DOUBLE) >= 0.6 AS meets_target FROM daily
+WINDOW w AS (ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""")
+def _(spark, root):
+    return rounded(slo.cache_average(log(spark, root)))
+
+
 @query("average_citations", "A17", with_(REQUESTS, MINUTES) + f"""
 SELECT {ts('minute')} AS minute, round({_trailing('cit_sum', 5)} / {_trailing('cit_n', 5)}::DOUBLE, 10) AS avg_citations
 FROM per_minute""")
@@ -301,7 +321,14 @@ HOT_ = R_.replace("WITH ", "WITH RECURSIVE ", 1).replace("requests AS (", "reque
     + ", requests AS (SELECT * REPLACE (endpoint AS cache_key) FROM requests0)" + REPLAY
 
 
-@query("cache_replay", "R14 X7", REPLAY_ + "SELECT request_id, cache_key, hit FROM replayed")
+@query("cache_keys", "X7", R_ + """
+SELECT sha256(endpoint || ':acme:' || cache_key) AS key, count(*) AS requests FROM requests GROUP BY 1""")
+def _(spark, root):
+    key = cache_key(F.col("endpoint"), F.lit("acme"), F.col("cache_key"))
+    return log(spark, root).groupBy(key.alias("key")).agg(F.count("*").alias("requests"))
+
+
+@query("cache_replay", "R14", REPLAY_ + "SELECT request_id, cache_key, hit FROM replayed")
 def _(spark, root):
     return replay.replay_cache(log(spark, root)).select("request_id", "cache_key", "hit")
 

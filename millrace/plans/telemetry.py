@@ -275,6 +275,25 @@ def _(spark, root):
     return rounded(upsert_gold(t, dates), 8)
 
 
+@query("replaced_gold_dates", "U7 U8", with_(TELEMETRY, LATE_HOURS, DAILY) + f"""
+SELECT device_id, {day('date')} AS date, reading_count, round(total_energy_kwh, 8) AS total_energy_kwh,
+       CASE WHEN touched THEN 2 ELSE 1 END AS data_version,
+       CASE WHEN touched THEN {ts("TIMESTAMP '2024-02-01 00:00:00'")} END AS reprocessed_at
+FROM (SELECT *, date IN (SELECT CAST(hour_start AS DATE) FROM late_hours) AS touched FROM daily) d""")
+def _(spark, root):
+    # A stored table of all dates, whose touched partitions are recomputed, replaced and read back with the others.
+    t, path = tables.telemetry(spark, root), scratch_dir(spark, "gold")
+    columns = ["device_id", "date", "reading_count", "total_energy_kwh"]
+    first = gold.device_daily_summary(t).select(*columns).withColumns(
+        {"data_version": F.lit(1), "reprocessed_at": F.lit(None).cast("timestamp")})
+    upsert.replace_partitions(first, path, ["date"])
+    dates = upsert.late_hours(t).select(F.to_date("hour_start").alias("date")).distinct()
+    stored = spark.read.schema(first.schema).parquet(path)
+    fresh = upsert.rebuild_partitions(upsert_gold(t, dates), stored, ["device_id", "date"], "2024-02-01 00:00:00")
+    upsert.replace_partitions(staged(fresh, "gold-fresh"), path, ["date"])
+    return rounded(spark.read.schema(first.schema).parquet(path), 8)
+
+
 def upsert_gold(t, dates):
     return gold.rebuild_gold(t, dates).select("device_id", "date", "reading_count", "total_energy_kwh")
 
