@@ -59,4 +59,22 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables. Whatever reads them must have been written before.
+
+    Stores that only Spark reaches keep theirs until the scratch folder is cleared.
+    """
+    from pyarrow import ArrowInvalid, ArrowNotImplementedError, fs
+
+    for t in tables:
+        path = t.scratch_path
+        try:
+            store, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+            store.delete_dir(root)
+        except (ArrowInvalid, ArrowNotImplementedError, FileNotFoundError, ImportError):
+            continue
