@@ -22,6 +22,15 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+BATCH_ROWS = 500  # of texts that travel to Python at once; the default of 10,000 holds gigabytes of long ones
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session set to send ``BATCH_ROWS`` rows at a time to Python."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def raw(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a text column."""
     return column.cast(pa.binary()).to_pylist()

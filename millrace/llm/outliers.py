@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from millrace.llm.common import slices, table
+from millrace.llm.common import slices, small_batches, table
 from millrace.session import staged
 
 # The limits and the symbols of the contract.
@@ -54,7 +54,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*(rows.column(n) for n in names), *(pa.array(c, pa.int64()) for c in zip(*found))], [*names, *BASE])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"),
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"),
                        F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         run, "doc_id long, lang string, source string, text_hash long, " + ", ".join(f"{c} long" for c in BASE))
 

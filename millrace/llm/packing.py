@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from millrace.llm import tokens
-from millrace.llm.common import slices, table
+from millrace.llm.common import slices, small_batches, table
 from millrace.session import staged
 
 SEQUENCE, END = 1024, 0
@@ -65,7 +65,7 @@ def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, end
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *[n for n, _ in fields], *["ids"] * with_ids])
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
 
 
 def patterns(histogram: dict[int, int], size: int = SEQUENCE) -> list[tuple[int, tuple[int, ...]]]:

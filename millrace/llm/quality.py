@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, table
+from millrace.llm.common import slices, small_batches, table
 from millrace.llm.outliers import SPACES, SYMBOLS, repeated_words
 from millrace.session import staged
 
@@ -41,7 +41,7 @@ def featured(docs: DataFrame) -> DataFrame:
                 found = [features(t or "") for t in rows.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, x array<double>")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, x array<double>")
 
 
 def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, ridge: float = 1e-3, steps: int = 25,

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import connected_components, raw, slices, table
+from millrace.llm.common import connected_components, raw, slices, small_batches, table
 from millrace.session import staged
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                     [part.column("doc_id"), part.column("text_hash"), pa.array(fps.view(np.int64))],
                     ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         run, "doc_id long, text_hash long, fp long")
 
 

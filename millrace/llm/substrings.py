@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import raw, slices, table
+from millrace.llm.common import raw, slices, small_batches, table
 from millrace.session import staged
 
 WINDOW = 50
@@ -163,7 +163,7 @@ def _laid_out(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
 
 
 ANCHOR = "symbol long, ctx1 long, ctx2 long, doc_id long, text_hash long, first int, n int"
@@ -173,7 +173,7 @@ def anchor_rows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Runs of windows with one symbol: the symbol, a hash of all words that the windows cover, and where they are."""
     def run(batches):
         for batch in batches:
-            for rows in slices(batch, "text", 4 << 20):
+            for rows in slices(batch, "text", 1 << 20):
                 names, edge, begin, end = _laid_out([words_of(t) for t in raw(rows.column("text"))])
                 starts = np.zeros(len(names), dtype=bool)
                 for b, e in zip(begin, end):
@@ -194,7 +194,7 @@ def window_rows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """(w1, w2, doc_id, text_hash, first) for the windows of ``parts``, an array of (first, n), of each text."""
     def run(batches):
         for batch in batches:
-            for rows in slices(batch, "text", 4 << 20):
+            for rows in slices(batch, "text", 1 << 20):
                 names, _, begin, _ = _laid_out([words_of(t) for t in raw(rows.column("text"))])
                 parts = rows.column("parts").to_pylist()
                 first = [np.arange(p["first"], p["first"] + p["n"]) for own in parts for p in own]
