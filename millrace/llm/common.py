@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import staged
+from millrace.session import discard, staged
 
 # The word definition of the contracts, runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -60,13 +60,15 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 64) -> D
                    .distinct(), f"{name}-edges")
     seen = None
     for _ in range(max_rounds):
+        before = stars
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a")), f"{name}-large")
-        large = staged(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        top = staged(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a")), f"{name}-large")
+        large = staged(both.where("b > a").join(top, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                        .distinct(), f"{name}-star")
         least = staged(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-small")
         moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = staged(least.select("a", F.col("m").alias("b")).unionByName(moved).distinct(), f"{name}-edges")
+        discard(before, top, large, least)
         state = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

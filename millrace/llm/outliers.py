@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from millrace.llm.common import slices, small_batches, table
-from millrace.session import staged
+from millrace.session import discard, staged
 
 # The limits and the symbols of the contract.
 MIN_WORDS, MAX_REPEAT, SYMBOLS = 50, 0.5, "#*$%&|<>"
@@ -166,7 +166,8 @@ def estimates(vectors: DataFrame, coverage: float = 0.75, steps: int = 5, per_un
         moments = inner.groupBy("grp", "start").agg(
             F.first("rows").alias("rows"), F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(DIM)],
             *[F.sum(f"s{i}{j}").alias(f"s{i}{j}") for i, j in PAIRS])
-        now = staged(_estimates(moments, coverage), "mcd-step")
+        before, now = now, staged(_estimates(moments, coverage), "mcd-step")
+        discard(before)
     return now.groupBy("grp").agg(F.min_by(F.struct("rows", "loc", "prec", "logdet"), F.struct("logdet", "start")).alias("e")).select("grp", "e.*")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import raw, slices, small_batches, table
-from millrace.session import staged
+from millrace.session import discard, staged
 
 WINDOW = 50
 ROUNDS = 6  # of pairs: letters then cover some five words, and a window of 50 words still holds several
@@ -222,6 +222,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = found.groupBy("symbol").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     shared = staged(shared.where("least < most").select("symbol", "least"), "repeat-symbols")
     runs = staged(found.join(shared, "symbol"), "repeat-runs")
+    discard(found, shared)
     key = ["symbol", "ctx1", "ctx2"]
     contexts = staged(runs.groupBy(*key).agg(F.min("doc_id").alias("holder")), "repeat-contexts")
     several = contexts.groupBy("symbol").agg(F.count("*").alias("contexts")).where("contexts > 1").select("symbol")
