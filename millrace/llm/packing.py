@@ -123,7 +123,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     histogram = {r.length: r.n for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table_of = slots(histogram, size)
     names = [f for f in pieces.columns if f not in ("part", "nth")]
-    ranked = pieces.join(before.select("part", "length", "before"), ["part", "length"])
+    ranked = pieces.join(before.select("part", "length", "before").hint("merge"), ["part", "length"])
     # Lengths are below 2**20 and ranks below 2**43: one sorted number per slot.
     starts = (table_of["length"] << 43) + table_of["rank"]
 

@@ -94,7 +94,7 @@ def score(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, thre
     """
     rows = staged(featured(docs), "quality-features")
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("quality in (0, 1)").dropna()
-    sample = (rows.join(known, "doc_id").where(~held_out(F.col("doc_id")))
+    sample = (rows.join(known.hint("merge"), "doc_id").where(~held_out(F.col("doc_id")))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_labels).select("x", "quality").collect())
     if sample:
         w, bias = fit(np.array([r.x for r in sample]), np.array([r.quality for r in sample]), threshold)
