@@ -15,6 +15,7 @@ SHARD_ROWS, MAX_CENTERS, MAX_SAMPLE = 1000, 1024, 16_384
 CANDIDATES, DEGREE, ALPHA = 48, 20, 1.2
 BEAM, STEP, ENTRIES, SLACK = 32, 8, 12, 0.05
 AUDIT_EVERY = 50
+MARGIN = 4.0  # deviations of a random neighbour's step across the plane between two centres
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -134,7 +135,7 @@ def _distinct(vectors: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS, max_centers: int = MAX_CENTERS,
-          max_sample: int = MAX_SAMPLE, beam: int = BEAM) -> DataFrame:
+          max_sample: int = MAX_SAMPLE, beam: int = BEAM, margin: float = MARGIN) -> DataFrame:
     """What the search finds among ``nodes`` (node, vec, weight; vectors of one length), as rows (kind, a, b).
 
     links: node a has b other rows within ``threshold``. edge: a and b are connected. audit: the exact number of
@@ -142,12 +143,14 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
 
     Centres come from k-means on at most ``max_sample`` vectors on the driver, their first ones by hash, with at most
     ``max_centers`` centres; every vector is indexed. A vector is at home with its nearest centre and also helps to
-    build the graph of the second nearest; adjacency lists of both are united. A vector asks every shard that can hold
-    a vector in range: that lies on the other side of the plane between two centres, which must be within reach. A
-    shard of more than twice ``shard_rows`` is split by hash, and asked in all its parts.
-
-    In each part every 50th query is also compared with all rows. If the search has missed one of these links, the
-    part is searched again with twice the beam.
+    build the graph of the second nearest; adjacency lists of both are united. A vector asks the shards on whose side
+    of the plane between two centres a neighbour may lie: the step across is ``reach`` at most, and in a random
+    direction has a deviation of ``reach`` over the root of the dimension, of which ``margin`` are allowed for. A shard
+    of more than twice ``shard_rows`` is split by hash, and asked in all its parts.
+
+    Every 50th vector is also compared with all rows of every shard within the full ``reach``: this audit counts all
+    its links, whichever shards it asks. If a part's search has missed one that the part holds, it is searched again
+    with twice the beam.
     """
     n = nodes.count()
     k = max(1, min(max_centers, n // shard_rows))
@@ -165,18 +168,22 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
                 x = unit(matrix(rows.column("vec")))
                 dots = x @ middle.T
                 home = np.argmax(dots, axis=1)
-                asks = dots[np.arange(len(x)), home][:, None] - dots <= reach * spread[home]
+                apart = dots[np.arange(len(x)), home][:, None] - dots
+                asks = apart <= min(1.0, margin / np.sqrt(x.shape[1])) * reach * spread[home]
+                checked = (rows.column("node").to_numpy() % AUDIT_EVERY == 0)[:, None] & (apart <= reach * spread[home])
                 helps = np.zeros(dots.shape, dtype=bool)
                 if dots.shape[1] > 1:
                     helps[np.arange(len(x)), np.argsort(-dots, axis=1)[:, 1]] = True
-                i, shard = np.nonzero(asks | helps)
+                i, shard = np.nonzero(asks | helps | checked)
                 taken = pa.array(i)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard), rows.column("node").take(taken), rows.column("weight").take(taken),
                      pa.array(list(x[i]), pa.list_(pa.float64())), pa.array(shard == home[i]), pa.array(helps[i, shard]),
-                     pa.array(asks[i, shard])], ["shard", "node", "weight", "vec", "home", "helps", "asks"])
+                     pa.array(asks[i, shard]), pa.array(checked[i, shard])],
+                    ["shard", "node", "weight", "vec", "home", "helps", "asks", "checked"])
 
-    schema = "shard long, node long, weight long, vec array<double>, home boolean, helps boolean, asks boolean"
+    schema = ("shard long, node long, weight long, vec array<double>, home boolean, helps boolean, asks boolean, "
+              "checked boolean")
     dealt = staged(nodes.mapInArrow(assign, schema), "vectors-dealt")
     sizes = {r.shard: r.n for r in dealt.where("home").groupBy("shard").agg(F.count("*").alias("n")).collect()}
     parts = F.create_map(*[F.lit(v) for s, c in sizes.items() for v in (int(s), max(1, -(-c // (2 * shard_rows))))])
@@ -191,9 +198,9 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
     built = members.groupBy("shard", "part").applyInArrow(build, "node long, near array<long>")
     united = staged(built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "vectors-graph")
     indexed = members.join(united, "node")
-    queries = dealt.where("asks").select(
+    queries = dealt.where("asks or checked").select(
         F.col("shard").alias("q_shard"), F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)).alias("q_part"),
-        F.col("node").alias("q_node"), F.col("vec").alias("q_vec"))
+        F.col("node").alias("q_node"), F.col("vec").alias("q_vec"), F.col("asks").alias("q_asks"))
 
     def search(rows: pa.Table, asked: pa.Table) -> pa.Table:
         kinds, a, b = [], [], []
@@ -210,6 +217,12 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
             ids, q = asked.column("q_node").to_numpy(), matrix(asked.column("q_vec"))
             audited = np.flatnonzero(ids % AUDIT_EVERY == 0)
             exact = _hits(q[audited] @ graph.x.T, ids[audited], node, home, threshold)
+            kinds += ["audit"] * len(audited)
+            a.append(ids[audited])
+            b.append(exact @ weight)
+            asks = asked.column("q_asks").to_numpy(zero_copy_only=False)
+            exact, ids, q = exact[asks[audited]], ids[asks], q[asks]
+            audited = np.flatnonzero(ids % AUDIT_EVERY == 0)
             width = beam
             while width < len(node) and len(audited):
                 found = graph.search(q[audited], threshold, width)
@@ -227,9 +240,6 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
                 kinds += ["links"] * int(some.sum())
                 a.append(own[some])
                 b.append(total[some])
-            kinds += ["audit"] * len(audited)
-            a.append(ids[audited])
-            b.append(exact @ weight)
             left, right = labels.edges()
             kinds += ["edge"] * len(left)
             a.append(left)
