@@ -13,27 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import tokens
-from millrace.llm.common import slices, table
+from millrace.llm.common import slices, small_batches, table
 
 WORD_BYTES, ROUNDS = 400_000, 64  # start rows of one recursive query, and its steps before it is begun anew
 
-# Token rows point to their successor. Each step finds the pairs that the merge table knows, picks per word the least
-# rank and of these the leftmost, and contracts it; words without a pair are done and leave the recursion.
+# A token row starts at byte pos and is size bytes long, so its successor starts where it ends. Each step finds the pairs
+# that the merge table knows and picks per word the least rank, of these the leftmost: the smallest of numbers made of
+# rank (17 bits), position (30), and the sizes of both tokens (8 each). It contracts that pair; words without a pair are
+# done and leave the recursion.
 CONTRACT = """
-WITH RECURSIVE step(it, word, pos, after, tok) AS (
-  SELECT 0, word, pos, after, tok FROM start
+WITH RECURSIVE step(it, word, pos, size, tok) AS (
+  SELECT 0, word, pos, size, tok FROM start
   UNION ALL
-  SELECT it + 1, s.word, s.pos, CASE WHEN s.pos = b.pos THEN b.after ELSE s.after END,
+  SELECT it + 1, s.word, s.pos, CASE WHEN s.pos = b.pos THEN b.both ELSE s.size END,
          CASE WHEN s.pos = b.pos THEN b.merged ELSE s.tok END
   FROM step s JOIN (
-    SELECT l.word, min(m.merged * 4294967296 + l.pos) // 4294967296 AS merged,
-           arg_min(l.pos, m.merged * 4294967296 + l.pos) AS pos,
-           arg_min(r.pos, m.merged * 4294967296 + l.pos) AS gone,
-           arg_min(r.after, m.merged * 4294967296 + l.pos) AS after
-    FROM step l JOIN step r ON l.after = r.pos JOIN merges m ON m.lhs = l.tok AND m.rhs = r.tok
-    GROUP BY l.word) b ON b.word = s.word
+    SELECT word, CAST(best >> 46 AS INT) AS merged, CAST((best >> 16) & 1073741823 AS INT) AS pos,
+           CAST(((best >> 16) & 1073741823) + ((best >> 8) & 255) AS INT) AS gone,
+           CAST(((best >> 8) & 255) + (best & 255) AS INT) AS both
+    FROM (
+      SELECT l.word, min((((m.merged << 30) + l.pos) << 16) + (l.size << 8) + r.size) AS best
+      FROM step l JOIN step r ON l.pos + l.size = r.pos AND l.word = r.word JOIN merges m ON m.lhs = l.tok AND m.rhs = r.tok
+      GROUP BY l.word)) b ON b.word = s.word
   WHERE s.pos <> b.gone AND s.it < {rounds})
-SELECT word, pos, tok, it FROM step QUALIFY it = max(it) OVER (PARTITION BY word) ORDER BY pos
+SELECT s.word, s.it, s.pos, s.tok FROM step s JOIN (SELECT word, max(it) AS it FROM step GROUP BY word) USING (word, it)
+ORDER BY s.pos
 """
 
 DECODE = """
@@ -50,14 +54,19 @@ class Bpe:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t))
                  if t[:i] in self.ranks and t[i:] in self.ranks]
-        merges = pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("lhs", "rhs", "merged"), zip(*pairs))})
+        if max(self.ranks.values()) >= 1 << 17 or max(map(len, self.ranks)) > 255:
+            raise ValueError("ranks of up to 17 bits and tokens of up to 255 bytes are expected")
+        kinds = {"lhs": pa.int32(), "rhs": pa.int32(), "merged": pa.int64()}
+        merges = pa.table({n: pa.array(c, kinds[n]) for n, c in zip(kinds, zip(*pairs))})
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int64()),
                                "bytes": pa.array(self.ranks.keys(), pa.binary())})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS FROM given")
             self.db.unregister("given")
-        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.size_of = np.zeros(max(self.ranks.values()) + 1, dtype=np.int32)
+        self.size_of[list(self.ranks.values())] = [len(t) for t in self.ranks]
         self.cache = tokens.PieceCache(self.values)
         self.cache.join = self.join
 
@@ -66,23 +75,21 @@ class Bpe:
         done, todo = dict(), list(enumerate(words))
         while todo:
             ids, own = zip(*todo)
-            sizes = np.array([len(w) for w in own])
-            pos = np.arange(sizes.sum())
-            after = pos + 1
-            after[np.cumsum(sizes) - 1] = -1
-            start = pa.table({"word": np.repeat(np.arange(len(own)), sizes), "pos": pos, "after": after,
-                              "tok": np.concatenate(own)})
+            counts, tok = np.array([len(w) for w in own]), np.concatenate(own)
+            size = self.size_of[tok]
+            start = pa.table({"word": np.repeat(np.arange(len(own), dtype=np.int32), counts),
+                              "pos": (np.cumsum(size) - size).astype(np.int32), "size": size, "tok": tok})
             self.db.register("start", start)
             found = self.db.execute(CONTRACT.format(rounds=ROUNDS)).fetchnumpy()
             self.db.unregister("start")
             cuts = np.flatnonzero(np.diff(found["word"])) + 1
-            last = found["it"][np.concatenate([[0], cuts])]
-            todo = []
-            for i, tok, it in zip(ids, np.split(found["tok"], cuts), last):
+            begin = [0, *cuts.tolist()]
+            last, todo, tok = found["it"][begin].tolist(), [], found["tok"]
+            for i, a, b, it in zip(ids, begin, [*begin[1:], len(tok)], last):
                 if it < ROUNDS:
-                    done[i] = tok
+                    done[i] = tok[a:b]
                 else:
-                    todo.append((i, tok))
+                    todo.append((i, tok[a:b]))
         return [done[i] for i in range(len(words))]
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
@@ -159,7 +166,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -196,7 +203,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                     [rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids), pa.array(decoded)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 

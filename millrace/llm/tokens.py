@@ -36,7 +36,8 @@ class PieceCache:
             self.known = {}
         new = set().union(*cut).difference(self.known) if cut else set()
         if new:
-            found = {p: self.matches(p) for p in new}
+            # A word of letters alone is one match, with a space before it or without.
+            found = {p: [p] if p.isalpha() or p[:1] == " " and p[1:].isalpha() else self.matches(p) for p in new}
             words = list(set().union(*found.values()))
             value = dict(zip(words, self.encode(words)))
             for p, own in found.items():
