@@ -1,4 +1,4 @@
-"""Embedding near-duplicates: robust-pruned graphs over cluster shards, searched greedily from medoids and audited."""
+"""Embedding near-duplicates: cluster shards, each compared in blocks with the vectors that ask it."""
 
 from __future__ import annotations
 
@@ -12,8 +12,7 @@ from millrace.session import staged
 
 THRESHOLD = 0.95
 SHARD_ROWS, MAX_CENTERS, MAX_SAMPLE = 1000, 1024, 16_384
-CANDIDATES, DEGREE, ALPHA = 48, 20, 1.2
-BEAM, STEP, ENTRIES, SLACK = 32, 8, 12, 0.05
+BLOCK = 1 << 21  # cells of a task's products
 AUDIT_EVERY = 50
 MARGIN = 4.0  # deviations of a random neighbour's step across the plane between two centres
 
@@ -40,91 +39,6 @@ def centers(sample: np.ndarray, k: int, steps: int = 6, seed: int = 3) -> np.nda
     return c
 
 
-def robust_prune(x: np.ndarray, candidates: int = CANDIDATES, degree: int = DEGREE, alpha: float = ALPHA,
-                 block: int = 256) -> list[np.ndarray]:
-    """Neighbours of each row: of its nearest ``candidates``, nearest first, those to which no neighbour chosen before
-    is closer by the factor ``alpha`` than the row itself; edges then hold both ways."""
-    n = len(x)
-    c = min(candidates, n - 1)
-    if c < 1:
-        return [np.array([], dtype=np.int64) for _ in range(n)]
-    source, target = [], []
-    for at in range(0, n, block):
-        rows = np.arange(at, min(n, at + block))
-        sims = x[rows] @ x.T
-        sims[np.arange(len(rows)), rows] = -np.inf
-        near = np.argpartition(-sims, c - 1, axis=1)[:, :c]
-        own = np.take_along_axis(sims, near, axis=1)
-        order = np.argsort(-own, axis=1, kind="stable")
-        near, own = np.take_along_axis(near, order, axis=1), np.take_along_axis(own, order, axis=1)
-        vectors, far = x[near], 1 - own
-        alive, taken = np.ones(near.shape, dtype=bool), np.zeros(len(rows), dtype=np.int64)
-        for t in range(c):
-            chosen = alive[:, t] & (taken < degree)
-            taken += chosen
-            source.append(rows[chosen])
-            target.append(near[chosen, t])
-            between = 1 - np.einsum("id,icd->ic", vectors[chosen, t], vectors[chosen])
-            alive[chosen] &= (alpha * between > far[chosen]) | (np.arange(c) <= t)
-    a, b = np.concatenate(source + target), np.concatenate(target + source)
-    pairs = np.unique(a * n + b)
-    a, b = pairs // n, pairs % n
-    return np.split(b, np.searchsorted(a, np.arange(1, n)))
-
-
-def medoids(x: np.ndarray, k: int = ENTRIES) -> np.ndarray:
-    """The rows nearest to the centres of a few clusters: where searches start."""
-    c = centers(x, min(k, len(x)), steps=3)
-    return np.unique(np.argmax(c @ x.T, axis=1))
-
-
-class Graph:
-    """Adjacency lists of one shard, with entry points."""
-
-    def __init__(self, x: np.ndarray, lists: list[np.ndarray]):
-        self.x, self.entries = x, medoids(x)
-        self.size = np.array([len(i) for i in lists])
-        self.start = np.cumsum(self.size) - self.size
-        self.flat = np.concatenate(lists) if len(lists) else np.array([], dtype=np.int64)
-
-    def _expand(self, sims: np.ndarray, queries: np.ndarray, row: np.ndarray, node: np.ndarray) -> None:
-        """Compares queries with the neighbours of nodes, as far as they have not met."""
-        size = self.size[node]
-        at = np.repeat(self.start[node] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        row, node = np.repeat(row, size), self.flat[at]
-        fresh = sims[row, node] == -np.inf
-        pairs = np.unique(row[fresh] * len(self.x) + node[fresh])
-        for part in range(0, len(pairs), 1 << 16):
-            r, n = np.divmod(pairs[part:part + (1 << 16)], len(self.x))
-            sims[r, n] = np.einsum("id,id->i", queries[r], self.x[n])
-
-    def search(self, queries: np.ndarray, threshold: float, beam: int) -> np.ndarray:
-        """Similarities to the rows that the search met, minus infinity elsewhere.
-
-        Best-first steps expand ``beam`` nodes per query; then everything nearly in range is expanded until nothing new
-        comes up, however many rows are in range.
-        """
-        sims = np.full((len(queries), len(self.x)), -np.inf)
-        done = np.zeros(sims.shape, dtype=bool)
-        sims[:, self.entries] = queries @ self.x[self.entries].T
-        step = min(STEP, len(self.x))
-        for _ in range(-(-beam // step)):
-            open_sims = np.where(done, -np.inf, sims)
-            best = np.argpartition(-open_sims, step - 1, axis=1)[:, :step]
-            row = np.repeat(np.arange(len(queries)), step)
-            node = best.ravel()
-            some = open_sims[row, node] > -np.inf
-            row, node = row[some], node[some]
-            done[row, node] = True
-            self._expand(sims, queries, row, node)
-        while True:
-            row, node = np.nonzero((sims >= threshold - SLACK) & ~done)
-            if not len(row):
-                return sims
-            done[row, node] = True
-            self._expand(sims, queries, row, node)
-
-
 def _distinct(vectors: DataFrame) -> DataFrame:
     """(node, vec, weight): distinct usable vectors in double precision and how many rows have them."""
     vec = F.col("embedding").cast("array<double>")
@@ -135,22 +49,22 @@ def _distinct(vectors: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS, max_centers: int = MAX_CENTERS,
-          max_sample: int = MAX_SAMPLE, beam: int = BEAM, margin: float = MARGIN) -> DataFrame:
-    """What the search finds among ``nodes`` (node, vec, weight; vectors of one length), as rows (kind, a, b).
+          max_sample: int = MAX_SAMPLE, margin: float = MARGIN) -> DataFrame:
+    """What links among ``nodes`` (node, vec, weight; vectors of one length), as rows (kind, a, b).
 
     links: node a has b other rows within ``threshold``. edge: a and b are connected. audit: the exact number of
     links of an audited node. Sums and connections over all rows of a kind give the result; no pair is written out.
 
     Centres come from k-means on at most ``max_sample`` vectors on the driver, their first ones by hash, with at most
-    ``max_centers`` centres; every vector is indexed. A vector is at home with its nearest centre and also helps to
-    build the graph of the second nearest; adjacency lists of both are united. A vector asks the shards on whose side
+    ``max_centers`` centres; every vector is at home with its nearest one. A vector asks the shards on whose side
     of the plane between two centres a neighbour may lie: the step across is ``reach`` at most, and in a random
     direction has a deviation of ``reach`` over the root of the dimension, of which ``margin`` are allowed for. A shard
-    of more than twice ``shard_rows`` is split by hash, and asked in all its parts.
+    of more than twice ``shard_rows`` is split by hash, and asked in all its parts. A part compares all its rows with
+    whatever asks it, block by block: at this size a product costs less than a search in a graph, and no group of near
+    copies is out of its reach.
 
     Every 50th vector is also compared with all rows of every shard within the full ``reach``: this audit counts all
-    its links, whichever shards it asks. If a part's search has missed one that the part holds, it is searched again
-    with twice the beam.
+    its links, whichever shards it asks.
     """
     n = nodes.count()
     k = max(1, min(max_centers, n // shard_rows))
@@ -171,96 +85,59 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
                 apart = dots[np.arange(len(x)), home][:, None] - dots
                 asks = apart <= min(1.0, margin / np.sqrt(x.shape[1])) * reach * spread[home]
                 checked = (rows.column("node").to_numpy() % AUDIT_EVERY == 0)[:, None] & (apart <= reach * spread[home])
-                helps = np.zeros(dots.shape, dtype=bool)
-                if dots.shape[1] > 1:
-                    helps[np.arange(len(x)), np.argsort(-dots, axis=1)[:, 1]] = True
-                i, shard = np.nonzero(asks | helps | checked)
+                i, shard = np.nonzero(asks | checked)
                 taken = pa.array(i)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard), rows.column("node").take(taken), rows.column("weight").take(taken),
-                     pa.array(list(x[i]), pa.list_(pa.float64())), pa.array(shard == home[i]), pa.array(helps[i, shard]),
-                     pa.array(asks[i, shard]), pa.array(checked[i, shard])],
-                    ["shard", "node", "weight", "vec", "home", "helps", "asks", "checked"])
+                     pa.array(list(x[i]), pa.list_(pa.float64())), pa.array(shard == home[i]),
+                     pa.array(asks[i, shard])], ["shard", "node", "weight", "vec", "home", "asks"])
 
-    schema = ("shard long, node long, weight long, vec array<double>, home boolean, helps boolean, asks boolean, "
-              "checked boolean")
+    schema = "shard long, node long, weight long, vec array<double>, home boolean, asks boolean"
     dealt = staged(nodes.mapInArrow(assign, schema), "vectors-dealt")
     sizes = {r.shard: r.n for r in dealt.where("home").groupBy("shard").agg(F.count("*").alias("n")).collect()}
     parts = F.create_map(*[F.lit(v) for s, c in sizes.items() for v in (int(s), max(1, -(-c // (2 * shard_rows))))])
     count = F.coalesce(parts[F.col("shard")], F.lit(1))
-    members = dealt.where("home or helps").select("shard", F.pmod(F.xxhash64("node"), count).alias("part"), "node", "vec", "home", "weight")
-
-    def build(group: pa.Table) -> pa.Table:
-        node = group.column("node").to_numpy()
-        lists = robust_prune(matrix(group.column("vec")))
-        return pa.table({"node": pa.array(node), "near": pa.array([node[i] for i in lists], pa.list_(pa.int64()))})
-
-    built = members.groupBy("shard", "part").applyInArrow(build, "node long, near array<long>")
-    united = staged(built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "vectors-graph")
-    indexed = members.join(united, "node")
-    queries = dealt.where("asks or checked").select(
+    members = dealt.where("home").select("shard", F.pmod(F.xxhash64("node"), count).alias("part"), "node", "vec", "weight")
+    queries = dealt.select(
         F.col("shard").alias("q_shard"), F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)).alias("q_part"),
         F.col("node").alias("q_node"), F.col("vec").alias("q_vec"), F.col("asks").alias("q_asks"))
 
     def search(rows: pa.Table, asked: pa.Table) -> pa.Table:
         kinds, a, b = [], [], []
+
+        def found(kind, left, right):
+            kinds.extend([kind] * len(left))
+            a.append(left)
+            b.append(right)
+
         if rows.num_rows and asked.num_rows:
-            node, home = rows.column("node").to_numpy(), rows.column("home").to_numpy(zero_copy_only=False)
-            weight = rows.column("weight").to_numpy()
-            order = np.argsort(node)
-            near = [np.asarray(x) for x in rows.column("near").to_pylist()]
-            local = []
-            for own in near:
-                at = np.minimum(np.searchsorted(node[order], own), len(node) - 1)
-                local.append(order[at[node[order][at] == own]])
-            graph = Graph(matrix(rows.column("vec")), local)
-            ids, q = asked.column("q_node").to_numpy(), matrix(asked.column("q_vec"))
-            audited = np.flatnonzero(ids % AUDIT_EVERY == 0)
-            exact = _hits(q[audited] @ graph.x.T, ids[audited], node, home, threshold)
-            kinds += ["audit"] * len(audited)
-            a.append(ids[audited])
-            b.append(exact @ weight)
-            asks = asked.column("q_asks").to_numpy(zero_copy_only=False)
-            exact, ids, q = exact[asks[audited]], ids[asks], q[asks]
-            audited = np.flatnonzero(ids % AUDIT_EVERY == 0)
-            width = beam
-            while width < len(node) and len(audited):
-                found = graph.search(q[audited], threshold, width)
-                if _hits(found, ids[audited], node, home, threshold).sum() >= exact.sum():
-                    break
-                width *= 2
-            labels, step = Labels(np.concatenate([ids, node])), max(1, (1 << 20) // len(node))
+            node, weight, x = rows.column("node").to_numpy(), rows.column("weight").to_numpy(), matrix(rows.column("vec"))
+            ids, asks = asked.column("q_node").to_numpy(), asked.column("q_asks").to_numpy(zero_copy_only=False)
+            labels, step = Labels(np.concatenate([ids, node])), max(1, BLOCK // len(node))
             for at in range(0, len(ids), step):
-                own = ids[at:at + step]
-                hits = _hits(graph.search(q[at:at + step], threshold, width), own, node, home, threshold)
-                i, j = np.nonzero(hits)
-                labels.add(own[i], node[j])
+                own, wanted = ids[at:at + step], asks[at:at + step]
+                hits = (matrix(asked.column("q_vec").slice(at, step)) @ x.T >= threshold) & (own[:, None] != node[None, :])
                 total = hits @ weight
-                some = total > 0
-                kinds += ["links"] * int(some.sum())
-                a.append(own[some])
-                b.append(total[some])
-            left, right = labels.edges()
-            kinds += ["edge"] * len(left)
-            a.append(left)
-            b.append(right)
+                audited = own % AUDIT_EVERY == 0
+                found("audit", own[audited], total[audited])
+                some = wanted & (total > 0)
+                found("links", own[some], total[some])
+                i, j = np.nonzero(hits & wanted[:, None])
+                labels.add(own[i], node[j])
+            found("edge", *labels.edges())
         flat = lambda v: np.concatenate(v).astype(np.int64) if v else np.array([], dtype=np.int64)
         return pa.table({"kind": pa.array(kinds, pa.string()), "a": flat(a), "b": flat(b)})
 
-    return indexed.groupBy("shard", "part").cogroup(queries.groupBy("q_shard", "q_part")).applyInArrow(
+    return members.groupBy("shard", "part").cogroup(queries.groupBy("q_shard", "q_part")).applyInArrow(
         search, "kind string, a long, b long")
 
 
-def _hits(sims: np.ndarray, own: np.ndarray, node: np.ndarray, home: np.ndarray, threshold: float) -> np.ndarray:
-    return (sims >= threshold) & home[None, :] & (own[:, None] != node[None, :])
-
-
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept, audited_links), one per row of ``vectors`` (vec_id, embedding).
 
     Rows link when the cosine of their vectors, in double precision, reaches ``threshold``. n_links counts the other
     rows linked directly; component_id is the least vec_id reachable; kept marks the row that names its component.
-    audited_links is the exact number of links of the rows that the search was audited with, null elsewhere.
+    audited_links is the number of links of every 50th distinct vector by the full bound on shards, null elsewhere.
     ``options`` are those of ``links``.
 
     Null vectors, zero vectors and vectors with null or non-finite parts link with nothing and keep their own id, as

@@ -135,6 +135,20 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(df.where("vec_id < 0")).collect() == []
 
 
+def brute_links(x):
+    y = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    return ((y @ y.T >= 0.95).sum(axis=1) - 1).tolist()
+
+
+def test_groups_of_near_copies_are_no_islands(spark):
+    rng = np.random.default_rng(8)
+    x = (np.repeat(rng.normal(size=(20, 64)), 60, axis=0) + rng.normal(size=(1200, 64)) * 0.1).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    got = embeddings.near_duplicates(df).orderBy("vec_id").collect()
+    assert [r.n_links for r in got] == brute_links(x) == [59] * 1200
+    assert [r.component_id for r in got] == [60 * (i // 60) for i in range(1200)]
+
+
 # --- quality ----------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark, root):
