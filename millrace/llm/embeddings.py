@@ -14,10 +14,11 @@ THRESHOLD = 0.95
 SHARD_ROWS, MAX_CENTERS, MAX_SAMPLE = 1000, 1024, 16_384
 BLOCK = 1 << 21  # cells of a task's products
 AUDIT_EVERY = 50
-MARGIN = 4.0  # deviations of a random neighbour's step across the plane between two centres
+QUERY_ROWS = 1 << 16  # of a table: so many vectors at most may ask a part in one task
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -49,22 +50,21 @@ def _distinct(vectors: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS, max_centers: int = MAX_CENTERS,
-          max_sample: int = MAX_SAMPLE, margin: float = MARGIN) -> DataFrame:
+          max_sample: int = MAX_SAMPLE, query_rows: int = QUERY_ROWS) -> DataFrame:
     """What links among ``nodes`` (node, vec, weight; vectors of one length), as rows (kind, a, b).
 
     links: node a has b other rows within ``threshold``. edge: a and b are connected. audit: the exact number of
     links of an audited node. Sums and connections over all rows of a kind give the result; no pair is written out.
 
     Centres come from k-means on at most ``max_sample`` vectors on the driver, their first ones by hash, with at most
-    ``max_centers`` centres; every vector is at home with its nearest one. A vector asks the shards on whose side
-    of the plane between two centres a neighbour may lie: the step across is ``reach`` at most, and in a random
-    direction has a deviation of ``reach`` over the root of the dimension, of which ``margin`` are allowed for. A shard
-    of more than twice ``shard_rows`` is split by hash, and asked in all its parts. A part compares all its rows with
-    whatever asks it, block by block: at this size a product costs less than a search in a graph, and no group of near
-    copies is out of its reach.
-
-    Every 50th vector is also compared with all rows of every shard within the full ``reach``: this audit counts all
-    its links, whichever shards it asks.
+    ``max_centers`` centres; every vector is at home with its nearest one. A shard can hold a neighbour of a vector only
+    if the plane between the two centres is within ``reach`` of it; all these shards are asked, whatever the directions
+    in which neighbours lie. As that holds for both ends of a link, one of two shards asks the other, and what it finds
+    counts for both. A shard of more than twice ``shard_rows`` is split by hash, and asked in all its parts; what asks
+    is dealt out in blocks of about ``query_rows`` vectors of the table. A part compares all its rows with whatever
+    asks it: at this size a product costs less than a search in a graph, and no group of near copies is out of reach.
+
+    Every 50th vector also asks the shards that would ask it: this audit counts all its links by itself.
     """
     n = nodes.count()
     k = max(1, min(max_centers, n // shard_rows))
@@ -81,26 +81,31 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
                 rows = batch.slice(at, 2048)
                 x = unit(matrix(rows.column("vec")))
                 dots = x @ middle.T
-                home = np.argmax(dots, axis=1)
-                apart = dots[np.arange(len(x)), home][:, None] - dots
-                asks = apart <= min(1.0, margin / np.sqrt(x.shape[1])) * reach * spread[home]
-                checked = (rows.column("node").to_numpy() % AUDIT_EVERY == 0)[:, None] & (apart <= reach * spread[home])
-                i, shard = np.nonzero(asks | checked)
-                taken = pa.array(i)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), rows.column("node").take(taken), rows.column("weight").take(taken),
-                     pa.array(list(x[i]), pa.list_(pa.float64())), pa.array(shard == home[i]),
-                     pa.array(asks[i, shard])], ["shard", "node", "weight", "vec", "home", "asks"])
-
-    schema = "shard long, node long, weight long, vec array<double>, home boolean, asks boolean"
-    dealt = staged(nodes.mapInArrow(assign, schema), "vectors-dealt")
-    sizes = {r.shard: r.n for r in dealt.where("home").groupBy("shard").agg(F.count("*").alias("n")).collect()}
+                home, shard = np.argmax(dots, axis=1)[:, None], np.arange(len(middle))[None, :]
+                near = np.take_along_axis(dots, home, axis=1) - dots <= reach * spread[home[:, 0]] + 1e-9
+                near |= shard == home
+                asks = near & ((shard == home) | (((shard + home) % 2 == 0) == (shard < home)))
+                checked = near & (rows.column("node").to_numpy() % AUDIT_EVERY == 0)[:, None]
+                asked = [pa.array([np.flatnonzero(r) for r in m], pa.list_(pa.int64())) for m in (asks, checked & ~asks)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(home[:, 0]), *asked],
+                                                 ["node", "vec", "weight", "home", "asks", "checks"])
+
+    kind_of = nodes.schema["vec"].dataType.simpleString()
+    schema = f"node long, vec {kind_of}, weight long, home long, asks array<long>, checks array<long>"
+    dealt = staged(nodes.select("node", "vec", "weight").mapInArrow(assign, schema), "vectors-dealt")
+    sizes = {r.home: r.n for r in dealt.groupBy("home").agg(F.count("*").alias("n")).collect()}
     parts = F.create_map(*[F.lit(v) for s, c in sizes.items() for v in (int(s), max(1, -(-c // (2 * shard_rows))))])
-    count = F.coalesce(parts[F.col("shard")], F.lit(1))
-    members = dealt.where("home").select("shard", F.pmod(F.xxhash64("node"), count).alias("part"), "node", "vec", "weight")
-    queries = dealt.select(
-        F.col("shard").alias("q_shard"), F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)).alias("q_part"),
-        F.col("node").alias("q_node"), F.col("vec").alias("q_vec"), F.col("asks").alias("q_asks"))
+    blocks = -(-n // query_rows)
+    upto = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1))
+    members = dealt.select(F.col("home").alias("shard"), F.pmod(F.xxhash64("node"), parts[F.col("home")]).cast("long").alias("part"),
+                           upto(F.lit(blocks)).alias("block"), "node", "vec", "weight")
+    to = F.concat(F.transform("asks", lambda s: F.struct(s.alias("shard"), F.lit(True).alias("asks"))),
+                  F.transform("checks", lambda s: F.struct(s.alias("shard"), F.lit(False).alias("asks"))))
+    queries = dealt.select("node", "vec", "weight", "home", F.explode(to).alias("to")).where(parts[F.col("to.shard")].isNotNull()).select(
+        F.col("to.shard").alias("q_shard"), upto(parts[F.col("to.shard")]).alias("q_part"),
+        F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("long").alias("q_block"), F.col("node").alias("q_node"),
+        F.col("vec").alias("q_vec"), F.col("weight").alias("q_weight"), F.col("to.asks").alias("q_asks"),
+        (F.col("home") == F.col("to.shard")).alias("q_home"))
 
     def search(rows: pa.Table, asked: pa.Table) -> pa.Table:
         kinds, a, b = [], [], []
@@ -111,24 +116,32 @@ def links(nodes: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHAR
             b.append(right)
 
         if rows.num_rows and asked.num_rows:
-            node, weight, x = rows.column("node").to_numpy(), rows.column("weight").to_numpy(), matrix(rows.column("vec"))
-            ids, asks = asked.column("q_node").to_numpy(), asked.column("q_asks").to_numpy(zero_copy_only=False)
+            node, weight, x = rows.column("node").to_numpy(), rows.column("weight").to_numpy(), unit(matrix(rows.column("vec")))
+            ids, weights = asked.column("q_node").to_numpy(), asked.column("q_weight").to_numpy()
+            asks, home = (asked.column(c).to_numpy(zero_copy_only=False) for c in ("q_asks", "q_home"))
             labels, step = Labels(np.concatenate([ids, node])), max(1, BLOCK // len(node))
+            back = np.zeros(len(node), dtype=np.int64)  # links of the part's rows to vectors of other shards
             for at in range(0, len(ids), step):
-                own, wanted = ids[at:at + step], asks[at:at + step]
-                hits = (matrix(asked.column("q_vec").slice(at, step)) @ x.T >= threshold) & (own[:, None] != node[None, :])
-                total = hits @ weight
+                own, wanted, other = ids[at:at + step], asks[at:at + step], ~home[at:at + step]
+                sims = unit(matrix(asked.column("q_vec").slice(at, step))) @ x.T
+                i, j = np.nonzero(sims >= threshold)
+                i, j = i[own[i] != node[j]], j[own[i] != node[j]]
+                total = np.zeros(len(own), dtype=np.int64)
+                np.add.at(total, i, weight[j])
                 audited = own % AUDIT_EVERY == 0
                 found("audit", own[audited], total[audited])
                 some = wanted & (total > 0)
                 found("links", own[some], total[some])
-                i, j = np.nonzero(hits & wanted[:, None])
-                labels.add(own[i], node[j])
+                i, j = i[wanted[i]], j[wanted[i]]
+                if len(i):
+                    labels.add(own[i], node[j])
+                    np.add.at(back, j[other[i]], weights[at:at + step][i[other[i]]])
+            found("links", node[back > 0], back[back > 0])
             found("edge", *labels.edges())
         flat = lambda v: np.concatenate(v).astype(np.int64) if v else np.array([], dtype=np.int64)
         return pa.table({"kind": pa.array(kinds, pa.string()), "a": flat(a), "b": flat(b)})
 
-    return members.groupBy("shard", "part").cogroup(queries.groupBy("q_shard", "q_part")).applyInArrow(
+    return members.groupBy("shard", "part", "block").cogroup(queries.groupBy("q_shard", "q_part", "q_block")).applyInArrow(
         search, "kind string, a long, b long")
 
 
@@ -137,7 +150,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
 
     Rows link when the cosine of their vectors, in double precision, reaches ``threshold``. n_links counts the other
     rows linked directly; component_id is the least vec_id reachable; kept marks the row that names its component.
-    audited_links is the number of links of every 50th distinct vector by the full bound on shards, null elsewhere.
+    audited_links is the number of links of every 50th distinct vector as it finds them by itself, null elsewhere.
     ``options`` are those of ``links``.
 
     Null vectors, zero vectors and vectors with null or non-finite parts link with nothing and keep their own id, as
@@ -146,9 +159,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
     others. An empty table gives an empty result. Other columns are ignored.
     """
     nodes = staged(_distinct(vectors), "vectors-distinct")
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    narrow = "array<float>" if single else "array<double>"  # as they travel; products are in double precision
     found = None
     for size in sorted(r[0] for r in nodes.select(F.size("vec")).distinct().collect()):
-        own = links(nodes.where(F.size("vec") == size).select("node", "vec", "weight"), threshold, **options)
+        same = nodes.where(F.size("vec") == size).select("node", F.col("vec").cast(narrow).alias("vec"), "weight")
+        own = links(same, threshold, **options)
         found = own if found is None else found.unionByName(own)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "kind string, a long, b long")

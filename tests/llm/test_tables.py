@@ -149,6 +149,21 @@ def test_groups_of_near_copies_are_no_islands(spark):
     assert [r.component_id for r in got] == [60 * (i // 60) for i in range(1200)]
 
 
+def test_neighbours_along_the_centres_axis(spark):
+    """Vectors that drift along one arc: their links cross the planes between centres as steeply as can be."""
+    rng = np.random.default_rng(9)
+    at = np.sort(rng.uniform(0, np.pi, 600))
+    x = rng.normal(size=(600, 64)) * 0.002
+    x[:, 0] += np.cos(at)
+    x[:, 1] += np.sin(at)
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    for options in ({"shard_rows": 60}, {"shard_rows": 60, "max_centers": 3, "query_rows": 250}):  # the second splits shards
+        got = embeddings.near_duplicates(df, **options).orderBy("vec_id").collect()
+        assert [r.n_links for r in got] == brute_links(x)
+        assert all(r.audited_links in (None, r.n_links) for r in got)
+
+
 # --- quality ----------------------------------------------------------------------------------------------------------------
 
 def test_quality(spark, root):
