@@ -172,14 +172,15 @@ def estimates(vectors: DataFrame, coverage: float = 0.75, steps: int = 5, per_un
 
 
 def groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """(lang, source, grp): a group of its own from ``min_rows`` rows on; the smaller ones of a language together, if
-    they are as many; the rest of all languages together."""
+    """(lang, source, grp, n, rest): a group of its own from ``min_rows`` rows on; the smaller ones of a language
+    together, if they are as many; the rest of all languages together."""
     sizes = rows.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
     small = sizes.where(F.col("n") < min_rows).groupBy(F.col("lang").alias("small_lang")).agg(F.sum("n").alias("pooled"))
     level = F.when(F.col("n") >= min_rows, 0).when(F.col("pooled") >= min_rows, 1).otherwise(2)
     of = F.xxhash64(level, F.when(level < 2, F.col("lang")), F.when(level < 1, F.col("source")))
     return sizes.join(small, F.col("lang").eqNullSafe(F.col("small_lang")), "left").select(
-        F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), of.alias("grp"))
+        F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), of.alias("grp"),
+        "n", (level == 2).alias("rest"))
 
 
 def judged(docs: DataFrame, min_rows: int = 100, tail: float = 1e-9) -> DataFrame:
@@ -188,7 +189,7 @@ def judged(docs: DataFrame, min_rows: int = 100, tail: float = 1e-9) -> DataFram
     base_failed: fewer than 50 words, or more than half of the words repeated. kept: not base_failed, and the squared
     Mahalanobis distance of the document's vector to its group's estimate does not exceed the chi-square quantile that
     leaves ``tail`` of a normal group outside. Estimates are made from rows that pass the base rules, per language and
-    source (see ``groups``); a last pool of fewer than ``min_rows`` rows rejects nothing.
+    source (see ``groups``); a last pool of fewer than ``min_rows`` rows is judged by the estimate of all rows.
 
     Null and empty texts have no words and fail; null languages and sources are values of their own; null ids, repeated
     ids and repeated rows are judged row by row. An empty table gives an empty result. Other columns are ignored.
@@ -197,11 +198,15 @@ def judged(docs: DataFrame, min_rows: int = 100, tail: float = 1e-9) -> DataFram
     rows = staged(measured(docs).withColumn("base_failed", failed), "rules-rows")
     of = staged(groups(rows, min_rows), "rules-groups")
     passed = rows.where(~F.col("base_failed")).join(
-        of, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))).drop("g_lang", "g_source")
+        of, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))).drop("g_lang", "g_source", "n", "rest")
     passed = staged(passed.withColumns(vector()), "rules-vectors")
-    found = staged(estimates(passed.select("grp", *[f"x{i}" for i in range(DIM)])), "rules-estimates")
+    parts = passed.select("grp", *[f"x{i}" for i in range(DIM)])
+    rest = of.where("rest").groupBy("grp").agg(F.sum("n").alias("n")).first()
+    if rest is not None and rest.n < min_rows:
+        parts = parts.where(F.col("grp") != rest.grp).unionByName(parts.withColumn("grp", F.lit(rest.grp).cast("long")))
+    found = staged(estimates(parts), "rules-estimates")
     limit = chi_square_quantile(1 - tail, DIM)
-    near = (F.col("rows") < min_rows) | (_distance() <= limit)
+    near = _distance() <= limit
     names = ["doc_id", "lang", "source", "text_hash", *BASE, "base_failed"]
     return passed.join(found, "grp").select(*names, near.alias("kept")).unionByName(
         rows.where("base_failed").select(*names, F.lit(False).alias("kept")))

@@ -287,6 +287,18 @@ def test_outliers_are_rejected(spark):
     assert kept.columns == docs.columns and kept.count() == 150
 
 
+def test_small_last_pools_are_judged(spark):
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("aeilmnorst"), rng.integers(2, 9))) for _ in range(500)]
+    odd = lambda n: " ".join(w + "###" for w in rng.choice(words, n))
+    rows = [(k, " ".join(rng.choice(words, 80 + k % 150))) for k in range(160)] + [(k, odd(90)) for k in range(160, 166)]
+    for en in (150, 0):  # a last pool beside a large group, and a table smaller than a group
+        lang = F.when(F.col("doc_id") < en, "en").otherwise(F.concat(F.lit("l"), F.col("doc_id") % 5))
+        docs = documents(spark, rows if en else rows[:60] + rows[-6:]).withColumn("lang", lang).withColumn("source", F.lit("s"))
+        got = {r.doc_id: r.kept for r in outliers.judged(docs).collect()}
+        assert {k for k, v in got.items() if not v} == set(range(160, 166))
+
+
 # --- personal data ---------------------------------------------------------------------------------------------------------
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
