@@ -18,6 +18,7 @@ MODULES = {
     "op8_bpe": "bpe",
     "op9_pii": "pii",
     "op10_embeddings": "embeddings",
+    "op11_periodic": "periodic",
 }
 
 
