@@ -19,6 +19,7 @@ MODULES = {
     "op9_pii": "pii",
     "op10_embeddings": "embeddings",
     "op11_periodic": "periodic",
+    "op12_alignment": "alignment",
 }
 
 
