@@ -20,6 +20,7 @@ MODULES = {
     "op10_embeddings": "embeddings",
     "op11_periodic": "periodic",
     "op12_alignment": "alignment",
+    "op13_language": "languages",
 }
 
 
