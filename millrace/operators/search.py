@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from millrace.functions.text import jaccard, terms, tokens
 from millrace.functions.vectors import doubles, norm
-from millrace.session import staged
 
 KEY = ["document_id", "chunk_index"]
 BM25_K1 = 1.2
@@ -66,8 +65,10 @@ def build_postings(chunks: DataFrame, text: str = "content") -> DataFrame:
 
 
 def search_texts(queries: DataFrame, chunks: DataFrame, k: int = 20, match: str = "all") -> DataFrame:
-    """BM25 over the chunks' texts; the index is built and written once for all passes of the search."""
-    return keyword_search(queries, staged(build_postings(chunks), "postings"), k, match)
+    """BM25 over the chunks' texts, without an index: one pass keeps the words that the queries ask for."""
+    from millrace.operators.lexical import search_bm25
+
+    return search_bm25(queries, chunks, k, match)
 
 
 def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
@@ -124,7 +125,7 @@ def _normalised(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.divide(matrix, length, out=np.full_like(matrix, np.nan), where=length > 0)
 
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def best_places(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column positions of every score that may be among its row's best ``k``, ties included."""
     m = scores.shape[1]
     valid = np.where(np.isnan(scores), -np.inf, scores)
@@ -183,7 +184,7 @@ def _scan_with_queries(asked: DataFrame, pool: DataFrame, k: int, schema: str) -
             if not batch.num_rows:
                 continue
             scores = matrix @ _normalised(batch.column("embedding")).T
-            rows, cols = _best(scores, k)
+            rows, cols = best_places(scores, k)
             yield pa.RecordBatch.from_arrays([
                 pa.array([ids[r] for r in rows], type=held.schema.field("query_id").type),
                 batch.column("document_id").take(pa.array(cols)),
@@ -207,7 +208,7 @@ def _grid(asked: DataFrame, pool: DataFrame, k: int, schema: str, n_queries: int
         names = ["query_id", "document_id", "chunk_index", "score"]
         scores = (_normalised(left.column("embedding")) @ _normalised(right.column("embedding")).T
                   if left.num_rows and right.num_rows else np.zeros((0, 0)))
-        rows, cols = _best(scores, k) if scores.size else (np.array([], int), np.array([], int))
+        rows, cols = best_places(scores, k) if scores.size else (np.array([], int), np.array([], int))
         return pa.Table.from_arrays([
             left.column("query_id").take(pa.array(rows, type=pa.int64())),
             right.column("document_id").take(pa.array(cols, type=pa.int64())),

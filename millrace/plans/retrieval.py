@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.text import STOP_WORDS, TOKEN, tokens
-from millrace.operators import context, corpus, evaluate, search, upsert
+from millrace.operators import context, corpus, evaluate, lexical, search, upsert
 from millrace.plans.base import CHUNKS, CORPUS, day, query, rounded, with_
 from millrace.session import scratch_dir, staged
 from millrace.sources import tables
@@ -251,6 +251,48 @@ def _(spark, root):
     return words_any(spark, root)
 
 
+# Short queries next to the whole texts: three neighbouring words of each, some of them stop words.
+SHORT_QUERIES = f"""text_queries AS (
+  SELECT item_id AS query_id, text AS query_text FROM benchmark
+  UNION ALL SELECT item_id + 1000000, array_to_string(regexp_extract_all(lower(text), '{TOKEN}')[11:13], ' ') FROM benchmark)"""
+# Every entry with, for each term of its query, the next place of that term; the farthest ends a cover.
+DENSITY = """density_entries AS (
+  SELECT k.query_id, p.document_id, p.chunk_index, k.term, p.pos, k.n_terms
+  FROM words_kept k JOIN (
+    SELECT document_id, chunk_index, unnest(t) AS term, unnest(range(len(t))) AS pos FROM tokenised) p ON p.term = k.term),
+density_whole AS (SELECT query_id, document_id, chunk_index FROM density_entries GROUP BY 1, 2, 3
+                  HAVING count(DISTINCT term) = any_value(n_terms)),
+density_held AS (SELECT e.* FROM density_entries e JOIN density_whole w ON e.query_id = w.query_id
+                 AND e.document_id = w.document_id AND e.chunk_index = w.chunk_index),
+density_next AS (
+  SELECT a.query_id, a.document_id, a.chunk_index, a.pos, b.term, min(b.pos) AS next, any_value(a.n_terms) AS n_terms
+  FROM density_held a JOIN density_held b ON a.query_id = b.query_id AND a.document_id = b.document_id
+       AND a.chunk_index = b.chunk_index AND b.pos >= a.pos GROUP BY 1, 2, 3, 4, 5),
+density_ends AS (SELECT query_id, document_id, chunk_index, pos, max(next) AS stop FROM density_next
+                 GROUP BY 1, 2, 3, 4 HAVING count(*) = any_value(n_terms)),
+density_covers AS (SELECT query_id, document_id, chunk_index, max(pos) AS start, stop FROM density_ends GROUP BY 1, 2, 3, 5),
+density_scores AS (
+  SELECT query_id, document_id, chunk_index, round(sum(0.1::DOUBLE / (1 + others)), 9) AS score FROM (
+    SELECT c.query_id, c.document_id, c.chunk_index, c.stop - c.start + 1 - count(*) AS others
+    FROM density_covers c JOIN density_held e ON e.query_id = c.query_id AND e.document_id = c.document_id
+         AND e.chunk_index = c.chunk_index AND e.pos BETWEEN c.start AND c.stop GROUP BY 1, 2, 3, c.start, c.stop) x GROUP BY 1, 2, 3),
+density AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, document_id, chunk_index) AS rank
+  FROM density_scores) x WHERE rank <= 20)"""
+
+
+def short_queries(spark, root):
+    whole = benchmark_queries(spark, root)
+    few = F.array_join(F.slice(tokens(F.col("query_text")), 11, 3), " ")
+    return whole.unionByName(whole.select((F.col("query_id") + 1_000_000).alias("query_id"), few.alias("query_text")))
+
+
+@query("keyword_search_density", "R3 T1 X15", with_(
+    CORPUS, CHUNKS, POSTINGS, SHORT_QUERIES, words_sql("text_queries", 20, "all"), DENSITY) + "SELECT * FROM density")
+def _(spark, root):
+    return lexical.search_density(short_queries(spark, root), window_chunks(spark, root), 20)
+
+
 # Every benchmark text gets the exemplar of one label, as in the Spark query.
 HYBRID_QUERIES = EXEMPLARS + """,
 vector_queries AS (SELECT item_id AS query_id, e.q FROM benchmark b JOIN exemplars e
