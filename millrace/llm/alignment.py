@@ -17,7 +17,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -37,104 +36,100 @@ FRAME = 8192  # pairs of a run that are decompressed at once
 
 
 class Aligner:
-    """Tokens of both vocabularies and their groups and links, each distinct piece of text worked out once.
-
-    Texts are cut before spaces that follow a visible character: no match of A's pattern and no piece of B's vocabulary
-    goes across such a place, so tokens of both sides end there. A piece on which joined token bytes differ from its
-    text is tried again as part of its whole text. At most ``limit`` pieces are kept between slices.
-    """
+    """Tokens of both vocabularies with their groups and links; at most ``limit`` parts are kept between calls."""
 
     def __init__(self, path_a: str, path_b: str, limit: int = 400_000):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
-
-        whole = Tokenizer.from_file(path_a)
-        back = {c: b for b, c in tokens.byte_letters().items()}
-        added = {t.content for t in whole.get_added_tokens_decoder().values()}
-        self.bytes_a = {i: bytes(back[c] for c in t) for t, i in whole.get_vocab().items() if t not in added}
-        self.model, self.letters = whole.model, tokens.byte_letters()
-        self.matches = regex.compile(public_tokenizers.PATTERN).findall
-        self.pieces_b = SentencePieceProcessor(model_file=path_b)
-        names = [self.pieces_b.id_to_piece(i) for i in range(self.pieces_b.get_piece_size())]
-        if len(names) > 1 << B_BITS or max(self.bytes_a) >= 1 << 31:
+
+        self.a, self.b = tokens.ByteBpe(path_a), SentencePieceProcessor(model_file=path_b)
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if len(names) > 1 << B_BITS or max(self.a.bytes_of) >= 1 << 31:
             raise ValueError(f"A ids of up to 31 bits and B ids of up to {B_BITS} bits are expected")
-        self.bytes_b = [bytes([int(n[3:5], 16)]) if self.pieces_b.is_byte(i) else n.replace("▁", " ").encode()
+        self.bytes_b = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode()
                         for i, n in enumerate(names)]
-        self.by_pieces = not any(" " in b.lstrip(b" ").decode("utf-8", "replace") for b in self.bytes_b)
-        self.limit = limit
-        self.forget()
-
-    def forget(self) -> None:
-        self.row, self.groups = {}, []
-        self.sizes = np.zeros((0, 4), dtype=np.int64)  # tokens of A and B, groups, links; no links: not aligned
-        self.links = np.zeros(0, dtype=np.int64)
-        self.at = np.zeros(1, dtype=np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        """Rows for pieces; each starts with a space, which B adds by itself."""
-        letters, model, bytes_a, bytes_b = self.letters, self.model, self.bytes_a, self.bytes_b
-        # A space and letters alone are one match.
-        found = [[p] if p[1:].isalpha() else self.matches(p) for p in new]
-        ids_of = {w: [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(letters))]
-                  for w in set().union(*found)}
-        sizes, links = [], []
-        for piece, words, b in zip(new, found, self.pieces_b.encode([p[1:] for p in new], num_threads=1)):
-            a = ids_of[words[0]] if len(words) == 1 else [i for w in words for i in ids_of[w]]
-            own_a, own_b, text = [bytes_a[i] for i in a], [bytes_b[i] for i in b], piece.encode()
-            self.row[piece] = len(self.groups)
-            if b"".join(own_a) != text or b"".join(own_b) != text:
-                self.groups.append("")
-                sizes.append((0, 0, 0, 0))
-                continue
-            i = j = n_groups = first_a = first_b = 0
-            end_a, end_b, parts, before = len(own_a[0]), len(own_b[0]), [], len(links)
-            while True:
-                links.append(a[i] << B_BITS | b[j])
-                if end_a < end_b:
-                    i += 1
-                    end_a += len(own_a[i])
-                elif end_b < end_a:
-                    j += 1
-                    end_b += len(own_b[j])
-                else:
-                    i, j, n_groups = i + 1, j + 1, n_groups + 1
-                    parts.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                    if i == len(a):
-                        break
-                    first_a, first_b, end_a, end_b = i, j, end_a + len(own_a[i]), end_b + len(own_b[j])
-            self.groups.append(";".join(parts))
-            sizes.append((len(a), len(b), n_groups, len(links) - before))
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, dtype=np.int64).reshape(-1, 4)])
-        self.links = np.concatenate([self.links, np.array(links, dtype=np.int64)])
-        self.at = np.concatenate([[0], np.cumsum(self.sizes[:, 3])])
-
-    def _rows(self, cut: list[list[str]]) -> list[np.ndarray]:
-        new = list(set().union(*cut).difference(self.row))
-        if new:
-            self._learn(new)
-        get = self.row.__getitem__
-        return [np.fromiter(map(get, c), np.int64, len(c)) for c in cut]
+        self.by_parts = not any(b" " in b.lstrip(b" ") for b in self.bytes_b)
+        self.known, self.limit = {}, limit
+        self.size_a = np.zeros(max(self.a.bytes_of) + 1, dtype=np.int64)
+        self.size_a[list(self.a.bytes_of)] = [len(b) for b in self.a.bytes_of.values()]
+        self.size_b = np.array([len(b) for b in self.bytes_b], dtype=np.int64)
+        # Decimal ids with what follows them inside and at the end of a group.
+        self.text_a, self.text_b = (np.array([[f"{i}{mark}" for i in range(n)] for mark in marks], dtype=object)
+                                    for n, marks in ((len(self.size_a), ",|"), (len(names), ",;")))
+
+    def _tokens_b(self, texts: list[str]) -> list[np.ndarray | None]:
+        """B ids of texts, or nothing where they do not spell a space and the text.
+
+        No piece of B's vocabulary goes across a space behind a visible character, so texts are cut there and each
+        distinct part is encoded once; B adds the space that a part starts with. A text with a part that its tokens do
+        not spell is tried as a whole.
+        """
+        if len(self.known) > self.limit:
+            self.known = {}
+        cut = [[p for p in tokens.pieces(" " + t) if p] if self.by_parts else [" " + t] for t in texts]
+        self._learn(set().union(*cut).difference(self.known))
+        out = []
+        for text, parts in zip(texts, cut):
+            data = [self.known[p] for p in parts]
+            if len(parts) > 1 and not all(data):
+                self._learn([" " + text])
+                data = [self.known[" " + text]]
+            out.append(np.frombuffer(b"".join(data), dtype="<u4").astype(np.int64) if all(data) else None)
+        return out
+
+    def _learn(self, parts: Iterable[str]) -> None:
+        parts = list(parts)
+        for part, ids in zip(parts, self.b.encode([p[1:] for p in parts], num_threads=1) if parts else ()):
+            spelled = b"".join([self.bytes_b[i] for i in ids]) == part.encode("utf-8", "surrogatepass")
+            self.known[part] = np.array(ids, dtype="<u4").tobytes() if spelled else b""
+
+    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides of each text, or nothing where there is no text or a side does not spell it."""
+        some = [k for k, t in enumerate(texts) if t]
+        out: list = [None] * len(texts)
+        for k, b in zip(some, self._tokens_b([texts[k] for k in some])):
+            a = None if b is None else self.a.ids(" " + texts[k]).astype(np.int64)
+            # A side of bytes gives its matches back whatever it merges, so its size tells whether it spells the text.
+            if a is not None and self.size_a[a].sum() == self.size_b[b].sum():
+                out[k] = a, b
+        return out
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """(sizes, groups, text, links): per text the numbers of its tokens, groups and links, its groups as a string,
-        and for all links of all texts, the number of the text and the pair."""
-        if len(self.row) > self.limit:
-            self.forget()
-        cut = [[] if not t else [p for p in tokens.pieces(" " + t) if p] if self.by_pieces else [" " + t] for t in texts]
-        rows = self._rows(cut)
-        again = [k for k, r in enumerate(rows) if len(r) > 1 and not self.sizes[r, 3].all()]
-        for k, r in zip(again, self._rows([[" " + texts[k]] for k in again]) if again else ()):
-            rows[k] = r
-        rows = [r if len(r) and self.sizes[r, 3].all() else r[:0] for r in rows]
-        counts = np.array([len(r) for r in rows], dtype=np.int64)
-        flat, owner = np.concatenate(rows) if rows else np.zeros(0, np.int64), np.repeat(np.arange(len(rows)), counts)
-        sizes = np.zeros((len(rows), 4), dtype=np.int64)
-        np.add.at(sizes, owner, self.sizes[flat])
-        name = self.groups.__getitem__
-        groups = [";".join(map(name, r.tolist())) for r in rows]
-        n = self.sizes[flat, 3]
-        places = np.repeat(self.at[flat] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return sizes, groups, np.repeat(owner, n), self.links[places]
+        and for all links of all texts, the number of the text and the pair.
+
+        Texts lie one after the other. Between two neighbouring ends of tokens of either side, one token of each side
+        covers the bytes: that is a link; where tokens of both sides end, a group ends.
+        """
+        found = self.tokens(texts)
+        sizes = np.zeros((len(texts), 4), dtype=np.int64)
+        spelled = [k for k, f in enumerate(found) if f is not None]
+        if not spelled:
+            return sizes, [""] * len(texts), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        n_a, n_b = (np.array([len(found[k][side]) for k in spelled]) for side in (0, 1))
+        a, b = (np.concatenate([found[k][side] for k in spelled]) for side in (0, 1))
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        kind = np.zeros(ends_a[-1] + 1, dtype=np.uint8)
+        kind[ends_a] = 1
+        kind[ends_b] |= 2
+        at = np.flatnonzero(kind)
+        kind = kind[at]
+        is_a, is_b, both = (kind & 1).astype(np.int64), (kind >> 1).astype(np.int64), kind == 3
+        upto_a, upto_b, upto = np.cumsum(is_a), np.cumsum(is_b), np.cumsum(both)
+        links = a[upto_a - is_a] << B_BITS | b[upto_b - is_b]
+        owner = np.searchsorted(ends_a[np.cumsum(n_a) - 1], at)
+        sizes[spelled] = np.stack([n_a, n_b, np.bincount(owner[both], minlength=len(spelled)),
+                                   np.bincount(owner, minlength=len(spelled))], axis=1)
+        # A group's A tokens stand behind the B tokens of the groups before, its B tokens behind its own A tokens.
+        group = upto - both
+        before_b, own_a = np.append(0, upto_b[both]), upto_a[both]
+        at_a, at_b = is_a == 1, is_b == 1
+        line = np.empty(len(a) + len(b), dtype=object)
+        line[np.arange(len(a)) + before_b[group[at_a]]] = self.text_a[both[at_a].astype(np.int8), a]
+        line[np.arange(len(b)) + own_a[group[at_b]]] = self.text_b[both[at_b].astype(np.int8), b]
+        groups, stop = [""] * len(texts), np.cumsum(n_a + n_b).tolist()
+        for k, first, last in zip(spelled, [0, *stop], stop):
+            groups[k] = "".join(line[first:last].tolist())[:-1]
+        return sizes, groups, np.array(spelled, dtype=np.int64)[owner], links
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

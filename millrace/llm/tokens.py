@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 import regex
 
@@ -71,3 +73,51 @@ def tokenizer_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         return [b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(w)]) for w in written]
 
     return encode
+
+
+class ByteBpe:
+    """Ids of whole texts under a ``tokenizers`` file with a byte-level BPE, as its plain call gives them.
+
+    ``special`` texts are cut at the file's added tokens, which have ids of their own; otherwise their strings are
+    plain text. Where ids rise with the merges, merges are chosen by id, which the ``tiktoken`` library does on whole
+    texts; runs of white space that are too long for its pattern go match by match, and other files by their own call.
+    """
+
+    def __init__(self, path: str, special: bool = False):
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = not special
+        self.added = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()} if special else {}
+        back = {c: b for b, c in byte_letters().items()}
+        vocab = self.whole.get_vocab(with_added_tokens=False)
+        every = {t.content for t in self.whole.get_added_tokens_decoder().values()}
+        self.bytes_of = {i: bytes(back[c] for c in t) for t, i in vocab.items() if t not in every}
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in told["model"]["merges"]]
+        pre = told["pre_tokenizer"] or {}
+        self.fast = None
+        if (sorted(made) == made and set(range(256)) == {b[0] for b in self.bytes_of.values() if len(b) == 1}
+                and not told["normalizer"] and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+                and not pre.get("add_prefix_space") and not told["model"].get("ignore_merges")):
+            ranks = {b: i for i, b in sorted(self.bytes_of.items())}  # common tokens near each other in memory
+            # A table without any special string makes the library look for an empty one at every place.
+            some = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()} or {"<|end|>": max(self.bytes_of) + 1}
+            self.fast = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                          special_tokens=some)
+            self.by_match = tokenizer_encoder(path)
+            self.matches = regex.compile(public_tokenizers.PATTERN).findall
+            self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+
+    def ids(self, text: str) -> np.ndarray:
+        """The ids as unsigned 32-bit numbers."""
+        if self.fast is None:
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special=set(self.added), disallowed_special=())
+        except ValueError:
+            parts = self.cut.split(text) if self.cut else [text]
+            data = [self.added[p].to_bytes(4, "little") if p in self.added else b"".join(self.by_match(self.matches(p))) for p in parts]
+            return np.frombuffer(b"".join(data), dtype="<u4")
