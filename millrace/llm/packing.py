@@ -20,20 +20,21 @@ from millrace.session import staged
 
 SEQUENCE, END = 1024, 0
 
-_CACHES: dict[str, tokens.PieceCache] = {}
+_MODELS: dict[str, tokens.ByteBpe] = {}
 
 
-def _cache(path: str) -> tokens.PieceCache:
-    if path not in _CACHES:
-        _CACHES[path] = tokens.PieceCache(tokens.tokenizer_encoder(path))
-    return _CACHES[path]
+def _model(path: str) -> tokens.ByteBpe:
+    if path not in _MODELS:
+        _MODELS[path] = tokens.ByteBpe(path, special=True)
+    return _MODELS[path]
 
 
 def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, end: int = END,
         with_ids: bool = False) -> DataFrame:
     """Pieces of tokenized documents: (doc_id, start, length, ids_crc32, doc_tokens, part, nth[, ids]).
 
-    A document's ids end with ``end``; pieces hold ``size`` ids, its last one what is left. ``part`` is the task and
+    Ids are those of the tokenizer's plain call without special tokens around the text; strings of its added tokens
+    inside a text have their own ids. A document's ids end with ``end``; pieces hold ``size`` ids, its last one what is left. ``part`` is the task and
     ``nth`` counts the task's pieces of one length. ``ids`` are the piece's ids as an int array.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
@@ -42,13 +43,12 @@ def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, end
               ("part", pa.int64()), ("nth", pa.int64())]
 
     def run(batches):
-        cache, part, counted = _cache(path), TaskContext.get().partitionId(), Counter()
+        model, part, counted = _model(path), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             for rows in slices(batch, "text"):
-                found = cache.look_up([t or "" for t in rows.column("text").to_pylist()])
                 out, ids, source = [], [], []
-                for i, values in enumerate(found):
-                    data = b"".join(values) + last
+                for i, text in enumerate(rows.column("text").to_pylist()):
+                    data = (model.ids(text).astype("<u4").tobytes() if text else b"") + last
                     n = len(data) // 4
                     for start in range(0, n, size):
                         own = data[4 * start:4 * (start + size)]
