@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import jaccard, terms, tokens
-from millrace.functions.vectors import doubles, norm
 
 KEY = ["document_id", "chunk_index"]
 BM25_K1 = 1.2
@@ -218,31 +217,14 @@ def _grid(asked: DataFrame, pool: DataFrame, k: int, schema: str, n_queries: int
     return (q.groupBy("_qb", "_vb").cogroup(v.groupBy("_qb", "_vb")).applyInArrow(cell, schema))
 
 
-def approximate_search(queries: DataFrame, chunks: DataFrame, k: int = 20, bucket: float = 0.5,
-                       tables: int = 8, seed: int = 7) -> DataFrame:
-    """Approximate cosine search with random-projection hashing of length-one vectors.
+def approximate_search(queries: DataFrame, chunks: DataFrame, k: int = 20) -> DataFrame:
+    """Approximate cosine search through an inverted file that is built and stored for this search.
 
-    On length-one vectors Euclidean order equals cosine order.  Every pair that shares a bucket is scored, however
-    far apart; recall is a matter of ``bucket`` and ``tables`` and is checked against exact search.
+    Keep ``ivf.build`` and use ``ivf.search`` to search more than once.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
-
-    def as_vectors(df: DataFrame, cols: list[str]) -> DataFrame:
-        known = df.where("embedding IS NOT NULL").select(*cols, doubles(F.col("embedding")).alias("_e"))
-        raw = known.where(norm(F.col("_e")) > 0).select(*cols, array_to_vector("_e").alias("_v"))
-        return Normalizer(inputCol="_v", outputCol="v").transform(raw).drop("_v")
-
-    pool, asked = as_vectors(chunks, KEY), as_vectors(queries, ["query_id"])
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket,
-                                        numHashTables=tables, seed=seed).fit(pool)
-    # No two vectors of length one are more than 2 apart.
-    near = model.approxSimilarityJoin(asked, pool, 2.001, distCol="d")
-    # For length-one vectors d^2 = 2 - 2 cos.
-    scored = near.select(F.col("datasetA.query_id").alias("query_id"),
-                         *[F.col(f"datasetB.{c}").alias(c) for c in KEY],
-                         F.round(F.lit(1.0) - F.col("d") * F.col("d") / 2.0, 10).alias("score"))
-    return top_k(scored, k)
+    from millrace.operators import ivf
+
+    return ivf.search(ivf.build(chunks, ivf.train(chunks, k=k)), queries, k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

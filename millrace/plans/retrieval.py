@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.text import STOP_WORDS, TOKEN, tokens
-from millrace.operators import context, corpus, evaluate, lexical, search, upsert
+from millrace.operators import context, corpus, evaluate, ivf, lexical, search, upsert
 from millrace.plans.base import CHUNKS, CORPUS, day, query, rounded, with_
 from millrace.session import scratch_dir, staged
 from millrace.sources import tables
@@ -193,11 +193,22 @@ def _(spark, root):
     return found.where("score >= 0.1").select("query_id", "document_id", "score", "rank")
 
 
-@query("approximate_search", "R5")
+@query("approximate_search", "R5", """
+SELECT count(DISTINCT label) AS queries, 10 * count(DISTINCT label) AS results, true AS recall_reached,
+       true AS few_scored, true AS scores_exact FROM embeddings""")
 def _(spark, root):
+    # Recall@10 of 0.9 with under a fifth of the vectors scored, on the exemplars of all labels.
     q, v = exemplars(spark, root), vectors(spark, root)
-    found = search.approximate_search(q, v, 10)
-    return search.recall(found, search.vector_search(q, v, 10))
+    index = ivf.build(v, ivf.train(v))
+    near = staged(ivf.candidates(index, q, 80), "near")
+    found = staged(ivf.reranked(index, q, near, 10), "found")
+    exact = search.vector_search(q, v, 10)
+    same = found.join(exact.select("query_id", *search.KEY, F.col("score").alias("exact")), ["query_id", *search.KEY], "left")
+    reached = same.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("results"),
+                       (F.count("exact") >= 0.9 * exact.agg(F.count(F.lit(1))).scalar()).alias("recall_reached"),
+                       F.bool_and(F.coalesce(F.abs(F.col("score") - F.col("exact")) < 1e-9, F.lit(True))).alias("scores_exact"))
+    share = near.agg(F.count(F.lit(1)) / F.count_distinct("query_id")).scalar() / v.agg(F.count(F.lit(1))).scalar()
+    return reached.withColumn("few_scored", share < 0.2)
 
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
