@@ -15,7 +15,7 @@ from millrace.plans.telemetry import EVENTS, HOURLY, with_temperature
 from millrace.session import scratch_dir
 from millrace.sources import sinks, tables
 from millrace.sources.messages import read_bronze, table_stream
-from millrace.streaming import heartbeat, jobs, progress
+from millrace.streaming import heartbeat, jobs, late, progress
 
 T_ = with_(TELEMETRY)
 WATERMARK = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
@@ -214,3 +214,84 @@ def _(spark, root):
     last = offsets.select(F.lit(0).cast("long").alias("batch_id"), F.lit("telemetry").alias("source"),
                           "end_offset", "latest_offset")
     return progress.lag_alerts(progress.lag_per_partition(last))
+
+
+# Out-of-order input ------------------------------------------------------------------------------
+
+# The table as it might arrive: every seventh message three hours after it was sent, in batches of some days.
+ARRIVALS = TELEMETRY + """,
+arrivals AS (SELECT *, CAST(floor((epoch(sent_at) + CASE WHEN message_id % 7 = 0 THEN 10800 ELSE 0 END - 1704067200) / 432000.0) AS INT) AS batch
+             FROM telemetry),
+tops AS (SELECT batch, max("timestamp") AS top FROM arrivals GROUP BY 1),
+marks AS (SELECT batch, date_trunc('millisecond', max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                        - INTERVAL 10 MINUTE AS mark FROM tops),
+judged AS (SELECT a.*, mark FROM arrivals a JOIN marks USING (batch)),
+final AS (SELECT date_trunc('millisecond', max("timestamp")) - INTERVAL 10 MINUTE AS mark FROM telemetry)"""
+
+
+def arrivals(spark, root):
+    """A stream of those batches: one file per batch, each a micro-batch, in order."""
+    folder = scratch_dir(spark, "arrivals")
+    delay = F.when(F.col("message_id") % 7 == 0, 10800).otherwise(0)
+    rows = tables.telemetry(spark, root).withColumn(
+        "batch", F.floor((F.unix_seconds("sent_at") + delay - 1704067200) / 432000).cast("int"))
+    low, high = rows.agg(F.min("batch"), F.max("batch")).first()
+    for i in range(low, high + 1):
+        rows.where(F.col("batch") == i).drop("batch").repartition(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", "1").parquet(folder)
+
+
+def run_late(spark, stream, name):
+    with late.keyed_state(spark):
+        return jobs.run_to_files(stream, name)
+
+
+@query("stream_hourly_health_late", "ST4 ST7", with_(ARRIVALS) + f""",
+split AS (SELECT *, date_trunc('hour', "timestamp") AS hour,
+                 coalesce(date_trunc('hour', "timestamp") + INTERVAL 1 HOUR <= mark, false) AS late FROM judged)
+SELECT 'hour' AS part, device_id, {ts('hour')} AS hour, count(*) AS messages, max(vibration_mm_s) AS max_vibration,
+       round(sum(power_kw), 6) AS power, max(cycle_count) - min(cycle_count) AS cycles
+FROM split WHERE NOT late AND hour + INTERVAL 1 HOUR <= (SELECT mark FROM final) GROUP BY 2, 3
+UNION ALL
+SELECT 'late', device_id, {ts('hour')}, count(*), max(vibration_mm_s), round(sum(power_kw), 6), max(cycle_count) - min(cycle_count)
+FROM split WHERE late GROUP BY 2, 3""")
+def _(spark, root):
+    out = run_late(spark, late.hourly_health(arrivals(spark, root)), "hourly-late")
+    hours = jobs.fold_hourly_health(late.closed_hours(out)).select(
+        F.lit("hour").alias("part"), "device_id", F.col("hour_start").alias("hour"), F.col("uptime_minutes").alias("messages"),
+        "max_vibration", (F.col("avg_power_kw") * F.col("uptime_minutes")).alias("power"), F.col("cycle_count_delta").alias("cycles"))
+    behind = late.late_rows(out, ["device_id", "timestamp", "vibration_mm_s", "power_kw", "cycle_count"]).groupBy(
+        F.lit("late").alias("part"), "device_id", F.date_trunc("hour", "timestamp").alias("hour")).agg(
+        F.count(F.lit(1)).alias("messages"), F.max("vibration_mm_s").alias("max_vibration"), F.sum("power_kw").alias("power"),
+        (F.max("cycle_count") - F.min("cycle_count")).cast("long").alias("cycles"))
+    return rounded(hours.unionByName(behind), 6)
+
+
+@query("stream_sessions_late", "ST6 ST7", with_(ARRIVALS) + f""",
+split AS (SELECT *, coalesce("timestamp" + INTERVAL 5 MINUTE <= mark, false) AS late FROM judged),
+marked AS (SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER w <= INTERVAL 5 MINUTE THEN 0 ELSE 1 END AS new
+           FROM split WHERE NOT late WINDOW w AS (PARTITION BY device_id ORDER BY "timestamp", message_id)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY device_id ORDER BY "timestamp", message_id) AS s FROM marked)
+SELECT 'session' AS part, device_id, {ts('min("timestamp")')} AS session_start, {ts('max("timestamp")')} AS last_message,
+       count(*) AS messages
+FROM numbered GROUP BY device_id, s HAVING max("timestamp") + INTERVAL 5 MINUTE <= (SELECT mark FROM final)
+UNION ALL SELECT 'late', device_id, {ts('"timestamp"')}, {ts('"timestamp"')}, count(*) FROM split WHERE late GROUP BY 2, 3""")
+def _(spark, root):
+    out = run_late(spark, late.sessions(arrivals(spark, root)), "sessions-late")
+    behind = late.late_rows(out, ["device_id", "timestamp"]).groupBy("device_id", F.col("timestamp").alias("session_start")).agg(
+        F.max("timestamp").alias("last_message"), F.count(F.lit(1)).alias("messages"))
+    return late.closed_sessions(out).withColumn("part", F.lit("session")).unionByName(behind.withColumn("part", F.lit("late")))
+
+
+@query("stream_deduplicated_late", "ST3 ST7 U2", with_(ARRIVALS) + f""",
+split AS (SELECT *, coalesce("timestamp" <= mark, false) AS late FROM judged)
+SELECT 'first' AS part, device_id, {ts('"timestamp"')} AS "timestamp", arg_min(message_id, (batch, message_id)) AS message_id, 1 AS copies
+FROM split WHERE NOT late GROUP BY 2, 3
+UNION ALL SELECT 'late', device_id, {ts('"timestamp"')}, message_id, 2 FROM split WHERE late""")
+def _(spark, root):
+    # Every message arrives twice; late copies are handed on, not dropped.
+    stream = arrivals(spark, root)
+    twice = stream.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    out = run_late(spark, late.deduplicated(twice, ["message_id"]), "first-late")
+    return out.groupBy(F.when(F.col("late"), "late").otherwise("first").alias("part"), "device_id", "timestamp", "message_id").agg(
+        F.count(F.lit(1)).alias("copies"))
