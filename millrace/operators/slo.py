@@ -70,8 +70,8 @@ def histogram_quantiles(df: DataFrame, value: str, bounds: list[float], probs: d
     return counts.select(*by, *[histogram_quantile(F.col("c"), bounds, q).alias(n) for n, q in probs.items()])
 
 
-def minute_series(log: DataFrame, bounds: list[float] = LATENCY_BOUNDS) -> DataFrame:
-    """One row per minute with requests: totals, failures, latency buckets, gauge sums."""
+def minute_sums(log: DataFrame, bounds: list[float] = LATENCY_BOUNDS) -> list[Column]:
+    """Aggregates of a minute: totals, failures, latency buckets, gauge sums."""
     sums = [F.count(F.lit(1)).alias("total"),
             F.count_if(is_server_error(F.col("status_code"))).alias("failed"),
             bucket_counts(F.col("duration_s"), bounds).alias("latency")]
@@ -81,7 +81,12 @@ def minute_series(log: DataFrame, bounds: list[float] = LATENCY_BOUNDS) -> DataF
     for flag in ("rejected", "cache_hit"):
         if flag in log.columns:
             sums.append(F.count_if(F.col(flag)).alias(flag))
-    return log.groupBy(minute().alias("minute")).agg(*sums)
+    return sums
+
+
+def minute_series(log: DataFrame, bounds: list[float] = LATENCY_BOUNDS) -> DataFrame:
+    """One row per minute with requests."""
+    return log.groupBy(minute().alias("minute")).agg(*minute_sums(log, bounds))
 
 
 def dense_minutes(series: DataFrame, by: list[str] = (), start: str | None = None,

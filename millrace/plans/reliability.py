@@ -288,7 +288,7 @@ def _(spark, root):
     return rounded(alerts.alert_metrics(log(spark, root)), 7)
 
 
-def _alert_sql() -> str:
+def alert_sql() -> str:
     rules = []
     for r in alerts.DEFAULT_ALERTS:
         op = "=" if r.comparator == "==" else r.comparator
@@ -302,7 +302,7 @@ SELECT alert, severity, {ts('a')} AS started_at, {ts('a + to_minutes(hold)')} AS
 FROM runs WHERE b >= a + to_minutes(hold)"""
 
 
-@query("alerts", "K4 W8", with_(REQUESTS, METRICS_SQL) + _alert_sql())
+@query("alerts", "K4 W8", with_(REQUESTS, METRICS_SQL) + alert_sql())
 def _(spark, root):
     return alerts.evaluate_alerts(alerts.alert_metrics(log(spark, root)))
 

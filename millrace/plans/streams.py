@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from millrace.operators.silver import with_reject_reason
 from millrace.plans.base import REQUESTS, TELEMETRY, day, query, rounded, ts, with_
+from millrace.plans.reliability import METRICS_SQL, alert_sql
 from millrace.plans.telemetry import EVENTS, HOURLY, with_temperature
 from millrace.session import scratch_dir
 from millrace.sources import sinks, tables
 from millrace.sources.messages import read_bronze, table_stream
-from millrace.streaming import heartbeat, jobs, late, progress
+from millrace.streaming import alerting, heartbeat, jobs, late, progress
 
 T_ = with_(TELEMETRY)
 WATERMARK = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
@@ -295,3 +296,22 @@ def _(spark, root):
     out = run_late(spark, late.deduplicated(twice, ["message_id"]), "first-late")
     return out.groupBy(F.when(F.col("late"), "late").otherwise("first").alias("part"), "device_id", "timestamp", "message_id").agg(
         F.count(F.lit(1)).alias("copies"))
+
+
+# Alerts of the minutes behind the final watermark, as the batch has them; the last of them may be without requests.
+CLOSED = """log AS (SELECT * FROM requests),
+closed AS (SELECT date_trunc('minute', date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE) AS stop FROM log)"""
+STREAM_ALERTS = with_(
+    REQUESTS, CLOSED, METRICS_SQL.replace("FROM requests GROUP BY 1", "FROM log WHERE ts < (SELECT stop FROM closed) GROUP BY 1")
+    .replace("max(minute), INTERVAL 1 MINUTE", "(SELECT stop FROM closed) - INTERVAL 1 MINUTE, INTERVAL 1 MINUTE")) + alert_sql()
+
+
+@query("stream_alerts", "ST9 W8 K4", STREAM_ALERTS.replace("\nSELECT alert, severity, ", ", fired AS (SELECT alert, severity, ") + f""")
+SELECT alert, severity, 'firing' AS state, started_at, fired_at AS at FROM fired
+UNION ALL SELECT alert, severity, 'resolved', started_at, last_true_at FROM fired
+WHERE last_true_at < {ts("(SELECT stop FROM closed) - INTERVAL 1 MINUTE")}""")
+def _(spark, root):
+    # The same alerts as the batch, told as they begin to fire and end.
+    log = tables.as_requests(table_stream(spark, root, "events"))
+    out = run_late(spark, alerting.alert_changes(log), "alerts")
+    return out.where("state <> 'pending'").drop("service")
