@@ -14,7 +14,7 @@ from millrace.plans.base import REQUESTS, TELEMETRY, day, query, rounded, ts, wi
 from millrace.plans.reliability import METRICS_SQL, alert_sql
 from millrace.plans.telemetry import EVENTS, HOURLY, with_temperature
 from millrace.session import scratch_dir
-from millrace.sources import sinks, tables
+from millrace.sources import sinks, tables, topics
 from millrace.sources.messages import read_bronze, table_stream
 from millrace.streaming import alerting, heartbeat, jobs, late, progress
 
@@ -315,3 +315,39 @@ def _(spark, root):
     log = tables.as_requests(table_stream(spark, root, "events"))
     out = run_late(spark, alerting.alert_changes(log), "alerts")
     return out.where("state <> 'pending'").drop("service")
+
+
+LAG_BATCHES, LAG_PARTITIONS, LAG_EVERY_S = 6, 4, 60
+
+
+@query("consumer_lag", "ST10 S10", f"""
+WITH sized AS (SELECT partition, count(*) AS n FROM (
+  SELECT user_id % {LAG_PARTITIONS} AS partition FROM events) x GROUP BY 1),
+limits AS (SELECT max(n) // {LAG_BATCHES} + 1 AS step, max(n) // 4 AS warning, max(n) // 2 AS critical FROM sized),
+samples AS (SELECT 'telemetry-' || partition AS partition, b, n - least(n, (b + 1) * step) AS lag, warning, critical
+            FROM sized CROSS JOIN limits CROSS JOIN (SELECT unnest(range({LAG_BATCHES})) AS b) r),
+-- Batches are a minute apart: a lag above its limit for 5 and 2 minutes is one above it in 6 and 3 batches running.
+held AS (SELECT *, min(lag) OVER (PARTITION BY partition ORDER BY b ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS low_3,
+                min(lag) OVER (PARTITION BY partition ORDER BY b ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS low_6 FROM samples)
+SELECT partition, b AS batch_id, lag,
+       CASE WHEN b >= 2 AND low_3 > critical THEN 'critical' WHEN b >= 5 AND low_6 > warning THEN 'warning' ELSE 'ok' END AS level
+FROM held""")
+def _(spark, root):
+    # A topic in files read in several batches; lags and levels from the progress events of the run.
+    path = scratch_dir(spark, "topic")
+    events = tables.table(spark, root, "events")
+    messages = events.select((F.col("user_id") % LAG_PARTITIONS).alias("partition"), F.col("user_id").cast("string").alias("key"),
+                             F.col("event_type").alias("value"), "event_id")
+    topics.append_topic(messages, path, LAG_PARTITIONS, ["event_id"])
+    heads = topics.head_offsets(path, LAG_PARTITIONS)
+    stream = topics.topic_stream(spark, path, LAG_PARTITIONS, "telemetry", max(heads) // LAG_BATCHES + 1, "lag")
+    with progress.ProgressLog(spark, scratch_dir(spark, "lag-log")) as log:
+        run = (stream.writeStream.format("noop").option("checkpointLocation", scratch_dir(spark, "lag-state"))
+               .trigger(processingTime="0 seconds").start())
+        run.processAllAvailable()
+        run.stop()
+        log.wait(run)
+    at = F.timestamp_seconds(F.col("batch_id") * LAG_EVERY_S)
+    samples = progress.lag_samples(log.rows().where("input_rows > 0")).withColumn("at", at)
+    return progress.held_lag_alerts(samples, warning=max(heads) // 4, critical=max(heads) // 2).select(
+        "partition", "batch_id", "lag", "level")
