@@ -39,6 +39,12 @@ class Block:
     slot: np.ndarray
     n_terms: np.ndarray
 
+    def __post_init__(self):
+        # Per term the queries that ask for it, one after the other.
+        term, self.asking = np.nonzero(self.slot >= 0)
+        self.size = np.bincount(term, minlength=len(self.terms))
+        self.first = np.cumsum(self.size) - self.size
+
 
 @dataclass
 class Asked:
@@ -107,14 +113,30 @@ class Rows:
         self.place = np.asarray(batch.column("places").flatten(), dtype=np.int64)
         self.length = np.asarray(batch.column("length"), dtype=np.float64)
 
-    def counts(self, block: Block, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """How often each chunk has each term of the block, and the column of every entry or -1."""
+    def hits(self, block: Block, n_words: int) -> "Hits":
+        """How often each chunk has each term of the block, spread over the queries that ask for the term."""
         column = np.full(n_words, -1, dtype=np.int64)
         column[block.terms] = np.arange(len(block.terms))
         own = column[self.word]
-        tf = np.zeros((self.n, len(block.terms)))
-        np.add.at(tf, (self.owner[own >= 0], own[own >= 0]), 1.0)
-        return tf, own
+        keep = own >= 0
+        pair, tf = np.unique(self.owner[keep] * max(1, len(block.terms)) + own[keep], return_counts=True)
+        chunk, term = np.divmod(pair, max(1, len(block.terms)))
+        size = block.size[term]
+        which = np.repeat(np.arange(len(pair)), size)
+        asking = block.asking[np.repeat(block.first[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        return Hits(own, chunk, term, tf, which, chunk[which] * len(block.queries) + asking)
+
+
+@dataclass
+class Hits:
+    """Entries (chunk, term, tf) of a batch and a block; ``which`` entry adds to which cell (chunk, query)."""
+
+    column: np.ndarray
+    chunk: np.ndarray
+    term: np.ndarray
+    tf: np.ndarray
+    which: np.ndarray
+    cell: np.ndarray
 
 
 Score = Callable[[Rows, Block, int], np.ndarray]
@@ -124,13 +146,12 @@ def bm25(df: np.ndarray, n: float, mean: float, match: str) -> Score:
     idf = np.log(1.0 + (n - df + 0.5) / (df + 0.5))
 
     def score(rows: Rows, block: Block, n_words: int) -> np.ndarray:
-        tf, _ = rows.counts(block, n_words)
-        has = (block.slot >= 0).astype(np.float64)
-        found = (tf > 0) @ has
-        soft = BM25_K1 * (1 - BM25_B + BM25_B * rows.length[:, None] / mean)
-        gain = tf * (BM25_K1 + 1) / (tf + soft)
-        good = found == block.n_terms if match == "all" else found > 0
-        return np.where(good, gain @ (has * idf[block.terms][:, None]), np.nan)
+        hits, shape = rows.hits(block, n_words), (rows.n, len(block.queries))
+        soft = BM25_K1 * (1 - BM25_B + BM25_B * rows.length[hits.chunk] / mean)
+        gain = idf[block.terms[hits.term]] * hits.tf * (BM25_K1 + 1) / (hits.tf + soft)
+        total = np.bincount(hits.cell, gain[hits.which], shape[0] * shape[1]).reshape(shape)
+        found = np.bincount(hits.cell, minlength=shape[0] * shape[1]).reshape(shape)
+        return np.where(found == block.n_terms if match == "all" else found > 0, total, np.nan)
 
     return score
 
@@ -141,8 +162,10 @@ def cover_density(rows: Rows, block: Block, n_words: int) -> np.ndarray:
     A cover counts ``WORD_WEIGHT / (1 + other words inside)``. From each entry on, the sweep looks up the next place of
     every term; the farthest of them ends the cover, and of the entries with one end the last begins it.
     """
-    tf, column = rows.counts(block, n_words)
-    chunk, query = np.nonzero((tf > 0) @ (block.slot >= 0).astype(np.float64) == block.n_terms)
+    hits = rows.hits(block, n_words)
+    column = hits.column
+    found = np.bincount(hits.cell, minlength=rows.n * len(block.queries)).reshape(rows.n, -1)
+    chunk, query = np.nonzero(found == block.n_terms)
     out = np.full((rows.n, len(block.queries)), np.nan)
     cost = np.cumsum(rows.size[chunk])
     at = 0

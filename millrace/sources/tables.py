@@ -13,13 +13,13 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table with far fewer splits than cores, spread over the cores.
+    """Rows of a table with fewer splits than two per core, spread over the cores; for costly work on texts.
 
-    A small table is one file and one task; costly text work on it would leave the other cores idle.
-    A large table has enough splits and is not moved.
+    A small table is often a single row group, so one of its splits holds all rows and the other cores stay idle. A
+    table with more splits is not moved. The rows are the same either way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
 
 
 def as_telemetry(events: DataFrame) -> DataFrame:
