@@ -97,9 +97,12 @@ def health_trend(summary: DataFrame, points: float = 5.0) -> DataFrame:
                               .when(change < -points, "degrading").otherwise("stable"))
 
 
-def customer_daily_rollup(summary: DataFrame, state: DataFrame | None = None,
+def customer_daily_rollup(summary: DataFrame, offline: DataFrame | None = None,
                           kwh_price: float = KWH_PRICE_USD) -> DataFrame:
-    """Per customer day: devices by health band, energy and its cost, devices offline now."""
+    """Per customer day: devices by health band, energy and its cost, devices offline at the end of that day.
+
+    ``offline`` has ``customer_id, date, devices_offline``, as ``state.offline_by_day`` makes it.
+    """
     score = F.col("health_score")
     out = summary.groupBy("customer_id", "date").agg(
         F.count(F.lit(1)).alias("total_devices"),
@@ -108,11 +111,9 @@ def customer_daily_rollup(summary: DataFrame, state: DataFrame | None = None,
         F.count_if(score < 60).alias("devices_critical"),
         F.sum("total_energy_kwh").alias("total_energy_kwh"),
         (F.sum("total_energy_kwh") * kwh_price).alias("energy_cost_usd"))
-    if state is None:
+    if offline is None:
         return out.withColumn("devices_offline", F.lit(0).cast("long"))
-    offline = state.groupBy("customer_id").agg(
-        F.count_if(F.col("status").startswith("offline")).alias("devices_offline"))
-    return (out.join(offline, "customer_id", "left")
+    return (out.join(offline.select("customer_id", "date", "devices_offline"), ["customer_id", "date"], "left")
             .withColumn("devices_offline", F.coalesce("devices_offline", F.lit(0).cast("long"))))
 
 

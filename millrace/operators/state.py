@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ratio, seconds_between
@@ -74,6 +75,39 @@ def critical_offline(state: DataFrame, asof: str, critical_type: str = "cnc_mach
             .select("device_id", "customer_id", "offline_seconds"))
 
 
+def state_intervals(changes: DataFrame) -> DataFrame:
+    """``changes(device_id, status, changed_at)`` as intervals ``(device_id, status, valid_from, valid_to)``.
+
+    A change opens an interval and closes the one before; repeated reports of one status are one interval; the newest
+    is open (``valid_to`` null).  A device changes its status at most every few minutes, so its rows are few.
+    """
+    order = W.partitionBy("device_id").orderBy("changed_at", "status")
+    turns = changes.select("device_id", "status", "changed_at").distinct().withColumn("_was", F.lag("status").over(order))
+    opened = turns.where("_was IS NULL OR _was <> status")
+    return opened.select("device_id", "status", F.col("changed_at").alias("valid_from"),
+                         F.lead("changed_at").over(order).alias("valid_to"))
+
+
+def as_of(intervals: DataFrame, asof: str) -> DataFrame:
+    """The one status per device that holds at an instant."""
+    at = F.lit(asof).cast("timestamp")
+    return intervals.where((F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > at)))
+
+
+def offline_by_day(intervals: DataFrame, devices: DataFrame, until: str) -> DataFrame:
+    """Rows ``(customer_id, date, devices_offline)``: devices offline at the end of each day, up to the day ``until``.
+
+    An offline interval counts for the days whose last midnight it holds, one row per such day; ``devices`` has
+    ``device_id, customer_id``.
+    """
+    last = F.coalesce(F.date_sub(F.to_date(F.col("valid_to") - F.make_dt_interval(secs=F.lit(0.000001))), 1),
+                      F.lit(until).cast("date"))
+    days = (intervals.where(F.col("status").startswith("offline"))
+            .select("device_id", F.to_date("valid_from").alias("_a"), F.least(last, F.lit(until).cast("date")).alias("_b"))
+            .where("_a <= _b").select("device_id", F.explode(F.sequence("_a", "_b")).alias("date")))
+    return days.join(devices, "device_id").groupBy("customer_id", "date").agg(F.count(F.lit(1)).alias("devices_offline"))
+
+
 def fleet_outage(state: DataFrame, threshold: float = 0.1) -> DataFrame:
     """Share of each customer's devices that are offline, and whether it is an outage."""
     offline = F.count_if(F.col("status").startswith("offline"))

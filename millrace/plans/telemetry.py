@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import gold, rules, silver, upsert
+from millrace.operators import gold, rules, silver, state, upsert
 from millrace.plans.base import TELEMETRY, day, query, rounded, ts, with_
 from millrace.schemas import METRICS
 from millrace.session import scratch_dir, staged
 from millrace.sources import sinks, tables
 from millrace.sources.messages import read_bronze, run_summary
+from millrace.streaming import heartbeat
 
 ASOF = "2024-01-15 00:00:00"
 T_ = with_(TELEMETRY)
@@ -117,25 +118,35 @@ def _(spark, root):
     return rounded(gold.health_trend(s).select("device_id", "date", "health_score", "health_trend"))
 
 
-@query("customer_daily_rollup", "A8", DAILY_SQL + f"""
+@query("customer_daily_rollup", "A8 U5", DAILY_SQL + f""", last_seen AS (
+  SELECT d.date, t.customer_id, t.device_id, max(t."timestamp") AS seen
+  FROM (SELECT DISTINCT date FROM daily) d JOIN telemetry t ON t."timestamp" <= d.date + INTERVAL 1 DAY GROUP BY 1, 2, 3)
 SELECT customer_id, {day('date')} AS date, count(*) AS total_devices,
        count(*) FILTER (health_score >= 80) AS devices_operational,
        count(*) FILTER (health_score >= 60 AND health_score < 80) AS devices_warning,
        count(*) FILTER (health_score < 60) AS devices_critical,
        round(sum(total_energy_kwh), 8) AS total_energy_kwh,
        round(sum(total_energy_kwh) * 0.12, 8) AS energy_cost_usd,
-       any_value(o.devices_offline) AS devices_offline
-FROM daily JOIN (
-  SELECT customer_id AS c, count(*) FILTER (seen < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 5 MINUTE) AS devices_offline
-  FROM (SELECT device_id, customer_id, max("timestamp") AS seen FROM telemetry GROUP BY 1, 2) s GROUP BY 1) o
-  ON o.c = daily.customer_id
-GROUP BY 1, 2""")
+       any_value((SELECT count(*) FROM last_seen l WHERE l.customer_id = daily.customer_id AND l.date = daily.date
+                  AND l.seen + INTERVAL 5 MINUTE <= daily.date + INTERVAL 1 DAY)) AS devices_offline
+FROM daily GROUP BY 1, 2""")
 def _(spark, root):
     t = tables.telemetry(spark, root)
-    limit = F.lit("2024-01-31 00:00:00").cast("timestamp") - F.expr("INTERVAL 5 MINUTES")
-    state = t.groupBy("device_id", "customer_id").agg(
-        F.when(F.max("timestamp") < limit, "offline_unplanned").otherwise("online").alias("status"))
-    return rounded(gold.customer_daily_rollup(daily_summary(spark, root), state), 8)
+    intervals = state.state_intervals(heartbeat.changes_batch(t, "2024-03-01 00:00:00"))
+    offline = state.offline_by_day(intervals, t.select("device_id", "customer_id").distinct(), "2024-02-28")
+    return rounded(gold.customer_daily_rollup(daily_summary(spark, root), offline), 8)
+
+
+@query("device_state_as_of", "U5 A8", T_ + f"""
+SELECT device_id, CASE WHEN seen + INTERVAL 5 MINUTE <= TIMESTAMP '2024-01-15 12:00:00' THEN 'offline' ELSE 'online' END AS status,
+       {ts("CASE WHEN seen + INTERVAL 5 MINUTE <= TIMESTAMP '2024-01-15 12:00:00' THEN seen + INTERVAL 5 MINUTE ELSE began END")} AS valid_from
+FROM (SELECT device_id, max("timestamp") AS seen, max("timestamp") FILTER (new) AS began FROM (
+  SELECT *, coalesce("timestamp" - lag("timestamp") OVER w > INTERVAL 5 MINUTE, true) AS new FROM telemetry
+  WHERE "timestamp" <= TIMESTAMP '2024-01-15 12:00:00' WINDOW w AS (PARTITION BY device_id ORDER BY "timestamp")) x GROUP BY 1) y""")
+def _(spark, root):
+    # What the state was at noon of a past day.
+    changes = heartbeat.changes_batch(tables.telemetry(spark, root), "2024-03-01 00:00:00")
+    return state.as_of(state.state_intervals(changes), "2024-01-15 12:00:00").select("device_id", "status", "valid_from")
 
 
 @query("rolling_features", "W4 W5 W6", DAILY_SQL + f"""
