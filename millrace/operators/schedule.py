@@ -134,20 +134,54 @@ def maintenance_micros(start: Column, end: Column) -> Column:
                        lambda acc, w: acc + overlap_micros(start, end, w["start"], w["end"]))
 
 
-def windows_to_buckets(windows: DataFrame, start: str, end: str, bucket_s: int = 3600) -> DataFrame:
-    """Intervals repeated for each time bucket they touch, so that a range join becomes an equi-join."""
-    first = F.floor(F.unix_micros(start) / F.lit(bucket_s * MICROS))
-    last = F.floor(F.unix_micros(end) / F.lit(bucket_s * MICROS))
-    return windows.withColumn("_bucket", F.explode(F.sequence(first, last)))
+LEVELS = 40  # powers of two of a bucket; the last is longer than any calendar
+
+
+def window_blocks(windows: DataFrame, start: str, end: str, bucket_s: int = 3600) -> DataFrame:
+    """Each window as the fewest aligned blocks of ``2 ** _level`` buckets that cover it: ``_level`` and ``_block``.
+
+    A window of n buckets has at most two blocks per level and no more than ``log2(n) + 1`` levels, so a year is some
+    twenty rows and not one per hour.  Blocks of a window do not overlap: an instant lies in one of them at most.
+    Windows that end before they start, or miss an end, have none.
+    """
+    width = bucket_s * MICROS
+    first, last = (F.floor(F.unix_micros(c) / F.lit(width)).cast("long") for c in (start, end))
+
+    def of_level(level: Column) -> Column:
+        # What is left for this level once the levels below took the blocks that cannot be paired.
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        a = -F.floor(-F.col("_first") / size)
+        b = F.floor((F.col("_last") + 1) / size) - 1
+        odd, even = F.abs(a % 2) == 1, b % 2 == 0
+        return F.when(a <= b, F.concat(
+            F.when(odd, F.array(F.struct(level.alias("_level"), a.alias("_block")))).otherwise(F.array()),
+            F.when(even, F.array(F.struct(level.alias("_level"), b.alias("_block")))).otherwise(F.array()))).otherwise(F.array())
+
+    top = F.ceil(F.log2((F.col("_last") - F.col("_first") + 2).cast("double"))).cast("int")
+    spans = windows.withColumns({"_first": first, "_last": last}).where("_first <= _last")
+    blocks = F.flatten(F.transform(F.sequence(F.lit(0), F.least(top, F.lit(LEVELS - 1))), of_level))
+    return (spans.withColumn("_b", F.explode(blocks)).withColumns({"_level": F.col("_b._level"), "_block": F.col("_b._block")})
+            .drop("_b", "_first", "_last"))
 
 
 def interval_join(df: DataFrame, windows: DataFrame, key: str, ts: str, start: str, end: str,
                   bucket_s: int = 3600) -> DataFrame:
-    """Rows whose instant lies in a window of the same key, both ends included."""
-    rows = df.withColumn("_bucket", F.floor(F.unix_micros(ts) / F.lit(bucket_s * MICROS)))
-    spread = windows_to_buckets(windows, start, end, bucket_s)
-    return (rows.join(spread, [key, "_bucket"])
-            .where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("_bucket"))
+    """Rows whose instant lies in a window of the same key, both ends included.
+
+    Windows become aligned blocks, and a row asks for its block on each level that some window has: an equi-join on
+    (key, level, block), whatever the windows' lengths.  Short windows have one or two levels, so rows are not repeated
+    more often than the longest window needs.
+    """
+    spread = window_blocks(windows, start, end, bucket_s)
+    levels = sorted(r[0] for r in spread.select("_level").distinct().collect())  # at most LEVELS numbers
+    bucket = F.floor(F.unix_micros(ts) / F.lit(bucket_s * MICROS)).cast("long")
+    asks = F.array(*[F.struct(F.lit(v).alias("_level"), F.floor(bucket / F.lit(1 << v)).alias("_block")) for v in levels])
+    if not levels:
+        asks = F.array().cast("array<struct<_level: int, _block: bigint>>")
+    rows = (df.where(F.col(ts).isNotNull()).withColumn("_b", F.explode(asks))
+            .withColumns({"_level": F.col("_b._level"), "_block": F.col("_b._block")}).drop("_b"))
+    return (rows.join(spread, [key, "_level", "_block"])
+            .where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("_level", "_block"))
 
 
 def schedule_versions(schedules: DataFrame) -> DataFrame:

@@ -162,6 +162,26 @@ def _(spark, root):
         "message_id", "facility", "reason")
 
 
+@query("interval_join_lengths", "J5", T_ + f"""
+, windows AS (SELECT s_suppkey AS window_id, 'fac-' || (s_suppkey % 5) AS facility,
+                     TIMESTAMP '2023-12-01' + to_hours(CAST(s_suppkey * 7 % 1400 AS BIGINT)) AS w_start,
+                     CAST(power(2, s_suppkey % 21) AS BIGINT) AS minutes FROM supplier)
+SELECT window_id, minutes, count(*) AS messages, {ts('min("timestamp")')} AS first_message, {ts('max("timestamp")')} AS last_message
+FROM windows w JOIN telemetry t ON t.facility = w.facility AND t."timestamp" BETWEEN w_start AND w_start + to_minutes(minutes)
+GROUP BY 1, 2""")
+def _(spark, root):
+    # Windows from a minute to two years, each with the messages of its facility.
+    number = F.col("s_suppkey").cast("long")
+    windows = tables.table(spark, root, "supplier").select(
+        number.alias("window_id"), F.concat(F.lit("fac-"), number % 5).alias("facility"),
+        (F.lit("2023-12-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=(number * 7 % 1400).cast("int"))).alias("w_start"),
+        F.pow(F.lit(2.0), number % 21).cast("long").alias("minutes"))
+    windows = windows.withColumn("w_end", F.col("w_start") + F.make_dt_interval(mins=F.col("minutes").cast("int")))
+    t = tables.telemetry(spark, root).select("facility", "timestamp")
+    return schedule.interval_join(t, windows, "facility", "timestamp", "w_start", "w_end").groupBy("window_id", "minutes").agg(
+        F.count(F.lit(1)).alias("messages"), F.min("timestamp").alias("first_message"), F.max("timestamp").alias("last_message"))
+
+
 @query("as_of_previous_error", "J7", T_ + f"""
 , pairs AS (SELECT a.message_id, a.device_id, b.message_id AS error_id, b."timestamp" AS error_at
             FROM telemetry a ASOF LEFT JOIN (
