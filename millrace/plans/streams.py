@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-
+from millrace.functions.quantiles import merged_quantiles, rank_errors, sketches
 from millrace.operators.silver import with_reject_reason
 from millrace.plans.base import REQUESTS, TELEMETRY, day, query, rounded, ts, with_
 from millrace.plans.reliability import METRICS_SQL, alert_sql
 from millrace.plans.telemetry import EVENTS, HOURLY, with_temperature
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, staged
 from millrace.sources import sinks, tables, topics
 from millrace.sources.messages import read_bronze, table_stream
 from millrace.streaming import alerting, heartbeat, jobs, late, progress
@@ -351,3 +351,32 @@ def _(spark, root):
     samples = progress.lag_samples(log.rows().where("input_rows > 0")).withColumn("at", at)
     return progress.held_lag_alerts(samples, warning=max(heads) // 4, critical=max(heads) // 2).select(
         "partition", "batch_id", "lag", "level")
+
+
+@query("latency_quantiles_sketched", "A11 ST5", with_(REQUESTS) + f"""
+SELECT 'day' AS part, endpoint, {ts("date_trunc('day', ts)")} AS window_start, count(*) AS n, true AS within_one_percent
+FROM requests GROUP BY 2, 3
+UNION ALL SELECT 'sliding', endpoint, {ts('w')}, count(*), true
+FROM (SELECT *, unnest(generate_series(date_trunc('day', ts) + to_hours(CAST(6 * (date_part('hour', ts) // 6) AS BIGINT)) - INTERVAL 18 HOUR,
+      date_trunc('day', ts) + to_hours(CAST(6 * (date_part('hour', ts) // 6) AS BIGINT)), INTERVAL 6 HOUR)) AS w FROM requests) x GROUP BY 2, 3
+UNION ALL SELECT 'stream', endpoint, {ts("date_trunc('day', ts)")}, count(*), true
+FROM requests WHERE ts < date_trunc('minute', {WATERMARK}) GROUP BY 2, 3""")
+def _(spark, root):
+    # One table of minute sketches answers for days and for sliding windows; a stream fills the same table.
+    q = {"p95": 0.95}
+    log = tables.requests(spark, root).select("endpoint", "ts", "duration_s")
+    stored = staged(sketches(log, ["endpoint", F.date_trunc("minute", "ts").alias("minute")], "duration_s"), "minute-sketches")
+    live = jobs.run_to_files(jobs.minute_sketches(tables.as_requests(table_stream(spark, root, "events")), ["endpoint"]), "sketches")
+    closed = log.join(live.select("minute").distinct(), F.date_trunc("minute", "ts") == F.col("minute"), "left_semi")
+    of_day = lambda c: F.date_trunc("day", c).alias("window_start")
+    sliding = lambda c: F.window(c, "24 hours", "6 hours")
+    out = None
+    for part, rows, minutes, start in (("day", log, stored, of_day), ("sliding", log, stored, sliding), ("stream", closed, live, of_day)):
+        windowed = lambda df, c: (df.withColumn("w", start(c)).withColumn("window_start", F.col("w.start")).drop("w")
+                                  if start is sliding else df.withColumn("window_start", start(c)))
+        found = merged_quantiles(windowed(minutes, "minute"), ["endpoint", "window_start"], q)
+        errors = rank_errors(windowed(rows, "ts"), found, ["endpoint", "window_start"], "duration_s", "p95", 0.95)
+        one = found.join(errors, ["endpoint", "window_start"]).select(
+            F.lit(part).alias("part"), "endpoint", "window_start", "n", (F.col("rank_error") <= 0.01).alias("within_one_percent"))
+        out = one if out is None else out.unionByName(one)
+    return out

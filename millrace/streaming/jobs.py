@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.columns import device_temperature, is_server_error
+from millrace.functions.quantiles import sketches
 from millrace.operators.rules import threshold_events
 from millrace.operators.silver import (LATE_SECONDS, flatten_telemetry, parse_messages, with_lateness, with_quality_score,
                                        with_reject_reason)
@@ -98,6 +99,12 @@ def sliding_requests(log: DataFrame, window: str = "5 minutes", slide: str = "1
                     "endpoint", "requests", "failed"))
 
 
+def minute_sketches(log: DataFrame, by: list[str], value: str = "duration_s", late: str = LATE) -> DataFrame:
+    """Quantile sketches of closed minutes: stored, they answer for any window of minutes by merging."""
+    parts = sketches(log.withWatermark("ts", late), [F.window("ts", "1 minute").alias("w"), *by], value)
+    return parts.select(F.col("w.start").alias("minute"), *by, "sketch")
+
+
 def sessions(silver: DataFrame, gap: str = "5 minutes", late: str = LATE) -> DataFrame:
     return (silver.withWatermark("timestamp", late)
             .groupBy(F.session_window("timestamp", gap).alias("w"), "device_id")
