@@ -16,7 +16,7 @@ from millrace.plans.telemetry import EVENTS, HOURLY, with_temperature
 from millrace.session import scratch_dir, staged
 from millrace.sources import sinks, tables, topics
 from millrace.sources.messages import read_bronze, table_stream
-from millrace.streaming import alerting, heartbeat, jobs, late, progress
+from millrace.streaming import alerting, heartbeat, hot, jobs, late, progress
 
 T_ = with_(TELEMETRY)
 WATERMARK = "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
@@ -380,3 +380,19 @@ def _(spark, root):
             F.lit(part).alias("part"), "endpoint", "window_start", "n", (F.col("rank_error") <= 0.01).alias("within_one_percent"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query("stream_hot_customers", "A25 P9 ST5", T_ + """
+, skewed AS (SELECT CASE WHEN user_id % 10 < 4 THEN 'cust-0' ELSE 'cust-' || (1 + user_id % 37) END AS customer_id, facility FROM telemetry),
+shares AS (SELECT customer_id, count(*) / (SELECT count(*) FROM skewed)::DOUBLE AS share FROM skewed GROUP BY 1)
+SELECT CASE WHEN share > 0.2 THEN customer_id || ':' || facility ELSE customer_id END AS routing_key, count(*) AS messages
+FROM skewed JOIN shares USING (customer_id) GROUP BY 1""")
+def _(spark, root):
+    # The busiest customer's key is split by facility as soon as the stream's summaries show it.
+    def skewed(rows):
+        return rows.withColumn("customer_id", F.when(F.col("user_id") % 10 < 4, "cust-0").otherwise(
+            F.concat(F.lit("cust-"), 1 + F.col("user_id") % 37)))
+
+    told = run_late(spark, hot.summaries(skewed(arrivals(spark, root))), "hot")
+    routed = hot.split_keys(skewed(tables.telemetry(spark, root)), hot.hot_tenants(told))
+    return routed.groupBy("routing_key").agg(F.count(F.lit(1)).alias("messages"))
