@@ -111,15 +111,14 @@ def _(spark, root):
 
 @query("stored_documents", "S9 U3", C_ + """
 SELECT substring(sha256(source_path || ':' || version), 1, 16) AS document_id, doc_type, sha256(content) AS file_hash,
-       CASE WHEN doc_id % 8 = 0 THEN length(content) * 2 ELSE length(content) END AS total_chars FROM corpus
-WHERE doc_type IN ('manual', 'runbook')""")
+       CASE WHEN sha256(content) < '8' THEN length(content) * 2 ELSE length(content) END AS total_chars FROM corpus""")
 def _(spark, root):
-    # Documents stored by type and merged with a second edition of some of them.
+    # Documents of all types stored by type and merged with a second edition of some of them.
     path = scratch_dir(spark, "stored")
-    rows = corpus.with_identity(docs(spark, root).where("doc_type IN ('manual', 'runbook')")).select(
-        "document_id", "doc_type", "file_hash", F.col("total_chars").cast("long").alias("total_chars"), "doc_id")
-    upsert.replace_partitions(rows.drop("doc_id"), path, ["doc_type"])
-    again = rows.where("doc_id % 8 = 0").withColumn("total_chars", F.col("total_chars") * 2).drop("doc_id")
+    rows = corpus.with_identity(docs(spark, root)).select(
+        "document_id", "doc_type", "file_hash", F.col("total_chars").cast("long").alias("total_chars"))
+    upsert.replace_partitions(rows, path, ["doc_type"])
+    again = rows.where("file_hash < '8'").withColumn("total_chars", F.col("total_chars") * 2)
     upsert.merge_into(path, again, ["document_id", "doc_type"], ["doc_type"])
     return spark.read.parquet(path).select("document_id", "doc_type", "file_hash", "total_chars")
 
