@@ -10,9 +10,10 @@ from millrace.llm.common import table
 from millrace.session import staged
 
 # The base patterns of the contract, in its order of kinds. The quantifiers are possessive where nothing
-# could follow what they would give back, which finds the same and needs no stack on long runs.
+# could follow what they would give back, which finds the same and needs no stack on long runs. An address is tried
+# at the start of a run of its letters, or where the match before ends: from inside the run nothing else can match.
 KINDS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

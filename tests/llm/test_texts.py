@@ -355,6 +355,17 @@ def test_personal_data(spark):
     assert pii.personal_data(empty(spark)).collect() == []
 
 
+def test_addresses_in_very_long_texts(spark):
+    import time
+    n = 1_000_000
+    rows = [(1, "a" * n + " x@ y me@host.org"), (2, "b" * n + "@"), (3, "c" * n + "@d.e"), (4, "a@b.c" * 50_000)]
+    start = time.time()
+    got = {r.doc_id: (r.n_email, r.spans) for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert time.time() - start < 60
+    assert got[1] == (1, f"email:{n + 6}:{n + 17}") and got[2][0] == 0 and got[3] == (1, f"email:0:{n + 4}")
+    assert got[4][0] == len(re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", rows[3][1]))
+
+
 def test_bootstrapped_patterns_find_more(spark):
     rows = [(i, f"the Ref: user{i}@mail.org and more") for i in range(12)]
     rows += [(20, "see Ref: (QX-9931-77), ok"), (21, "note: hello 5"), (22, "Ref: none"), (23, "at: 77-88")]
