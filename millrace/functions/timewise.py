@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import time_bucket
+from millrace.session import staged
 
 
 def next_in_time(df: DataFrame, keys: list[str], ts: str = "timestamp", tie: list[str] | None = None,
@@ -65,3 +66,43 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
            .join(carried, [*keys, "_bucket"], "left")
            .withColumn("_hit", F.coalesce("_hit", "_carried")))
     return hit.select("_row.*", *[F.col(f"_hit.{c}").alias(c) for c in take])
+
+
+def in_ranges(rows: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """``rows`` written in ranges of ``order`` of about equal size, with the number of each row's range in ``_range``.
+
+    Spark takes the splitters from a bounded sample of each partition.  The numbers are stored with the rows, so they
+    stay what they are whatever is computed anew.
+    """
+    n = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+    return staged(dealt, "ranges")
+
+
+def as_of_join_ranged(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str,
+                      take: list[str], right_tie: list[str] | None = None, ranges: int | None = None) -> DataFrame:
+    """``as_of_join`` for any span of time and any skew: no bucket length has to fit the data.
+
+    Rows of both sides lie in ranges of (key, time); a hot key's day, or hour, is as many ranges as it needs.  Inside a
+    range the latest right row is found by a window; from each range of a key only its last right row is carried to
+    the ranges behind it, so the window over a key sees one row per range.  Rows of one key and instant are one range.
+    """
+    found = F.struct(F.col(right_ts).alias("_at"), *[F.col(c).alias(c) for c in take])
+    order = F.struct(F.col(right_ts), *[F.col(c) for c in (right_tie or [])])
+    rights = right.where(F.col(right_ts).isNotNull()).select(
+        *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), order.alias("_order"), found.alias("_found"))
+    lefts = left.select(*keys, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"),
+                        F.lit(None).cast(rights.schema["_order"].dataType).alias("_order"),
+                        F.lit(None).cast(rights.schema["_found"].dataType).alias("_found"),
+                        F.struct(*[F.col(c) for c in left.columns]).alias("_row"))
+    rows = in_ranges(lefts.unionByName(rights.withColumn("_row", F.lit(None).cast(left.schema))), [*keys, "_ts"], ranges)
+    lasts = rows.where("_side = 0").groupBy(*keys, "_range").agg(F.max_by("_found", "_order").alias("_last"))
+    touched = rows.select(*keys, "_range").distinct().join(lasts, [*keys, "_range"], "left")
+    before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    carried = touched.select(*keys, "_range", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    upto = W.partitionBy(*keys, "_range").orderBy("_ts", "_side", "_order").rowsBetween(W.unboundedPreceding, W.currentRow)
+    hit = (rows.withColumn("_hit", F.last("_found", ignorenulls=True).over(upto)).where("_side = 1")
+           .join(carried, [*keys, "_range"], "left").withColumn("_hit", F.coalesce("_hit", "_carried")))
+    # A left row without an instant, or without a key, has nothing before it.
+    known = F.col("_ts").isNotNull()
+    return hit.select("_row.*", *[F.when(known, F.col(f"_hit.{c}")).alias(c) for c in take])

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from millrace.functions.timewise import as_of_join
+from millrace.functions.timewise import as_of_join, as_of_join_ranged
 from millrace.operators import alerts, gold, routing, runtime, schedule, silver, state, upsert
 from millrace.plans.base import TELEMETRY, day, query, rounded, ts, with_
 from millrace.schemas import SCHEDULE
@@ -182,20 +182,32 @@ def _(spark, root):
         F.count(F.lit(1)).alias("messages"), F.min("timestamp").alias("first_message"), F.max("timestamp").alias("last_message"))
 
 
-@query("as_of_previous_error", "J7", T_ + f"""
+PREVIOUS_ERROR = T_ + f"""
 , pairs AS (SELECT a.message_id, a.device_id, b.message_id AS error_id, b."timestamp" AS error_at
             FROM telemetry a ASOF LEFT JOIN (
               SELECT device_id, "timestamp", max(message_id) AS message_id FROM telemetry WHERE status = 'error' GROUP BY 1, 2) b
             ON a.device_id = b.device_id AND a."timestamp" >= b."timestamp")
-SELECT message_id, device_id, error_id, {ts('error_at')} AS error_at FROM pairs""")
-def _(spark, root):
+SELECT message_id, device_id, error_id, {ts('error_at')} AS error_at FROM pairs"""
+
+
+def _previous_error(spark, root, join):
     t = tables.telemetry(spark, root).select("message_id", "device_id", "timestamp", "status")
     errors = t.where("status = 'error'").select(
         "device_id", F.col("timestamp").alias("error_at"), F.col("message_id").alias("error_id"))
-    out = as_of_join(t, errors, ["device_id"], "timestamp", "error_at", ["error_id", "error_at"], ["error_id"])
+    out = join(t, errors, ["device_id"], "timestamp", "error_at", ["error_id", "error_at"], ["error_id"])
     return out.select("message_id", "device_id", "error_id", "error_at")
 
 
+@query("as_of_previous_error", "J7", PREVIOUS_ERROR)
+def _(spark, root):
+    return _previous_error(spark, root, as_of_join)
+
+
+@query("as_of_previous_error_ranged", "J7", PREVIOUS_ERROR)
+def _(spark, root):
+    return _previous_error(spark, root, as_of_join_ranged)
+
+
 @query("schedule_version_at", "J7 J6", T_ + """
 SELECT message_id, facility, CASE WHEN facility <> 'fac-1' THEN '24x7'
        WHEN "timestamp" >= TIMESTAMP '2024-01-20' THEN 'night' WHEN "timestamp" >= TIMESTAMP '2024-01-10' THEN 'late'

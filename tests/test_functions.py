@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import fixed_point
 from millrace.functions.quantiles import exact_quantiles
-from millrace.functions.timewise import as_of_join, next_in_time
+from millrace.functions.timewise import as_of_join, as_of_join_ranged, in_ranges, next_in_time
 
 START = dt.datetime(2024, 1, 1)
 
@@ -41,6 +41,28 @@ def test_as_of_join_equals_brute_force(spark):
     assert {r.id: r.mark for r in out.collect()} == want
 
 
+def test_ranged_as_of_join_equals_brute_force(spark):
+    rows, marks = skewed_times(900), skewed_times(400, seed=8)
+    # Ties, a key without right rows, times before all right rows, and rows without a time or a key.
+    rows += [("alone", START, 9001), ("hot", START - dt.timedelta(days=400), 9002), ("hot", None, 9003), (None, START, 9004)]
+    rows += [("hot", START + dt.timedelta(days=4000), 9005), *[("hot", t, 9100 + m) for _, t, m in marks[:20]]]
+    marks += [("hot", marks[0][1], 777), ("hot", None, 778)]
+    left = spark.createDataFrame(rows, "key string, at timestamp, id int")
+    right = spark.createDataFrame(marks, "key string, since timestamp, mark int")
+    want = {i: max(((t, m) for k2, t, m in marks if k2 == k and t and at and t <= at), default=(None, None))[1] for k, at, i in rows}
+    for ranges in (1, 7, 40):
+        out = as_of_join_ranged(left, right, ["key"], "at", "since", ["mark"], ["mark"], ranges).collect()
+        assert len(out) == len(rows) and {r.id: r.mark for r in out} == want
+    none = as_of_join_ranged(left, right.where("mark < 0"), ["key"], "at", "since", ["mark"]).collect()
+    assert len(none) == len(rows) and all(r.mark is None for r in none)
+
+
+def test_ranges_spread_a_hot_key(spark):
+    df = spark.createDataFrame(skewed_times(30_000), "key string, timestamp timestamp, id int").repartition(4)
+    sizes = sorted(r["count"] for r in in_ranges(df, ["key", "timestamp"], 16).groupBy("_range").count().collect())
+    assert len(sizes) == 16 and sizes[-1] <= 3 * sizes[8]
+
+
 def test_exact_quantiles_equal_numpy(spark):
     rnd = random.Random(5)
     groups = {"copies": [1.5] * 500 + [9.0], "wide": [rnd.lognormvariate(0, 3) for _ in range(700)], "one": [4.0],
