@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import tokens
+from millrace.functions.stem import stem
+from millrace.functions.text import STOP_WORDS, tokens
 from millrace.operators.search import BM25_B, BM25_K1, KEY, best_places, query_terms, top_k
 from millrace.session import staged
 
@@ -25,6 +26,8 @@ QUERY_BYTES = 4 << 20  # of query texts whose terms are sent to every task; more
 QUERY_BLOCK = 256  # queries scored at once, which bounds the matrices of a task
 PAIR_BLOCK = 1 << 20  # places looked at together by the cover sweep
 
+_STOPS = frozenset(STOP_WORDS)
+
 # Fixed value: the weight of a word without a class of its own in cover density.
 WORD_WEIGHT = 0.1
 
@@ -55,13 +58,14 @@ class Asked:
     blocks: list[Block]
 
 
-def _asked(queries: DataFrame) -> Asked:
+def _asked(queries: DataFrame, stems: bool = False) -> Asked:
     held = query_terms(queries).toArrow().combine_chunks()
     ids = held.column("query_id").combine_chunks().dictionary_encode()
-    words = held.column("term").combine_chunks().dictionary_encode()
-    owner, term = (np.asarray(c.indices, dtype=np.int64) for c in (ids, words))
-    order = np.lexsort((term, owner))
-    owner, term = owner[order], term[order]
+    words = held.column("term").combine_chunks()
+    words = (_stemmed(words) if stems else words).dictionary_encode()
+    # Words of a query that have one stem are one term.
+    pairs = np.stack([np.asarray(c.indices, dtype=np.int64) for c in (ids, words)], axis=1)
+    owner, term = np.unique(pairs.reshape(-1, 2), axis=0).T
     n_terms = np.bincount(owner, minlength=len(ids.dictionary))
     blocks = []
     for at in range(0, len(ids.dictionary), QUERY_BLOCK):
@@ -76,14 +80,23 @@ def _asked(queries: DataFrame) -> Asked:
     return Asked(ids.dictionary, words.dictionary, blocks)
 
 
-def matched_words(chunks: DataFrame, vocabulary: pa.Array, text: str = "content") -> DataFrame:
+def _stemmed(words: pa.Array) -> pa.Array:
+    """Stems of tokens, each distinct one worked out once; stop words have none."""
+    coded = words.dictionary_encode()
+    stems = [None if w is None or w in _STOPS else stem(w) for w in coded.dictionary.to_pylist()]
+    return pa.array(stems, pa.string()).take(coded.indices)
+
+
+def matched_words(chunks: DataFrame, vocabulary: pa.Array, text: str = "content", stems: bool = False) -> DataFrame:
     """Rows ``(document_id, chunk_index, length, words, places)``: the tokens of each chunk that the vocabulary has, as
-    its numbers, with their places in the text, and the number of all tokens. Chunks without a token are left out."""
+    its numbers, with their places in the text, and the number of all tokens. Chunks without a token are left out.
+    With ``stems`` the vocabulary and the tokens are compared as English stems; stop words match nothing then."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("_tokens")
             size = np.asarray(pc.list_value_length(lists), dtype=np.int64)
-            number = pc.index_in(lists.flatten(), value_set=vocabulary)
+            flat = lists.flatten()
+            number = pc.index_in(_stemmed(flat) if stems else flat, value_set=vocabulary, skip_nulls=True)
             owner = np.repeat(np.arange(batch.num_rows), size)
             place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
             hit = np.asarray(number.is_valid())
@@ -242,15 +255,16 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def search_bm25(queries: DataFrame, chunks: DataFrame, k: int = 20, match: str = "all",
-                query_bytes: int = QUERY_BYTES) -> DataFrame:
+                query_bytes: int = QUERY_BYTES, stems: bool = False) -> DataFrame:
     """BM25 of ``queries(query_id, query_text)`` over ``chunks(document_id, chunk_index, content)``.
 
     ``match="all"`` needs every query term, ``"any"`` at least one. Terms reach the tasks up to ``query_bytes`` of query
-    text; larger sets are searched in parts of that size. Queries of stop words only find nothing.
+    text; larger sets are searched in parts of that size. Queries of stop words only find nothing. With ``stems`` words
+    match by their English stems.
     """
     def one(part: DataFrame) -> DataFrame:
-        asked = _asked(part)
-        rows = staged(matched_words(chunks, asked.vocabulary), "lexical-words")
+        asked = _asked(part, stems)
+        rows = staged(matched_words(chunks, asked.vocabulary, stems=stems), "lexical-words")
         n, mean = rows.agg(F.count(F.lit(1)), F.avg("length")).first()
         seen = rows.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
         df = np.zeros(len(asked.vocabulary))
@@ -261,14 +275,15 @@ def search_bm25(queries: DataFrame, chunks: DataFrame, k: int = 20, match: str =
     return _union([one(p) for p in _passes(queries, query_bytes)])
 
 
-def search_density(queries: DataFrame, chunks: DataFrame, k: int = 20, query_bytes: int = QUERY_BYTES) -> DataFrame:
+def search_density(queries: DataFrame, chunks: DataFrame, k: int = 20, query_bytes: int = QUERY_BYTES,
+                   stems: bool = False) -> DataFrame:
     """Cover-density ranking of chunks that hold every term of a query; arguments as in ``search_bm25``.
 
     The closer together a chunk has a query's terms, and the more often, the higher it ranks; no statistics of the
     corpus enter, so one pass over the texts is enough.
     """
     def one(part: DataFrame) -> DataFrame:
-        asked = _asked(part)
-        return scored(matched_words(chunks, asked.vocabulary), asked, cover_density, k)
+        asked = _asked(part, stems)
+        return scored(matched_words(chunks, asked.vocabulary, stems=stems), asked, cover_density, k)
 
     return _union([one(p) for p in _passes(queries, query_bytes)])

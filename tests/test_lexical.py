@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.stem import stem
 from millrace.functions.text import STOP_WORDS
 from millrace.operators import lexical, search
 from tests.test_documents import brute_bm25
@@ -105,6 +106,36 @@ def test_covers_prefer_close_terms():
     assert np.allclose(got, [0.1 / 2, 0, 0.1 / 2, 0.1, 0])
 
 
+STEMS = dict(
+    caresses="caress", flies="fli", dies="die", mules="mule", denied="deni", agreed="agre", owned="own", humbled="humbl",
+    sized="size", meeting="meet", stating="state", itemization="item", sensational="sensat", traditional="tradit",
+    reference="refer", colonizer="colon", plotted="plot", running="run", generously="generous", knightly="knight",
+    consolatory="consolatori", hopping="hop", hoped="hope", ties="tie", cries="cri", gas="gas", kiwis="kiwi", happily="happili",
+    say="say", by="by", cry="cri", vibrations="vibrat", maintenance="mainten", temperatures="temperatur", bearings="bear",
+    spindles="spindl", relational="relat", communication="communic", skies="sky", innings="inning", proceeds="proceed",
+    bled="bled", analogies="analog", fluently="fluentli", national="nation", yellow="yellow", boyish="boyish",
+    adoption="adopt", opinion="opinion", argue="argu", shopped="shop", disabled="disabl", éclairs="éclair", x1="x1")
+
+
+def test_stems():
+    assert {w: stem(w) for w in STEMS} == STEMS
+
+
+@pytest.mark.parametrize("run", ["density", "bm25"])
+def test_search_by_stems_is_search_of_stemmed_texts(spark, run):
+    rnd = random.Random(6)
+    words = [w for w in STEMS if w not in ("by", "say")] + ["reading", "read", "reads", "machine", "machines", "doing", "does"]
+    chunks = {(i, 0): " ".join(rnd.choices(words, k=rnd.randrange(3, 40))) for i in range(90)}
+    queries = {i: " ".join(rnd.sample(words, 2)) for i in range(20)} | {90: "reads reading", 91: "does"}
+    search_ = lexical.search_density if run == "density" else lexical.search_bm25
+    q, c = frames(spark, chunks, queries)
+    got = ranked(search_(q, c, 6, stems=True))
+    # A stop word takes a place but matches nothing, whatever its stem would be.
+    reduced = lambda t: " ".join("of" if w in STOP_WORDS else "s" + stem(w) for w in t.split())
+    q, c = frames(spark, {k: reduced(t) for k, t in chunks.items()}, {k: reduced(t) for k, t in queries.items()})
+    assert got == ranked(search_(q, c, 6)) and 90 in got and 91 not in got
+
+
 def test_types_of_keys_stay(spark):
     q = spark.createDataFrame([("q1", "red fox")], "query_id string, query_text string")
     c = spark.createDataFrame([("d1", 3, "a red and a brown fox")], "document_id string, chunk_index long, content string")
