@@ -63,11 +63,17 @@ def build_postings(chunks: DataFrame, text: str = "content") -> DataFrame:
             .select(*KEY, "term", tf.alias("tf"), "length", "leads"))
 
 
-def search_texts(queries: DataFrame, chunks: DataFrame, k: int = 20, match: str = "all") -> DataFrame:
-    """BM25 over the chunks' texts, without an index: one pass keeps the words that the queries ask for."""
-    from millrace.operators.lexical import search_bm25
+def search_texts(queries: DataFrame, chunks: DataFrame, k: int = 20, match: str = "all", ranking: str = "bm25",
+                 stems: bool = False) -> DataFrame:
+    """Keyword search of the chunks' texts, without an index: one pass keeps the words that the queries ask for.
 
-    return search_bm25(queries, chunks, k, match)
+    ``ranking`` is ``"bm25"``, or ``"density"``, which always needs every query term.
+    """
+    from millrace.operators import lexical
+
+    if ranking == "density":
+        return lexical.search_density(queries, chunks, k, stems=stems)
+    return lexical.search_bm25(queries, chunks, k, match, stems=stems)
 
 
 def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
@@ -272,14 +278,15 @@ def rrf(lists: list[DataFrame], k: int = RRF_K, weights: list[float] | None = No
 
 def hybrid_search(queries: DataFrame, chunks: DataFrame, postings: DataFrame | None = None, k: int = 10,
                   tenant: str | None = None, doc_types: list[str] | None = None, match: str = "all",
-                  candidates: int = 20, weights: list[float] | None = None) -> DataFrame:
+                  candidates: int = 20, weights: list[float] | None = None, ranking: str = "bm25",
+                  stems: bool = False) -> DataFrame:
     """Keyword and vector candidates fused; ``queries`` has ``query_id, query_text, embedding``.
 
     Only keys, ranks and scores are carried; join contents to the result afterwards.
     """
     pool = restrict(chunks, tenant, doc_types)
     if postings is None:
-        words = search_texts(queries, pool, candidates, match)
+        words = search_texts(queries, pool, candidates, match, ranking, stems)
     else:
         if tenant is not None or doc_types:
             postings = postings.join(pool.select(*KEY), KEY, "left_semi")

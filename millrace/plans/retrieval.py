@@ -336,6 +336,17 @@ def _(spark, root):
     return search.hybrid_search(text_queries(spark, root), pool, k=10, match="any")
 
 
+@query("hybrid_search_density", "R3 R6 R7", with_(
+    CORPUS, CHUNKS, POSTINGS, TEXT_QUERIES, words_sql("text_queries", 20, "all"), DENSITY, HYBRID_QUERIES, VECTORS,
+    near_sql("vector_queries", "vectors", 20), FUSED.replace("FROM words", "FROM density"))
+    + "SELECT query_id, document_id, chunk_index, score, rank FROM fused WHERE rank <= 10")
+def _(spark, root):
+    # The words ranked by cover density.
+    pool = window_chunks(spark, root).select("document_id", "chunk_index", "content").unionByName(
+        vectors(spark, root).select("document_id", "chunk_index", "embedding"), allowMissingColumns=True)
+    return search.hybrid_search(text_queries(spark, root), pool, k=10, ranking="density")
+
+
 @query("fusion_ranks", "J3 W7", HYBRID + """
 SELECT coalesce(w.query_id, n.query_id) AS query_id, coalesce(w.document_id, n.document_id) AS document_id,
        coalesce(w.chunk_index, n.chunk_index) AS chunk_index, w.rank AS first_rank, n.rank AS second_rank
