@@ -248,6 +248,12 @@ DOC = pa.struct([("doc_id", pa.int64()), *((n, pa.int64()) for n in SIZES), ("gr
 DOC_SCHEMA = f"doc_id long, {', '.join(n + ' long' for n in SIZES)}, groups_sha256 string"
 
 
+def _few(parts: Iterable[pa.RecordBatch], rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        for at in range(0, part.num_rows, rows):
+            yield part.slice(at, rows)
+
+
 def spilled(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, radices: int = RADICES,
             limit: int = SPILL) -> DataFrame:
     """Rows (part, spill, radix, docs, data): per spill one row of its records with the digests of its documents
@@ -273,10 +279,10 @@ def spilled(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
         own, part, number = aligner(path_a, path_b), TaskContext.get().partitionId(), 0
         held, rows, size = [], [], 0
         for batch in batches:
-            for some in slices(batch, "text", 2 << 20):
+            for some in _few(slices(batch, "text", 2 << 20)):
                 sizes, groups, text, links = own.align(some.column("text").to_pylist())
                 hashes = [g and hashlib.sha256(g.encode()).hexdigest() for g in groups]
-                # Texts of a slice are fewer than 2**12, pairs below 2**51.
+                # Pairs are below 2**51, and a slice has no more than 2**12 texts.
                 keys, times = np.unique(links << 12 | text, return_counts=True)
                 held.append((keys >> 12, (keys & 4095) + len(rows), times))
                 rows += [dict(zip(("doc_id", *SIZES, "groups_sha256"), (i, *s, h)))

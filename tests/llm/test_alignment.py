@@ -83,6 +83,15 @@ def test_alignment(spark, options):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)
 
 
+def test_many_short_texts_in_a_batch(spark, monkeypatch):
+    rows = [(i, f"n{i % 700} m") for i in range(9000)]
+    monkeypatch.setattr(alignment, "small_batches", lambda df: df)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    got = alignment.alignment(documents(spark, rows, 1)).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+
+
 def test_empty_table(spark):
     assert alignment.alignment(empty(spark)).collect() == []
     assert alignment.pair_counts(empty(spark)).collect() == []
