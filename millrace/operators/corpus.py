@@ -145,11 +145,13 @@ def embed_hashed(df: DataFrame, text_col: str = "content", dim: int = 64, out: s
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def unit(cells: pd.Series) -> pd.Series:
-        def one(own) -> np.ndarray:
-            counts = np.bincount(own, minlength=dim).astype(np.float64)
-            return (counts / (np.sqrt((counts * counts).sum()) or 1.0)).astype(np.float32)
-
-        return cells.map(one)
+        # One count over the batch: a row's cells are shifted by its place.
+        size = cells.map(len).to_numpy(dtype=np.int64)
+        flat = np.concatenate([np.asarray(c, dtype=np.int64) for c in cells]) if len(cells) else np.zeros(0, dtype=np.int64)
+        counts = np.bincount(np.repeat(np.arange(len(size)) * dim, size) + flat, minlength=len(size) * dim)
+        counts = counts.reshape(-1, dim).astype(np.float64)
+        length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        return pd.Series(list((counts / np.where(length > 0, length, 1.0)).astype(np.float32)), index=cells.index)
 
     cells = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))), cell)
     return df.withColumn(out, unit(cells))

@@ -9,6 +9,7 @@ from millrace.operators import context, corpus, evaluate, ivf, lexical, search,
 from millrace.plans.base import CHUNKS, CORPUS, day, query, rounded, with_
 from millrace.session import scratch_dir, staged
 from millrace.sources import tables
+from millrace.sources.documents import read_documents
 
 C_ = with_(CORPUS)
 CH_ = with_(CORPUS, CHUNKS)
@@ -93,12 +94,46 @@ def _(spark, root):
   SELECT document_id, chunk_index, CAST('0x' || substr(sha256(term), 1, 8) AS BIGINT) % 64 AS cell, count(*) AS n
   FROM (SELECT document_id, chunk_index, unnest(regexp_extract_all(lower(content), '{TOKEN}')) AS term FROM chunks) t GROUP BY 1, 2, 3),
 parts AS (SELECT *, CAST(n / sqrt(sum(n * n) OVER (PARTITION BY document_id, chunk_index)) AS FLOAT) AS part FROM cells),
-sums AS (SELECT document_id, chunk_index, sum(CAST(part AS DOUBLE)) AS total FROM parts GROUP BY 1, 2)
-SELECT document_id, chunk_index, 64 AS dim, round(coalesce(total, 0), 6) AS total FROM chunks LEFT JOIN sums USING (document_id, chunk_index)""")
+sums AS (SELECT document_id, chunk_index, sum(CAST(part AS DOUBLE)) AS total, sum(CAST(part AS DOUBLE) * (cell + 1)) AS first_moment,
+                sum(CAST(part AS DOUBLE) * (cell + 1) * (cell + 1)) AS second_moment FROM parts GROUP BY 1, 2)
+SELECT document_id, chunk_index, 64 AS dim, round(coalesce(total, 0), 6) AS total, round(coalesce(first_moment, 0), 4) AS first_moment,
+       round(coalesce(second_moment, 0), 2) AS second_moment
+FROM chunks LEFT JOIN sums USING (document_id, chunk_index)""")
 def _(spark, root):
+    # Moments over the cells tell vectors apart whose values lie in other places.
     e = corpus.embed_hashed(window_chunks(spark, root))
-    return e.select("document_id", "chunk_index", F.size("embedding").alias("dim"),
-                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    at = lambda power: F.transform("embedding", lambda x, i: x.cast("double") * F.pow((i + 1).cast("double"), F.lit(power)))
+    return e.select("document_id", "chunk_index", F.size("embedding").alias("dim"), F.round(add(at(0)), 6).alias("total"),
+                    F.round(add(at(1)), 4).alias("first_moment"), F.round(add(at(2)), 2).alias("second_moment"))
+
+
+@query("embedded_with_model", "R2 UD1", CH_ + """
+SELECT document_id, chunk_index, CAST(length(content) AS DOUBLE) AS characters,
+       CAST(length(content) - length(replace(content, ' ', '')) AS DOUBLE) AS spaces FROM chunks""")
+def _(spark, root):
+    # A model of one's own, loaded once per worker; here it measures its texts.
+    def load():
+        return lambda texts: [[len(t), t.count(" ")] for t in texts]
+
+    e = corpus.embed(window_chunks(spark, root).select("document_id", "chunk_index", "content"), load=load)
+    return e.select("document_id", "chunk_index", F.get("embedding", F.lit(0)).cast("double").alias("characters"),
+                    F.get("embedding", F.lit(1)).cast("double").alias("spaces"))
+
+
+@query("documents_from_files", "S8", """
+SELECT item_id, sha256(text) AS file_hash, length(text) AS chars, 'runbook' AS doc_type FROM benchmark""")
+def _(spark, root):
+    # Texts written as files and read back, with their metadata by path.
+    path = scratch_dir(spark, "files")
+    items = tables.table(spark, root, "benchmark").select("item_id", F.col("text").alias("value"))
+    items.repartition("item_id").write.option("lineSep", " ").partitionBy("item_id").text(path)
+    paths = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_path"), "item_id")
+    known = paths.withColumn("doc_type", F.lit("runbook")).withColumn("version", F.lit(None).cast("string"))
+    read = read_documents(spark, path, known)
+    text = F.expr("substring(content, 1, length(content) - 1)")  # without the separator behind it
+    return read.select(F.col("item_id").cast("long").alias("item_id"), F.sha2(text, 256).alias("file_hash"),
+                       F.length(text).alias("chars"), "doc_type")
 
 
 @query("ingested_documents", "R13 S9")
@@ -398,6 +433,18 @@ def _(spark, root):
     return rounded(reranked(spark, root).select("query_id", "document_id", "chunk_index", "rerank_score", "rerank_rank"))
 
 
+@query("reranked_with_model", "R8 UD2", RERANK.replace("ORDER BY rerank_score DESC", "ORDER BY model_score DESC").replace(
+    "coalesce(len(list_intersect(a, b))::DOUBLE", "CAST(length(content) - length(replace(content, 'e', '')) AS DOUBLE) AS model_score,\n  coalesce(len(list_intersect(a, b))::DOUBLE") + """
+SELECT query_id, document_id, chunk_index, model_score, rerank_rank FROM reranked""")
+def _(spark, root):
+    # A pair model of one's own; here it counts a letter of the passage.
+    q = benchmark_queries(spark, root)
+    found = search.with_contents(words_any(spark, root), window_chunks(spark, root), q)
+    score = search.model_score(lambda: (lambda pairs: [float(text.count("e")) for _, text in pairs]))
+    return search.rerank(found, score, k=3).select(
+        "query_id", "document_id", "chunk_index", F.col("rerank_score").alias("model_score"), "rerank_rank")
+
+
 CITE = "title || ' (v' || version || '), ' || doc_type || ', Chunk ' || chunk_index"
 
 
