@@ -398,7 +398,23 @@ def _(spark, root):
     return search.candidate_union(list(both_lists(spark, root)))
 
 
-@query("hybrid_search_text", "R2 R7")
+def hashed_sql(name: str, source: str, keys: str, text: str, out: str) -> str:
+    """Token counts in 64 cells, scaled to length one; texts without a token have no vector."""
+    return f"""{name}_cells AS (
+  SELECT {keys}, CAST('0x' || substr(sha256(term), 1, 8) AS BIGINT) % 64 AS cell, count(*) AS n
+  FROM (SELECT {keys}, unnest(regexp_extract_all(lower({text}), '{TOKEN}')) AS term FROM {source}) t GROUP BY ALL),
+{name}_norms AS (SELECT {keys}, sqrt(sum(n * n)) AS norm FROM {name}_cells GROUP BY ALL),
+{name}_grid AS (SELECT * FROM {name}_norms CROSS JOIN (SELECT unnest(range(64)) AS cell) r),
+{name} AS (SELECT {keys}, list(CAST(CAST(coalesce(n, 0) / norm AS FLOAT) AS DOUBLE) ORDER BY cell) AS {out}
+  FROM {name}_grid LEFT JOIN {name}_cells USING ({keys}, cell) GROUP BY {keys})"""
+
+
+@query("hybrid_search_text", "R2 R7", with_(
+    CORPUS, CHUNKS, POSTINGS, TEXT_QUERIES, words_sql("text_queries", 20, "all"),
+    hashed_sql("hashed_chunks", "chunks", "document_id, chunk_index", "content", "v"),
+    hashed_sql("hashed_queries", "text_queries", "query_id", "query_text", "q"),
+    near_sql("hashed_queries", "hashed_chunks", 20), FUSED)
+    + "SELECT query_id, document_id, chunk_index, score, rank FROM fused WHERE rank <= 10")
 def _(spark, root):
     # Texts only: chunks and queries are embedded by token hashing.
     chunks = corpus.embed_hashed(window_chunks(spark, root))
