@@ -25,16 +25,18 @@ MAX_LISTS = 4096
 LIST_BLOCK = 65_536  # vectors of a list that one group holds; longer lists are several groups
 QUERY_BLOCK = 1024  # queries that one group holds
 PART = 4  # dimensions behind one byte
-TRIES = 256  # sampled queries that choose the number of lists to look into
+TRIES = 256  # sampled queries that choose the number of lists to look into and of candidates to compare exactly
 
 
 @dataclass
 class Quantizer:
-    """Centres of the lists, code books of the parts, and how many lists a query looks into."""
+    """Centres of the lists, code books of the parts, how many lists a query looks into, and how many candidates by code
+    are compared exactly for each neighbour that is wanted."""
 
     centres: np.ndarray
     books: list[np.ndarray]
     probes: int
+    rerank: float = 1.0
 
     @property
     def dim(self) -> int:
@@ -99,13 +101,31 @@ def _units(column: pa.Array) -> np.ndarray:
     return (flat / np.linalg.norm(flat, axis=1, keepdims=True)).astype(np.float32)
 
 
+def code_ranks(quantizer: Quantizer, points: np.ndarray, own: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places that the points ``wanted`` of each of the first points take among the other points, by distance of codes."""
+    code = quantizer.encode(points)[1]
+    part = np.arange(code.shape[1])
+    ranks = np.empty(wanted.shape, dtype=np.int64)
+    members = [np.flatnonzero(own == number) for number in range(len(quantizer.centres))]
+    far = np.empty((len(wanted), len(points)), dtype=np.float32)
+    for number, rows in enumerate(members):
+        for q, tables in enumerate(quantizer.tables(points[:len(wanted)], number) if len(rows) else ()):
+            far[q, rows] = tables[part, code[rows]].sum(axis=1)
+    for q, row in enumerate(far):
+        row[q] = np.inf
+        ranks[q] = np.searchsorted(np.sort(row), row[wanted[q]], side="right")
+    return ranks
+
+
 def train(vectors: DataFrame, lists: int | None = None, sample_bytes: int = SAMPLE_BYTES, target: float = 0.95,
-          k: int = 10, seed: int = 7) -> Quantizer:
+          k: int = 10, seed: int = 7, code_target: float = 0.99) -> Quantizer:
     """Quantisers from a sample of ``vectors(document_id, chunk_index, embedding)``.
 
     The sample is drawn by a bound on the key's hash, computed from the count, so about ``sample_bytes`` reach the
     driver at any size. Sampled queries and their exact neighbours choose the number of lists to look into: the fewest
-    that hold the share ``target`` of the neighbours. Vectors of one dimension are expected.
+    that hold the share ``target`` of the neighbours. They choose the number of candidates as well: as many as have the
+    share ``code_target`` of the neighbours among them, in the sample and, in proportion, in all vectors; the farther
+    the nearest vectors are, the more others have codes as near. Vectors of one dimension are expected.
     """
     pool = usable(vectors).select(*KEY, "embedding")
     n, dim, low = pool.agg(F.count(F.lit(1)), F.max(F.size("embedding")), F.min(F.size("embedding"))).first()
@@ -131,7 +151,11 @@ def train(vectors: DataFrame, lists: int | None = None, sample_bytes: int = SAMP
     rank = np.argsort(np.argsort(distances(asked, centres), axis=1, kind="stable"), axis=1)
     depth = np.sort(rank[np.arange(len(asked))[:, None], own[wanted]].ravel())
     probes = int(depth[min(len(depth) - 1, int(np.ceil(target * len(depth))) - 1)]) + 1
-    return Quantizer(centres, books, probes)
+    found = Quantizer(centres, books, probes)
+    places = np.sort(code_ranks(found, points, own, wanted).ravel())
+    place = places[min(len(places) - 1, int(np.ceil(code_target * len(places))) - 1)]
+    found.rerank = float(max(1.0, place * max(1.0, n / len(points)) / wanted.shape[1]))
+    return found
 
 
 @dataclass
@@ -245,6 +269,12 @@ def search(index: Index, queries: DataFrame, k: int = 20, probes: int | None = N
     """Approximate cosine search of ``queries(query_id, embedding)``: (query_id, document_id, chunk_index, score, rank).
 
     Scores are exact; what may be missing are neighbours in lists that were not looked into, or beyond ``rerank * k``
-    candidates by code. Null and zero vectors on either side match nothing.
+    candidates by code, or as many more as training found to be needed. Null and zero vectors on either side match
+    nothing.
     """
-    return reranked(index, queries, candidates(index, queries, rerank * k, probes), k)
+    return reranked(index, queries, candidates(index, queries, depth(index, k, rerank), probes), k)
+
+
+def depth(index: Index, k: int, rerank: int = 8) -> int:
+    """Candidates by code that are compared exactly for ``k`` neighbours."""
+    return int(np.ceil(max(rerank, index.quantizer.rerank) * k))

@@ -234,7 +234,7 @@ def _(spark, root):
     # Recall@10 of 0.9 with under a fifth of the vectors scored, on the exemplars of all labels.
     q, v = exemplars(spark, root), vectors(spark, root)
     index = ivf.build(v, ivf.train(v))
-    near = staged(ivf.candidates(index, q, 80), "near")
+    near = staged(ivf.candidates(index, q, ivf.depth(index, 10)), "near")
     found = staged(ivf.reranked(index, q, near, 10), "found")
     exact = search.vector_search(q, v, 10)
     same = found.join(exact.select("query_id", *search.KEY, F.col("score").alias("exact")), ["query_id", *search.KEY], "left")

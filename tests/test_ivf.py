@@ -95,3 +95,13 @@ def test_equal_vectors(spark):
     index = ivf.build(chunks, ivf.train(chunks))
     got = ivf.search(index, asked(spark, np.ones((1, 8))), 4).orderBy("rank").collect()
     assert [(r.document_id, round(r.score, 6)) for r in got] == [(0, 1.0), (1, 1.0), (2, 1.0), (3, 1.0)]
+
+
+def test_coarse_codes_get_more_candidates(spark, monkeypatch):
+    # One byte for all 16 dimensions, and vectors without groups: the nearest by code are seldom the nearest.
+    monkeypatch.setattr(ivf, "PART", 16)
+    v = np.random.default_rng(5).normal(size=(3000, 16))
+    chunks, queries = frame(spark, v), asked(spark, v[::100])
+    index = ivf.build(chunks, ivf.train(chunks, lists=8))
+    assert share(ivf.search(index, queries, 10), search.vector_search(queries, chunks, 10)) >= 0.9
+    assert ivf.depth(index, 10) > 80
