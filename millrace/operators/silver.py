@@ -97,8 +97,12 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
     The rank filter lets Spark keep one row per key in each map task before the shuffle, so a key
     with very many copies does not travel whole.
     """
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return ranked_per_key(df, keys, order).where("_rank = 1").drop("_rank")
+
+
+def ranked_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """All rows with their place in a stated order among the rows of their key in ``_rank``."""
+    return df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
 
 
 def deduplicate(df: DataFrame, order: list[str | Column], keys=("device_id", "timestamp")) -> DataFrame:

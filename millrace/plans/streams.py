@@ -152,13 +152,17 @@ SELECT 'rejected' AS part, reject_reason, count(*) AS messages FROM (
 WHERE reject_reason IS NOT NULL GROUP BY 2
 UNION ALL SELECT 'stored', NULL, count(*) FROM telemetry WHERE vibration_mm_s IS NULL OR vibration_mm_s <= 50""")
 def _(spark, root):
-    # No message is lost: every row is stored or rejected with a reason.
+    # No message is lost: every row is stored or rejected with a reason. Silver has one row per device and instant; SQL
+    # counts further ones as stored, here they are rejected as repeated.
     raw = message_stream(spark, root)
     path, _ = jobs.run_writer(
         lambda out, state: jobs.to_silver(raw, out, state, {"availableNow": True}, ["cycle_count"]), "letters", spark)
     rejected = spark.read.parquet(jobs.rejected_path(path)).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("messages"))
-    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("messages"))
-    return rejected.select(F.lit("rejected").alias("part"), "reject_reason", "messages").unionByName(
+    silver = spark.read.parquet(path)
+    stored = silver.agg(F.count(F.lit(1)).alias("messages"))
+    repeated = spark.read.schema(silver.schema).parquet(jobs.repeated_path(path)).groupBy(
+        F.lit("repeated_device_timestamp").alias("reject_reason")).agg(F.count(F.lit(1)).alias("messages"))
+    return rejected.unionByName(repeated).select(F.lit("rejected").alias("part"), "reject_reason", "messages").unionByName(
         stored.select(F.lit("stored").alias("part"), F.lit(None).cast("string").alias("reject_reason"), "messages"))
 
 

@@ -50,31 +50,43 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
 
 
 def silver_batch_writer(path: str, keys: list[str], order: list[str],
-                        rows_per_file: int = 1_000_000) -> Callable[[DataFrame, int], None]:
+                        rows_per_file: int = 1_000_000, repeated_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that inserts rows whose key is not stored yet.
 
     Each batch owns the folder ``batch=<id>`` and overwrites it, so a batch replayed after a failure
     neither loses nor repeats rows.  Stored rows are looked up only on the days of the batch.  A day of a
     batch is spread by key over as many tasks as its rows need, since adaptive rebalancing is off in streams.
+
+    With ``repeated_path`` the rows that are not inserted, because their key is taken, go to a folder there.
     """
-    from millrace.operators.silver import first_per_key
+    from millrace.operators.silver import first_per_key, ranked_per_key
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The batch is used for its days and for its rows; without the cache its source is read twice.
-        rows = first_per_key(batch.withColumn("date", F.to_date("timestamp")), keys, order).persist()
+        dated = batch.withColumn("date", F.to_date("timestamp"))
+        if repeated_path is None:
+            held = rows = first_per_key(dated, keys, order).persist()
+        else:
+            held = ranked_per_key(dated, keys, order).persist()
+            rows, repeats = held.where("_rank = 1").drop("_rank"), held.where("_rank > 1").drop("_rank")
         fresh = rows
         if _exists(spark, path):
             stored = spark.read.parquet(path).where(F.col("batch") < batch_id)
             days = rows.select("date").distinct()
             seen = stored.join(days, "date", "left_semi").select(*keys)
             fresh = rows.join(seen, keys, "left_anti")
+            if repeated_path is not None:
+                repeats = repeats.unionByName(rows.join(seen, keys, "left_semi").select(*repeats.columns))
         sizes = rows.groupBy("date").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_shares"))
         share = F.pmod(F.xxhash64(*keys), F.col("_shares"))
         (fresh.join(sizes, "date").repartition("date", share).drop("_shares")
          .withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "date").parquet(path))
-        rows.unpersist()
+        if repeated_path is not None:
+            (repeats.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(repeated_path))
+        held.unpersist()
 
     return write
 

@@ -35,11 +35,20 @@ def rejected_path(path: str) -> str:
     return f"{path.rstrip('/')}_rejected"
 
 
+def repeated_path(path: str) -> str:
+    """Where ``to_silver`` keeps the valid messages whose device and instant the table at ``path`` has already."""
+    return f"{path.rstrip('/')}_repeated"
+
+
 def to_silver(raw: DataFrame, path: str, checkpoint: str, trigger: dict, order: list[str]) -> StreamingQuery:
-    """Flattens, validates and inserts new keys batch by batch; rejected rows go to the dead-letter table beside."""
+    """Flattens, validates and inserts new keys batch by batch; every other row goes to a table beside.
+
+    Rejected rows are in the dead-letter table, and valid rows whose key is taken in the one of repeated messages.
+    """
     flat = flatten_telemetry(parse_messages(raw.select("value"))).withColumn("temperature_c", device_temperature())
     marked = with_reject_reason(with_quality_score(flat))
-    writer = rejecting_batch_writer(silver_batch_writer(path, ["device_id", "timestamp"], order), rejected_path(path))
+    inserts = silver_batch_writer(path, ["device_id", "timestamp"], order, repeated_path=repeated_path(path))
+    writer = rejecting_batch_writer(inserts, rejected_path(path))
     return (marked.writeStream.foreachBatch(writer)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 

@@ -79,6 +79,21 @@ def test_late_silver_batches_and_progress(spark, root):
     assert log.rows().agg(F.sum("input_rows")).first()[0] == 600
 
 
+def test_every_message_is_stored_rejected_or_repeated(spark, root):
+    t = tables.telemetry(spark, root).where("message_id < 200")
+    other = t.withColumn("cycle_count", F.col("cycle_count") + 1000)  # other messages of the same devices and instants
+    path = scratch_dir(spark, "topic")
+    for part in (t.unionByName(other), other.withColumn("cycle_count", F.col("cycle_count") + 1000)):
+        tables.as_messages(part).coalesce(1).write.mode("append").parquet(path)
+    raw = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 1).parquet(path)
+    out, _ = jobs.run_writer(lambda o, s: jobs.to_silver(raw, o, s, {"availableNow": True}, ["cycle_count"]), "silver", spark)
+    stored, repeated = spark.read.parquet(out), spark.read.parquet(jobs.repeated_path(out))
+    good = t.where("vibration_mm_s IS NULL OR vibration_mm_s <= 50").count()
+    assert stored.count() == good and repeated.count() == 2 * good
+    assert repeated.groupBy("batch").count().orderBy("batch").collect() == [(0, good), (1, good)]
+    assert stored.count() + repeated.count() + spark.read.parquet(jobs.rejected_path(out)).count() == 3 * t.count()
+
+
 def test_progress_of_more_batches_than_a_query_remembers(spark):
     path = scratch_dir(spark, "many")
     spark.range(105).select(F.col("id").cast("string").alias("value"), "id").repartitionByRange(105, "id").write.partitionBy("id").text(path)
