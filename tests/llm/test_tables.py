@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -195,6 +196,43 @@ def test_pairs_order_rows():
     assert w[0] > 0 > w[1] and abs(w[2]) < 0.5 * abs(w[1])
 
 
+def test_quality_learns_from_every_label(spark, monkeypatch):
+    # One label in sixteen is 1, and groups are small; what a group lacks is held by several.
+    monkeypatch.setattr(quality, "GROUP_ROWS", 50)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1600, len(quality.FEATURES)))
+    y = (np.arange(1600) % 16 == 0).astype(int)
+    x[:, 0] += 2.0 * y
+    rows = spark.createDataFrame([([float(v) for v in a], int(b), 1 + i % 3) for i, (a, b) in enumerate(zip(x, y))],
+                                 "x array<double>, quality int, n long")
+    groups = quality.learning_groups(rows, 100, 1500)
+    held = [np.frombuffer(r.rows).reshape(-1, 3 + x.shape[1]) for r in groups.collect()]
+    assert len(held) == 32 and sum((h[:, 0] * h[:, 1]).sum() for h in held) == sum(1 + i % 3 for i in range(1600))
+    for number, h in enumerate(held):
+        good, bad, weight = quality.group_pairs(number, h[:, 1], h[:, 2])
+        assert set(good) | set(bad) == set(range(len(h))) and (h[good, 2] == 1).all() and (h[bad, 2] == 0).all()
+    w = quality.fit(rows)
+    whole = np.repeat(np.arange(1600), 1 + np.arange(1600) % 3)
+    mean, dev = x[whole].mean(axis=0), x[whole].std(axis=0)
+    want = quality.fit_pairs((x[whole] - mean) / dev, y[whole]) / dev
+    assert np.abs(w - want).max() < 0.25 and w[0] > 4 * np.abs(w[1:]).max()
+    for share in (0.0, 0.1, 15 / 16, 1.0):
+        got = quality.weighted_quantile(rows.select(F.col("x")[0].alias("u"), "n"), "u", "n", share, bins=4)
+        assert got == pytest.approx(np.quantile(x[whole, 0], share), abs=1e-12)
+
+
+def test_quality_has_no_bound_on_labels(spark):
+    # The rows that a sample of 20,000 by hash would take look one way, 20,000 others the other way.
+    ids = spark.range(40_000).select(F.col("id").alias("doc_id")).where(~quality.held_out(F.col("doc_id")))
+    order = F.row_number().over(W.orderBy(F.xxhash64("doc_id")))
+    seen = ids.withColumn("r", order)
+    docs = seen.withColumn("text", F.when((F.col("r") <= 20_000) | (F.col("r") % 2 == 0), F.lit("a b c")).otherwise(F.lit("| | |! # 9")))
+    labels = docs.select("doc_id", (F.col("text") == "a b c").cast("int").alias("quality"))
+    got = quality.score(docs.select("doc_id", "text"), labels).join(docs, "doc_id").groupBy("text").agg(F.min("score"), F.max("score"))
+    found = {r[0]: r[1:] for r in got.collect()}
+    assert found["a b c"][0] > found["| | |! # 9"][1]
+
+
 # --- registered queries and the pipeline ------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", sorted(queries.queries()))
