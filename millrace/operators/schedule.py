@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import MICROS, overlap_micros
+from millrace.functions.timewise import in_ranges
 
 ALWAYS = "24x7"
 _FIELDS = ["timezone", "schedule_type", "weekly_schedule", "holidays", "maintenance_windows"]
@@ -184,10 +186,48 @@ def interval_join(df: DataFrame, windows: DataFrame, key: str, ts: str, start: s
             .where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("_level", "_block"))
 
 
+def interval_totals(df: DataFrame, windows: DataFrame, key: str, ts: str, start: str, end: str,
+                    ranges: int | None = None) -> DataFrame:
+    """The windows that have rows, with ``rows``, ``first`` and ``last``: number, least and greatest instant of their rows.
+
+    What ``interval_join`` grouped by the windows' columns gives, but without its pairs, of which there are as many as
+    rows times windows: instants are counted up in ranges of (key, time), and a window takes the count up to its end less
+    the count before its start. Of each range only its total, first and last instant are carried to the others.
+    """
+    kept = windows.where(F.col(key).isNotNull() & (F.col(start) <= F.col(end)))
+    window = F.struct(*[F.col(c) for c in windows.columns])
+    none = F.lit(None)
+    seen = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, F.col(ts).alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    # At one instant starts come before rows, and ends behind them.
+    points = seen.select(key, "_at", F.lit(1).alias("_side"), "_n", F.col("_at").alias("_seen"), none.cast(windows.schema).alias("_window"))
+    for side, c in ((0, start), (2, end)):
+        points = points.unionByName(kept.select(
+            key, F.col(c).alias("_at"), F.lit(side).alias("_side"), F.lit(0).cast("long").alias("_n"),
+            none.cast(seen.schema["_at"].dataType).alias("_seen"), window.alias("_window")))
+    rows = in_ranges(points, [key, "_at"], ranges)
+    of_range = rows.groupBy(key, "_range").agg(F.sum("_n").alias("_n"), F.min("_seen").alias("_first"), F.max("_seen").alias("_last"))
+    back, ahead = W.partitionBy(key).orderBy("_range"), W.partitionBy(key).orderBy(F.desc("_range"))
+    others = (W.unboundedPreceding, -1)
+    carried = of_range.select(
+        key, "_range", F.coalesce(F.sum("_n").over(back.rowsBetween(*others)), F.lit(0)).alias("_n_before"),
+        F.last("_last", ignorenulls=True).over(back.rowsBetween(*others)).alias("_last_before"),
+        F.last("_first", ignorenulls=True).over(ahead.rowsBetween(*others)).alias("_first_behind"))
+    inside = W.partitionBy(key, "_range")
+    upto = inside.orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    onward = inside.orderBy(F.desc("_at"), F.desc("_side")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = rows.withColumns({"_upto": F.sum("_n").over(upto), "_last": F.last("_seen", ignorenulls=True).over(upto),
+                                "_next": F.last("_seen", ignorenulls=True).over(onward)})
+    ends = counted.where("_side <> 1").join(carried, [key, "_range"])
+    is_end, upto_all = F.col("_side") == 2, F.col("_upto") + F.col("_n_before")
+    return (ends.groupBy("_window").agg(
+        F.sum(F.when(is_end, upto_all).otherwise(-upto_all)).alias("rows"),
+        F.min(F.when(~is_end, F.coalesce("_next", "_first_behind"))).alias("first"),
+        F.max(F.when(is_end, F.coalesce("_last", "_last_before"))).alias("last"))
+        .where("rows > 0").select("_window.*", "rows", "first", "last"))
+
+
 def schedule_versions(schedules: DataFrame) -> DataFrame:
     """Gives open-ended versions the start of the entity's next version as their end."""
-    from pyspark.sql import Window as W
-
     following = F.lead("effective_from").over(
         W.partitionBy("entity_type", "entity_id").orderBy("effective_from"))
     return schedules.withColumn("effective_until", F.coalesce("effective_until", following))

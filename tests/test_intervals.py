@@ -46,3 +46,21 @@ def test_long_windows_are_a_few_blocks(spark):
     buckets = [x for s in spans for x in range(s._block << s._level, (s._block + 1) << s._level)]
     first = int((hours(13.3) - datetime(1970, 1, 1)).total_seconds() // 3600)
     assert sorted(buckets) == list(range(first, first + 721))
+
+
+def test_interval_totals_are_those_of_the_join(spark):
+    rnd = random.Random(9)
+    windows = [("k" + str(i % 3), i, hours(s := rnd.uniform(-2000, 9000)), hours(s + 2 ** rnd.uniform(-8, 14))) for i in range(150)]
+    windows += [("k0", 900, hours(5), hours(4)), ("k0", 901, None, hours(4)), ("k0", 902, hours(4), None), ("k1", 903, hours(7), hours(7)),
+                (None, 904, hours(0), hours(9000)), ("k2", 905, hours(0), hours(9000)), ("k2", 905, hours(0), hours(9000))]
+    points = [("k" + str(rnd.randrange(4)), hours(rnd.uniform(-3000, 12_000))) for _ in range(800)]
+    points += [("k1", hours(7))] * 5 + [("k0", None), (None, hours(7))]
+    points += [(w[0], w[2]) for w in windows[:20]] + [(w[0], w[3]) for w in windows[:20]]
+    df, w = spark.createDataFrame(points, "k string, t timestamp"), spark.createDataFrame(windows, WINDOW)
+    want = schedule.interval_join(df, w, "k", "t", "a", "b").groupBy("k", "id", "a", "b").agg(
+        F.count("*").alias("rows"), F.min("t").alias("first"), F.max("t").alias("last")).collect()
+    for ranges in (None, 1, 37):
+        got = schedule.interval_totals(df, w, "k", "t", "a", "b", ranges).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) > 50
+    assert schedule.interval_totals(df, w.where("id = 900"), "k", "t", "a", "b").collect() == []
+    assert schedule.interval_totals(df.where("k = 'k9'"), w, "k", "t", "a", "b").collect() == []
