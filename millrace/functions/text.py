@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A token is a run of letters, digits and underscores of any script.
@@ -24,6 +24,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def tokens_of(df: DataFrame, text: str) -> Column:
+    """Tokens of a row: its column ``tokens``, where texts were cut into tokens before, else those of its text."""
+    return F.coalesce("tokens", F.array().cast("array<string>")) if "tokens" in df.columns else tokens(F.col(text))
+
+
 def terms(text: Column, drop_stop_words: bool = True) -> Column:
     """Distinct lower-case tokens, stop words removed."""
     found = F.array_distinct(tokens(text))

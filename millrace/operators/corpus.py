@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import content_hash, document_key
-from millrace.functions.text import tokens
+from millrace.functions.text import tokens_of
 from millrace.operators.silver import first_per_key
 from millrace.session import staged
 
@@ -138,23 +141,32 @@ def chunk(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 def embed_hashed(df: DataFrame, text_col: str = "content", dim: int = 64, out: str = "embedding") -> DataFrame:
     """Default embedding: token counts in ``dim`` cells, scaled to length one.
 
-    A token's cell is the number of its first eight SHA-256 digits modulo ``dim``, the same in every engine.
+    A token's cell is the number of its first eight SHA-256 digits modulo ``dim``, the same in every engine. Rows may
+    bring their ``tokens`` in place of a text.
     """
-    def cell(token: Column) -> Column:
-        return F.pmod(F.conv(F.substring(F.sha2(token, 256), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def unit(found: pa.Array) -> pa.Array:
+        return hashed_vectors(found, dim)
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def unit(cells: pd.Series) -> pd.Series:
-        # One count over the batch: a row's cells are shifted by its place.
-        size = cells.map(len).to_numpy(dtype=np.int64)
-        flat = np.concatenate([np.asarray(c, dtype=np.int64) for c in cells]) if len(cells) else np.zeros(0, dtype=np.int64)
-        counts = np.bincount(np.repeat(np.arange(len(size)) * dim, size) + flat, minlength=len(size) * dim)
-        counts = counts.reshape(-1, dim).astype(np.float64)
-        length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-        return pd.Series(list((counts / np.where(length > 0, length, 1.0)).astype(np.float32)), index=cells.index)
-
-    cells = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))), cell)
-    return df.withColumn(out, unit(cells))
+    known = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))) if "tokens" not in df.columns else df
+    return known.withColumn(out, unit(tokens_of(known, "_text"))).drop("_text")
+
+
+def hashed_vectors(found: pa.Array, dim: int) -> pa.Array:
+    """Vectors of lists of tokens; each distinct token of the batch is hashed once."""
+    size = np.asarray(pc.list_value_length(found), dtype=np.int64)
+    coded = found.flatten().cast(pa.binary()).dictionary_encode()
+    cells = np.array([cell_of(token, dim) for token in coded.dictionary.to_pylist()], dtype=np.int64)
+    # One count over the batch: a row's cells are shifted by its place.
+    flat = cells[np.asarray(coded.indices, dtype=np.int64)] + np.repeat(np.arange(len(size)) * dim, size)
+    counts = np.bincount(flat, minlength=len(size) * dim).reshape(-1, dim).astype(np.float64)
+    length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+    values = (counts / np.where(length > 0, length, 1.0)).astype(np.float32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1) * dim, pa.int32()), pa.array(values.ravel()))
+
+
+def cell_of(token: bytes, dim: int) -> int:
+    return int(hashlib.sha256(token).hexdigest()[:8], 16) % dim
 
 
 Embedder = Callable[[list[str]], list[list[float]]]

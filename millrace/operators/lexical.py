@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.stem import stem
-from millrace.functions.text import STOP_WORDS, tokens
+from millrace.functions.text import STOP_WORDS, tokens_of
 from millrace.operators.search import BM25_B, BM25_K1, KEY, best_places, query_terms, top_k
 from millrace.session import staged
 
@@ -107,7 +107,7 @@ def matched_words(chunks: DataFrame, vocabulary: pa.Array, text: str = "content"
                 [*(batch.column(c) for c in KEY), pa.array(size, pa.int32()), pa.ListArray.from_arrays(ends, words),
                  pa.ListArray.from_arrays(ends, places)], [*KEY, "length", "words", "places"])
 
-    slim = chunks.select(*KEY, tokens(F.col(text)).alias("_tokens")).where(F.size("_tokens") > 0)
+    slim = chunks.select(*KEY, tokens_of(chunks, text).alias("_tokens")).where(F.size("_tokens") > 0)
     schema = T.StructType([*(slim.schema[c] for c in KEY), T.StructField("length", T.IntegerType()),
                            *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("words", "places"))])
     return slim.mapInArrow(run, schema)

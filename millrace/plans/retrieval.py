@@ -416,8 +416,9 @@ def hashed_sql(name: str, source: str, keys: str, text: str, out: str) -> str:
     near_sql("hashed_queries", "hashed_chunks", 20), FUSED)
     + "SELECT query_id, document_id, chunk_index, score, rank FROM fused WHERE rank <= 10")
 def _(spark, root):
-    # Texts only: chunks and queries are embedded by token hashing.
-    chunks = corpus.embed_hashed(window_chunks(spark, root))
+    # Texts only: chunks and queries are embedded by token hashing. Chunks are cut into tokens once for both searches.
+    cut = window_chunks(spark, root).select("document_id", "chunk_index", tokens(F.col("content")).alias("tokens"))
+    chunks = staged(corpus.embed_hashed(cut), "token-chunks")
     q = corpus.embed_hashed(benchmark_queries(spark, root), "query_text")
     return search.hybrid_search(q, chunks, k=10)
 

@@ -1,12 +1,14 @@
+import hashlib
 import math
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.text import STOP_WORDS
+from millrace.functions.text import STOP_WORDS, tokens
 from millrace.operators import context, corpus, search
 from millrace.session import scratch_dir
 from millrace.sources import tables
@@ -188,3 +190,31 @@ def test_versions_compare_as_numbers(spark):
     d = spark.createDataFrame([("p", "1.9"), ("p", "1.10"), ("q", "2.0")], "source_path string, version string").withColumn(
         "last_updated", F.lit(None).cast("date"))
     assert sorted((r.source_path, r.version) for r in search.latest_versions(d).collect()) == [("p", "1.10"), ("q", "2.0")]
+
+
+def test_hashed_embeddings_hash_each_distinct_token_once(spark, monkeypatch):
+    want = [0.0] * 64
+    for token, n in (("alpha", 2), ("beta", 1), ("\u00fc", 1)):
+        want[int(hashlib.sha256(token.encode()).hexdigest()[:8], 16) % 64] += n
+    length = sum(x * x for x in want) ** 0.5
+    df = spark.createDataFrame([(i, "Alpha beta alpha, \u00dc") for i in range(50)] + [(50, None), (51, "...")], "i int, content string")
+    got = {r.i: r.embedding for r in corpus.embed_hashed(df.coalesce(1)).collect()}
+    assert got[49] == pytest.approx([x / length for x in want], abs=1e-6) and got[50] == got[51] == [0.0] * 64
+    cell, seen = corpus.cell_of, []
+    monkeypatch.setattr(corpus, "cell_of", lambda token, dim: seen.append(token) or cell(token, dim))
+    lists = pa.array([["alpha", "beta", "alpha", "\u00fc"]] * 50 + [[]])
+    assert corpus.hashed_vectors(lists, 64).to_pylist() == [got[0]] * 50 + [[0.0] * 64]
+    assert sorted(seen) == [b"alpha", b"beta", "\u00fc".encode()]
+
+
+def test_stored_tokens_stand_for_the_text(spark):
+    texts = ["Alpha beta, alpha gamma", None, "...", "gamma beta " * 30, "delta \u00dc alpha"]
+    chunks = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "document_id int, chunk_index int, content string")
+    queries = spark.createDataFrame([(1, "alpha beta"), (2, "gamma"), (3, "the")], "query_id int, query_text string")
+    cut = chunks.select("document_id", "chunk_index", tokens(F.col("content")).alias("tokens"))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    vectors = [corpus.embed_hashed(c).select("document_id", "embedding") for c in (chunks, cut)]
+    assert key(vectors[0]) == key(vectors[1])
+    for ranking, match in (("bm25", "all"), ("bm25", "any"), ("density", "all")):
+        found = [key(search.search_texts(queries, c, 5, match, ranking)) for c in (chunks, cut)]
+        assert found[0] and found[0] == found[1]
