@@ -25,6 +25,8 @@ from millrace.session import staged
 QUERY_BYTES = 4 << 20  # of query texts whose terms are sent to every task; more queries take several passes
 QUERY_BLOCK = 256  # queries scored at once, which bounds the matrices of a task
 PAIR_BLOCK = 1 << 20  # places looked at together by the cover sweep
+ROW_BLOCK = 1024  # chunks of a batch looked at together, which bounds a task's memory whatever the batches
+HELD_ROWS = 1 << 16  # results that a task holds before it hands them on
 
 _STOPS = frozenset(STOP_WORDS)
 
@@ -92,7 +94,7 @@ def matched_words(chunks: DataFrame, vocabulary: pa.Array, text: str = "content"
     its numbers, with their places in the text, and the number of all tokens. Chunks without a token are left out.
     With ``stems`` the vocabulary and the tokens are compared as English stems; stop words match nothing then."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_blocks(batches):
             lists = batch.column("_tokens")
             size = np.asarray(pc.list_value_length(lists), dtype=np.int64)
             flat = lists.flatten()
@@ -113,6 +115,12 @@ def matched_words(chunks: DataFrame, vocabulary: pa.Array, text: str = "content"
     return slim.mapInArrow(run, schema)
 
 
+def row_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROW_BLOCK):
+            yield batch.slice(at, ROW_BLOCK)
+
+
 class Rows:
     """A batch of ``matched_words``: one entry per kept token, in order of chunk and place."""
 
@@ -212,20 +220,48 @@ def _covers(pair: np.ndarray, place: np.ndarray, slot: np.ndarray, n_terms: np.n
     return np.where(begins, WORD_WEIGHT / (1 + others), 0.0)
 
 
+def best_rows(parts: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
+    """Rows (query, document_id, chunk_index, score) that may be among the best ``k`` of their query, ties included."""
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    query, value = (np.asarray(rows.column(c).combine_chunks()) for c in ("query", "score"))
+    order = np.lexsort((-value, query))
+    query, value = query[order], value[order]
+    first = np.searchsorted(query, query)
+    last = np.minimum(first + k, np.searchsorted(query, query, side="right")) - 1
+    # Everything not clearly below the k-th value stays, so that rounding cannot lose a tie.
+    kept = rows.take(pa.array(np.sort(order[value >= value[last] - 1e-9])))
+    return kept.combine_chunks().to_batches()[0]
+
+
 def scored(rows: DataFrame, asked: Asked, score: Score, k: int) -> DataFrame:
-    """Best ``k`` chunks per query, of each batch first and then of all."""
+    """Best ``k`` chunks per query, of each task's rows first and then of all."""
     kinds = {f.name: f.dataType for f in rows.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        def named(part: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([asked.ids.take(part.column("query")), *part.columns[1:]], ["query_id", *KEY, "score"])
+
+        held, size = [], 0
+        for batch in row_blocks(batches):
             own = Rows(batch)
             for block in asked.blocks:
                 values = score(own, block, len(asked.vocabulary)).T
                 which, chunk = best_places(values, k)
+                if not len(which):
+                    continue
                 at = pa.array(chunk)
-                yield pa.RecordBatch.from_arrays(
-                    [asked.ids.take(pa.array(block.queries[which])), *(batch.column(c).take(at) for c in KEY),
-                     pa.array(values[which, chunk])], ["query_id", *KEY, "score"])
+                held.append(pa.RecordBatch.from_arrays(
+                    [pa.array(block.queries[which], pa.int64()), *(batch.column(c).take(at) for c in KEY),
+                     pa.array(values[which, chunk])], ["query", *KEY, "score"]))
+                size += len(which)
+                if size > HELD_ROWS:
+                    held = [best_rows(held, k)]
+                    size = held[0].num_rows
+                    if size > HELD_ROWS // 2:  # ties, or very many queries: Spark goes on from here
+                        yield named(held[0])
+                        held, size = [], 0
+        if held:
+            yield named(best_rows(held, k))
 
     schema = T.StructType([T.StructField("query_id", T._parse_datatype_string(_spark_type(asked.ids.type))),
                            *(T.StructField(c, kinds[c]) for c in KEY), T.StructField("score", T.DoubleType())])

@@ -143,3 +143,22 @@ def test_types_of_keys_stay(spark):
     assert dict(found.dtypes) == {"query_id": "string", "document_id": "string", "chunk_index": "bigint",
                                   "score": "double", "rank": "int"}
     assert found.select(F.round("score", 6)).first()[0] == 0.025
+
+
+def test_rows_and_results_are_held_in_bounded_numbers(spark, monkeypatch):
+    rnd = random.Random(8)
+    words = ["ab", "cd", "ef", "gh", "ij", "kl"]
+    rows = [(i, i % 3, " ".join(rnd.choice(words) for _ in range(rnd.randrange(12)))) for i in range(300)] + [(900 + i, 0, "ab cd") for i in range(60)]
+    chunks = spark.createDataFrame(rows, "document_id int, chunk_index int, content string").coalesce(2)
+    queries = spark.createDataFrame([(i, " ".join(rnd.sample(words, 2))) for i in range(40)] + [(99, "ab cd")], "query_id int, query_text string")
+    key = lambda df: sorted(map(tuple, df.collect()))
+    ways = [lambda: lexical.search_density(queries, chunks, 4), lambda: lexical.search_bm25(queries, chunks, 4, "any"),
+            lambda: lexical.search_density(queries, chunks, 4, stems=True)]
+    want = [key(way()) for way in ways]
+    for row_block, held in ((7, 1 << 16), (50, 20), (1024, 300)):
+        monkeypatch.setattr(lexical, "ROW_BLOCK", row_block)
+        monkeypatch.setattr(lexical, "HELD_ROWS", held)
+        assert [key(way()) for way in ways] == want and len(want[0]) > 40
+    batch = pa.RecordBatch.from_pydict({"i": list(range(20))})
+    monkeypatch.setattr(lexical, "ROW_BLOCK", 8)
+    assert [b.num_rows for b in lexical.row_blocks(iter([batch, batch]))] == [8, 8, 4, 8, 8, 4]
