@@ -20,6 +20,8 @@ from millrace.session import staged
 
 CHUNK_SIZE = 512
 CHUNK_OVERLAP = 50
+ROWS_AT_ONCE = 2048  # of token lists that are counted at once
+SLICE_BYTES = 1 << 20  # of texts that are split at once
 # Separators tried from coarse to fine; the empty one cuts between characters.
 SEPARATORS = ["\n\n", "\n", ". ", " ", ""]
 
@@ -126,13 +128,28 @@ def split_recursive(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
 def chunk_recursive(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                     text: str = "content") -> DataFrame:
     """Separator-aware chunks; only the text column travels to Python, in Arrow batches."""
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_recursive(t, size, overlap) if t else [])
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def split(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.string())
+        return pa.concat_arrays([pa.array([split_recursive(t, size, overlap) if t else [] for t in part.to_pylist()], kind)
+                                 for part in text_slices(texts)] or [pa.array([], kind)])
 
     return _numbered(docs, split(F.col(text)), text)
 
 
+def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """``texts`` in slices of about ``limit`` bytes, one text at least, so that few of a batch are Python's at once."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    start = held = 0
+    for i, n in enumerate(sizes):
+        if held and held + n > limit:
+            yield texts.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(texts):
+        yield texts.slice(start)
+
+
 def chunk(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
           method: str = "recursive") -> DataFrame:
     return (chunk_recursive if method == "recursive" else chunk_windows)(docs, size, overlap)
@@ -153,7 +170,9 @@ def embed_hashed(df: DataFrame, text_col: str = "content", dim: int = 64, out: s
 
 
 def hashed_vectors(found: pa.Array, dim: int) -> pa.Array:
-    """Vectors of lists of tokens; each distinct token of the batch is hashed once."""
+    """Vectors of lists of tokens; each distinct token of ``ROWS_AT_ONCE`` rows is hashed once."""
+    if len(found) > ROWS_AT_ONCE:
+        return pa.concat_arrays([hashed_vectors(found.slice(at, ROWS_AT_ONCE), dim) for at in range(0, len(found), ROWS_AT_ONCE)])
     size = np.asarray(pc.list_value_length(found), dtype=np.int64)
     coded = found.flatten().cast(pa.binary()).dictionary_encode()
     cells = np.array([cell_of(token, dim) for token in coded.dictionary.to_pylist()], dtype=np.int64)

@@ -218,3 +218,17 @@ def test_stored_tokens_stand_for_the_text(spark):
     for ranking, match in (("bm25", "all"), ("bm25", "any"), ("density", "all")):
         found = [key(search.search_texts(queries, c, 5, match, ranking)) for c in (chunks, cut)]
         assert found[0] and found[0] == found[1]
+
+
+def test_batches_are_split_in_slices(spark, monkeypatch):
+    texts = ["a" * 10, None, "", "b" * 500, "c" * 10, "d" * 10, "\u00fc" * 9]
+    slices = [s.to_pylist() for s in corpus.text_slices(pa.array(texts), 25)]
+    assert sum(slices, []) == texts and [len(s) for s in slices] == [3, 1, 2, 1]
+    assert list(corpus.text_slices(pa.array([], pa.string()))) == []
+    lists = pa.array([["x"] * (i % 4) + ["y"] for i in range(23)])
+    want = corpus.hashed_vectors(lists, 8).to_pylist()
+    monkeypatch.setattr(corpus, "ROWS_AT_ONCE", 5)
+    assert corpus.hashed_vectors(lists, 8).to_pylist() == want
+    docs = spark.createDataFrame([(i, "one two three. " * (i * 7)) for i in range(30)] + [(99, None)], "i int, content string")
+    got = corpus.chunk_recursive(docs.coalesce(1)).orderBy("i", "chunk_index").collect()
+    assert [(r.i, r.content) for r in got] == [(i, c) for i in range(30) for c in corpus.split_recursive("one two three. " * (i * 7))]
