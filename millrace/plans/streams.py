@@ -295,7 +295,7 @@ FROM split WHERE NOT late GROUP BY 2, 3
 UNION ALL SELECT 'late', device_id, {ts('"timestamp"')}, message_id, 2 FROM split WHERE late""")
 def _(spark, root):
     # Every message arrives twice; late copies are handed on, not dropped.
-    stream = arrivals(spark, root)
+    stream = arrivals(spark, root).select("device_id", "timestamp", "message_id")
     twice = stream.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
     out = run_late(spark, late.deduplicated(twice, ["message_id"]), "first-late")
     return out.groupBy(F.when(F.col("late"), "late").otherwise("first").alias("part"), "device_id", "timestamp", "message_id").agg(

@@ -200,20 +200,24 @@ class Firsts(Closing):
     def late(self, frame, watermark):
         return frame["event_us"] <= watermark
 
+    def _state(self) -> dict:
+        return {"seen": set(super()._state().get("seen", []))}
+
+    def _keep(self, state: dict) -> None:
+        super()._keep({"seen": sorted(state["seen"])} if state.get("seen") else {})
+
     def fold(self, state, frame):
-        seen = set(state.get("seen", []))
-        first = frame[~frame["event_us"].isin(seen)].sort_values(["event_us", *self.order]).drop_duplicates("event_us")
-        state["seen"] = sorted(seen | set(first["event_us"].tolist()))
+        # The set stays one for all frames of a key, and a frame costs its own rows only.
+        new = [t not in state["seen"] for t in frame["event_us"]]
+        first = frame[new].sort_values(["event_us", *self.order]).drop_duplicates("event_us")
+        state["seen"].update(first["event_us"].tolist())
         return first.astype(object).where(first.notna(), None).to_dict("records")
 
     def due(self, state):
         return [max(state["seen"])] if state.get("seen") else []
 
     def finish(self, state, watermark):
-        left = [t for t in state.get("seen", []) if t > watermark]
-        state.clear()
-        if left:
-            state["seen"] = left
+        state["seen"] = {t for t in state["seen"] if t > watermark}
         return []
 
 
@@ -273,7 +277,8 @@ def closed_sessions(out: DataFrame) -> DataFrame:
 def deduplicated(silver: DataFrame, order: list[str], late: str = LATE) -> DataFrame:
     """First row per device and event time, and late rows: behind the watermark, where a copy may be forgotten.
 
-    Late rows are not compared; ``upsert.insert_if_absent`` takes them into a stored table without copies.
+    Late rows are not compared; ``upsert.insert_if_absent`` takes them into a stored table without copies. All columns of
+    ``silver`` go through Python, so leave out those that are not wanted.
     """
     rows = watched(silver, "timestamp", late).withColumn("event_day", F.to_date("timestamp"))
     return _run(rows, ["device_id", "event_day"], Firsts(rows.columns, ["device_id", "event_day"], order), {})

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 
 from millrace.session import scratch_dir
@@ -50,6 +51,19 @@ def test_first_rows_and_late_copies(spark):
         (1, False), (3, False), (5, True), (6, False), (7, False), (8, False), (9, True)]
 
 
+def test_first_rows_cost_their_own_frame():
+    processor = late.Firsts(["device_id", "event_us", "message_id"], ["device_id", "event_day"], ["message_id"])
+
+    class Seen(set):
+        def __iter__(self):
+            raise AssertionError("instants seen before are gone through for a frame")
+
+    state = {"seen": Seen({1, 2})}
+    frame = pd.DataFrame({"device_id": "a", "event_us": [2, 3, 3, 1, 4], "message_id": [1, 5, 4, 2, 3]})
+    assert [(r["event_us"], r["message_id"]) for r in processor.fold(state, frame)] == [(3, 4), (4, 3)]
+    assert processor.fold(state, frame) == [] and set.__len__(state["seen"]) == 4
+
+
 HEALTH = ("device_id string, customer_id string, device_type string, timestamp timestamp, status string, message_id long, "
           "spindle_rpm double, vibration_mm_s double, power_kw double, cycle_count int, tool_temperature_c double, "
           "motor_temperature_c double, air_temperature_c double")
