@@ -17,25 +17,27 @@ from millrace.llm.common import slices, small_batches, table
 
 WORD_BYTES, ROUNDS = 400_000, 64  # start rows of one recursive query, and its steps before it is begun anew
 
-# A token row starts at byte pos and is size bytes long, so its successor starts where it ends. Each step finds the pairs
-# that the merge table knows and picks per word the least rank, of these the leftmost: the smallest of numbers made of
-# rank (17 bits), position (30), and the sizes of both tokens (8 each). It contracts that pair; words without a pair are
-# done and leave the recursion.
+# A token row starts at byte pos, is size bytes long, and knows the token after it in its word (-1: none). Each step finds
+# the pairs that the merge table knows and picks per word the least rank, of these the leftmost: the smallest of numbers
+# made of rank (17 bits), position (30), and the sizes of both tokens (8 each). The row of that pair's right token becomes
+# the merged one, since it knows what comes next; words without a pair are done and leave the recursion.
 CONTRACT = """
-WITH RECURSIVE step(it, word, pos, size, tok) AS (
-  SELECT 0, word, pos, size, tok FROM start
+WITH RECURSIVE step(it, word, pos, size, tok, next_size, next_tok) AS (
+  SELECT 0, word, pos, size, tok, next_size, next_tok FROM start
   UNION ALL
-  SELECT it + 1, s.word, s.pos, CASE WHEN s.pos = b.pos THEN b.both ELSE s.size END,
-         CASE WHEN s.pos = b.pos THEN b.merged ELSE s.tok END
+  SELECT it + 1, s.word, CASE WHEN s.pos = b.gone THEN b.pos ELSE s.pos END,
+         CASE WHEN s.pos = b.gone THEN b.both ELSE s.size END, CASE WHEN s.pos = b.gone THEN b.merged ELSE s.tok END,
+         CASE WHEN s.pos + s.size = b.pos THEN b.both ELSE s.next_size END,
+         CASE WHEN s.pos + s.size = b.pos THEN b.merged ELSE s.next_tok END
   FROM step s JOIN (
     SELECT word, CAST(best >> 46 AS INT) AS merged, CAST((best >> 16) & 1073741823 AS INT) AS pos,
            CAST(((best >> 16) & 1073741823) + ((best >> 8) & 255) AS INT) AS gone,
            CAST(((best >> 8) & 255) + (best & 255) AS INT) AS both
     FROM (
-      SELECT l.word, min((((m.merged << 30) + l.pos) << 16) + (l.size << 8) + r.size) AS best
-      FROM step l JOIN step r ON l.pos + l.size = r.pos AND l.word = r.word JOIN merges m ON m.lhs = l.tok AND m.rhs = r.tok
+      SELECT l.word, min((((m.merged << 30) + l.pos) << 16) + (l.size << 8) + l.next_size) AS best
+      FROM step l JOIN merges m ON m.lhs = l.tok AND m.rhs = l.next_tok
       GROUP BY l.word)) b ON b.word = s.word
-  WHERE s.pos <> b.gone AND s.it < {rounds})
+  WHERE s.pos <> b.pos AND s.it < {rounds})
 SELECT s.word, s.it, s.pos, s.tok FROM step s JOIN (SELECT word, max(it) AS it FROM step GROUP BY word) USING (word, it)
 ORDER BY s.pos
 """
@@ -67,76 +69,78 @@ class Bpe:
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.size_of = np.zeros(max(self.ranks.values()) + 1, dtype=np.int32)
         self.size_of[list(self.ranks.values())] = [len(t) for t in self.ranks]
+        self.decimals = np.array([str(i) for i in range(len(self.size_of))], dtype=object)
         self.cache = tokens.PieceCache(self.values)
         self.cache.join = self.join
 
-    def contract(self, words: list[np.ndarray]) -> list[np.ndarray]:
-        """Merges token arrays until no pair is left. Long words take several queries, so none holds many steps."""
-        done, todo = dict(), list(enumerate(words))
-        while todo:
-            ids, own = zip(*todo)
-            counts, tok = np.array([len(w) for w in own]), np.concatenate(own)
+    def contract(self, word: np.ndarray, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merges tokens of each word, given in order as (word, token) rows, until no pair is left.
+
+        Long words take several queries, so none holds many steps; the rows of a word stay together and in order.
+        """
+        done = []
+        while len(tok):
             size = self.size_of[tok]
-            start = pa.table({"word": np.repeat(np.arange(len(own), dtype=np.int32), counts),
-                              "pos": (np.cumsum(size) - size).astype(np.int32), "size": size, "tok": tok})
+            last = np.append(word[1:] != word[:-1], True)
+            start = pa.table({"word": word, "pos": (np.cumsum(size) - size).astype(np.int32), "size": size, "tok": tok,
+                              "next_size": np.where(last, 0, np.roll(size, -1)).astype(np.int32),
+                              "next_tok": np.where(last, -1, np.roll(tok, -1)).astype(np.int32)})
             self.db.register("start", start)
             found = self.db.execute(CONTRACT.format(rounds=ROUNDS)).fetchnumpy()
             self.db.unregister("start")
-            cuts = np.flatnonzero(np.diff(found["word"])) + 1
-            begin = [0, *cuts.tolist()]
-            last, todo, tok = found["it"][begin].tolist(), [], found["tok"]
-            for i, a, b, it in zip(ids, begin, [*begin[1:], len(tok)], last):
-                if it < ROUNDS:
-                    done[i] = tok[a:b]
-                else:
-                    todo.append((i, tok[a:b]))
-        return [done[i] for i in range(len(words))]
-
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each match of the pattern: its own rank if it has one, else its bytes contracted."""
-        as_bytes = [w.encode("utf-8", "surrogatepass") for w in words]
-        out = [np.array([self.ranks[b]]) if b in self.ranks else None for b in as_bytes]
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        at = 0
-        while at < len(rest):
-            stop = held = 0
-            for stop in range(at, len(rest)):
-                held += len(as_bytes[rest[stop]])
-                if held > WORD_BYTES and stop > at:
-                    break
-            else:
-                stop = len(rest)
-            group = rest[at:stop]
-            raw_words = [self.of_byte[np.frombuffer(as_bytes[i], np.uint8)] for i in group]
-            for i, ids in zip(group, self.contract(raw_words)):
-                out[i] = ids
-            at = stop
-        return out
+            more = found["it"] == ROUNDS
+            done.append((found["word"][~more], found["tok"][~more]))
+            word, tok = found["word"][more], found["tok"][more]
+        return tuple(np.concatenate(c) for c in zip(*done))
 
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        """The bytes that each id array stands for."""
-        sizes = [len(i) for i in ids]
-        flat = np.concatenate(ids).astype(np.int64) if ids else np.array([], dtype=np.int64)
-        self.db.register("tokens", pa.table({"doc": np.repeat(np.arange(len(ids)), sizes),
-                                             "pos": np.arange(len(flat)), "id": flat}))
-        found = self.db.execute(DECODE).fetchall()
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows (word number, id) of the matches of the pattern: its own rank if it has one, else its bytes contracted."""
+        as_bytes = [w.encode("utf-8", "surrogatepass") for w in words]
+        own = np.array([self.ranks.get(b, -1) for b in as_bytes], dtype=np.int32)
+        whole, rest = np.flatnonzero(own >= 0), np.flatnonzero(own < 0)
+        sizes = np.array([len(as_bytes[i]) for i in rest], dtype=np.int64)
+        found = [(whole, own[whole])]
+        cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // WORD_BYTES)) + 1
+        for group, n in zip(np.split(rest, cuts), np.split(sizes, cuts)):
+            if len(group):
+                raw = np.frombuffer(b"".join([as_bytes[i] for i in group]), np.uint8)
+                at, ids = self.contract(np.repeat(np.arange(len(group), dtype=np.int32), n), self.of_byte[raw])
+                found.append((group[at], ids))
+        word, ids = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(word, kind="stable")
+        return word[order], ids[order]
+
+    def decode(self, doc: np.ndarray, ids: np.ndarray, n: int) -> list[bytes]:
+        """The bytes that the ids of each of the documents 0 to n - 1 stand for, from rows (document, id) in order."""
+        self.db.register("tokens", pa.table({"doc": doc, "pos": np.arange(len(ids)), "id": ids}))
+        found = self.db.sql(DECODE).to_arrow_table()
         self.db.unregister("tokens")
-        out = [b""] * len(ids)
-        for doc, parts in found:
-            out[doc] = b"".join(parts)
+        out = [b""] * n
+        for rows in found.to_batches():
+            # The tokens of a document lie behind one another, so its bytes are one stretch of theirs.
+            parts = rows.column(1)
+            flat = parts.values
+            kind = np.int64 if pa.types.is_large_binary(flat.type) else np.int32
+            ends = np.frombuffer(flat.buffers()[1], kind)[flat.offset:flat.offset + len(flat) + 1]
+            edges, data = ends[parts.offsets.to_numpy()].tolist(), memoryview(flat.buffers()[2])
+            for d, a, b in zip(rows.column(0).to_pylist(), edges, edges[1:]):
+                out[d] = bytes(data[a:b])
         return out
 
     def values(self, words: list[str]) -> list[tuple]:
-        """Per word: its number of ids, the ids as decimals, and what the ids decode to."""
+        """Per word: its ids as decimals, and what the ids decode to."""
         out = []
         for at in range(0, len(words), 50_000):
-            ids = self.encode_words(words[at:at + 50_000])
-            out += [(len(i), " ".join(map(str, i.tolist())), d) for i, d in zip(ids, self.decode(ids))]
+            part = words[at:at + 50_000]
+            word, ids = self.encode_words(part)
+            ends = np.searchsorted(word, np.arange(len(part) + 1)).tolist()
+            text = self.decimals[ids].tolist()
+            out += [(" ".join(text[a:b]), d) for a, b, d in zip(ends, ends[1:], self.decode(word, ids, len(part)))]
         return out
 
     @staticmethod
     def join(values: list[tuple]) -> tuple:
-        return (sum(v[0] for v in values), " ".join([v[1] for v in values if v[0]]), b"".join([v[2] for v in values]))
+        return " ".join([v[0] for v in values]), b"".join([v[1] for v in values])
 
 
 _MODELS: dict[str, Bpe] = {}
@@ -162,7 +166,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             for rows in slices(batch, "text"):
                 found = bpe.cache.look_up([t or "" for t in rows.column("text").to_pylist()])
-                ids = [np.array(" ".join([v[1] for v in values if v[0]]).split(), dtype=np.int32) for values in found]
+                ids = [np.array(" ".join([v[0] for v in values]).split(), dtype=np.int32) for values in found]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -177,8 +181,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 ids = [np.array(i or [], dtype=np.int64) for i in rows.column("ids").to_pylist()]
+                doc = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+                found = bpe.decode(doc, np.concatenate(ids), len(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(bpe.decode(ids), pa.binary())], ["doc_id", "decoded"])
+                    [rows.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
 
@@ -196,9 +202,10 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 found = bpe.cache.look_up([t or "" for t in rows.column("text").to_pylist()])
                 sizes, ids, decoded = [], [], []
                 for values in found:
-                    sizes.append(sum([v[0] for v in values]))
-                    ids.append(hashlib.sha256(" ".join([v[1] for v in values if v[0]]).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join([v[2] for v in values])).hexdigest())
+                    written = " ".join([v[0] for v in values])
+                    sizes.append(written.count(" ") + 1 if written else 0)
+                    ids.append(hashlib.sha256(written.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join([v[1] for v in values])).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids), pa.array(decoded)],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -21,33 +22,61 @@ def pieces(text: str) -> list[str]:
     return [parts[0], *[" " + p for p in parts[1:]]]
 
 
+class Recent:
+    """Values by key, at most ``limit`` between calls: those that nothing asked for lately make room."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """The keys without a value; the values of all others are in ``young`` from now on."""
+        if len(self.young) > self.limit // 2:
+            self.young, self.old = {}, self.young
+        keys = keys.difference(self.young)
+        found = keys.intersection(self.old)
+        self.young.update((k, self.old[k]) for k in found)
+        return keys - found
+
+
 class PieceCache:
     """Ids of pieces as little-endian 32-bit words; ``encode`` gets the distinct matches that are not known yet.
 
-    At most ``limit`` pieces are kept between calls; then the cache starts anew, which costs time and nothing else.
+    Pieces and matches are kept apart, since the same match stands in many pieces. At most ``limit`` matches and half as
+    many pieces are kept between calls; what is asked for again after it made room is encoded again, which costs time
+    and nothing else.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 600_000):
-        self.encode, self.limit, self.known = encode, limit, {}
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = 1_000_000):
+        self.encode, self.known, self.words = encode, Recent(limit // 2), Recent(limit)
         self.matches = regex.compile(public_tokenizers.PATTERN).findall
 
+    def split(self, parts: list[str], joined: bool) -> tuple[list[str], list[int]]:
+        """All matches in the pieces, and how many of them end with each piece; ``joined`` pieces are read as one text."""
+        found = [self.matches("".join(parts))] if joined else list(map(self.matches, parts))
+        flat = list(chain.from_iterable(found))
+        ends, size = np.cumsum([len(w) for w in flat]), np.cumsum([len(p) for p in parts])
+        return flat, np.searchsorted(ends, size, side="right").tolist()
+
     def look_up(self, texts: list[str]) -> list[list]:
-        """Per text the values of its pieces; a piece's value joins those of its matches with ``+``."""
-        cut = [pieces(t) for t in texts]
-        if len(self.known) > self.limit:
-            self.known = {}
-        new = set().union(*cut).difference(self.known) if cut else set()
+        """Per text the values of its pieces without empty ones; a piece's value joins those of its matches."""
+        cut = [c if c[0] else c[1:] for c in map(pieces, texts)]
+        new = self.known.missing(set().union(*cut))
         if new:
             # A word of letters alone is one match, with a space before it or without.
-            found = {p: [p] if p.isalpha() or p[:1] == " " and p[1:].isalpha() else self.matches(p) for p in new}
-            words = list(set().union(*found.values()))
-            value = dict(zip(words, self.encode(words)))
-            for p, own in found.items():
-                if len(own) == 1:
-                    self.known[p] = value[own[0]]
-                else:
-                    self.known[p] = self.join([value[w] for w in own])
-        get = self.known.__getitem__
+            words = {p for p in new if p.isalpha() or p[:1] == " " and p[1:].isalpha()}
+            # Pieces from a space to a visible character make a text that the pattern cuts like them.
+            inner = [p for p in new - words if p[0] == " " and not p[-1].isspace()]
+            outer = list(new.difference(words, inner))
+            mixed = [(inner, *self.split(inner, True)), (outer, *self.split(outer, False))]
+            todo = list(self.words.missing(words.union(*(found for _, found, _ in mixed))))
+            value, known = self.words.young, self.known.young
+            if todo:
+                value.update(zip(todo, self.encode(todo)))
+            known.update((p, value[p]) for p in words)
+            for parts, found, ends in mixed:
+                each = [value[w] for w in found]
+                known.update((p, self.join(each[a:b])) for p, a, b in zip(parts, [0, *ends], ends))
+        get = self.known.young.__getitem__
         return [list(map(get, c)) for c in cut]
 
     @staticmethod

@@ -195,6 +195,35 @@ def test_pieces_are_encoded_like_texts():
         assert got == [whole.encode(t, add_special_tokens=False).ids for t in part]
 
 
+def test_matches_are_encoded_once():
+    asked = Counter()
+
+    def encode(words):
+        asked.update(words)
+        return [w.encode() for w in words]
+
+    cache = tokens.PieceCache(encode, limit=40)
+    for part in (["so it is", " it, is.\n"], ["it: so; is", "is it\n\nso?"], ["", " it. is!"]):
+        assert [b"".join(v).decode() for v in cache.look_up(part)] == part
+    assert max(asked.values()) == 1  # a match stands in many pieces
+    for k in range(40):  # what is asked for again and again stays when the cache makes room, the others go
+        assert [b"".join(v).decode() for v in cache.look_up([f"so it is, x{k}y{k}"])] == [f"so it is, x{k}y{k}"]
+        assert len(cache.known.young) + len(cache.known.old) < 60 and len(cache.words.young) + len(cache.words.old) < 60
+    assert all(asked[w] == 1 for w in ("so", " it", " is", ","))
+    cache.look_up(["it: so; is"])
+    assert asked["it"] == 2
+
+
+def test_bpe_of_long_and_repeated_matches(reference):
+    own = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdeéstñ漢"), n)) for n in (1, 2, 3, 30, 129, 400, 1500)] + ["a" * 3000, " ", "\x00", "s" * 64]
+    word, ids = own.encode_words(words)
+    assert [ids[word == k].tolist() for k in range(len(words))] == [reference.encode_ordinary(w) for w in words]
+    assert own.decode(word, ids, len(words) + 1) == [w.encode() for w in words] + [b""]
+    assert own.values([]) == []
+
+
 def test_packing(spark):
     import zlib
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
